@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civicledger.functions.text import strip_ws
+from civicledger.functions.text import let, strip_ws
 
 MONEY = "decimal(20,2)"
 
@@ -25,19 +25,22 @@ def cell_is_blank(raw: Column) -> Column:
 
 def clean_amount(raw: Column, kind: str = "decimal(20,0)") -> Column:
     """Number of a statement cell; dashes and blanks are zero, anything unreadable is null."""
-    cell = strip_ws(raw)
-    digits = F.regexp_replace(cell, r"[^0-9.]", "")
-    negative = cell.startswith("-") | cell.startswith("(")
-    value = F.regexp_replace(F.concat(F.when(negative, F.lit("-")).otherwise(""), digits), "^-0$", "0")
-    return F.when(cell.isNull() | cell.rlike(_NOTHING), F.lit(0).cast(kind)).when(
-        cell.rlike(_NUMBER), value.try_cast(kind)
-    )
+
+    def parsed(cell: Column) -> Column:
+        sign = F.when(cell.startswith("-") | cell.startswith("("), "-").otherwise("")
+        value = F.concat(sign, F.translate(cell, "-(),", "")).try_cast(kind)
+        return F.when(cell.isNull() | cell.rlike(_NOTHING), F.lit(0).cast(kind)).when(cell.rlike(_NUMBER), value)
+
+    return let(strip_ws(raw), parsed)
 
 
 def is_quarantined(raw: Column) -> Column:
     """Neither a number nor a recognised way to write zero."""
-    cell = strip_ws(raw)
-    return F.coalesce(~(cell.rlike(_NUMBER) | cell.rlike(_NOTHING)), F.lit(False))
+
+    def unreadable(cell: Column) -> Column:
+        return F.coalesce(~(cell.rlike(_NUMBER) | cell.rlike(_NOTHING)), F.lit(False))
+
+    return let(strip_ws(raw), unreadable)
 
 
 def clean_rate(raw: Column, kind: str = "decimal(9,2)") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -23,6 +24,11 @@ def first_match(rules: list[tuple[Column, object]], default: Column | None = Non
     return chain if default is None else chain.otherwise(default)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def contains_any(col: Column, needles: list[str]) -> Column:
     found = F.lit(False)
     for needle in needles:

@@ -8,14 +8,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civicledger.functions.text import blank_to_null
+from civicledger.functions.text import blank_to_null, let
 
-_URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-_PART = {"scheme": 1, "authority": 2, "path": 3, "query": 4, "fragment": 5}
+_URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
+_PARTS = ["scheme", "authority", "path", "query", "fragment"]
+_SEPARATOR = "\u0001"
+
+
+def url_parts(url: Column) -> Column:
+    """Scheme, authority, path, query and fragment as an array; absent parts are empty."""
+    numbered = _SEPARATOR.join(f"${i + 1}" for i in range(len(_PARTS)))
+    return F.split(F.regexp_replace(url, _URI, numbered), _SEPARATOR)
 
 
 def url_part(url: Column, part: str) -> Column:
-    return F.regexp_extract(url, _URI, _PART[part])
+    return F.regexp_extract(url, _URI, _PARTS.index(part) + 1)
 
 
 def url_path(url: Column) -> Column:
@@ -36,30 +43,39 @@ def url_basename(url: Column, fetched_at: Column | None = None) -> Column:
 
 
 def _remove_dots(path: Column) -> Column:
-    segments = F.split(F.substring(path, 2, F.length(path)), "/")
-
     def step(kept: Column, segment: Column) -> Column:
         parent = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
         return F.when(segment == "..", parent).when(segment == ".", kept).otherwise(F.array_append(kept, segment))
 
-    kept = F.reduce(segments, F.array().cast("array<string>"), step)
-    trailing = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
-    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(trailing, F.lit("/")).otherwise(""))
-    return F.when(path.rlike(r"/\.\.?(?:/|$)"), resolved).otherwise(path)
+    def rebuilt(segments: Column) -> Column:
+        kept = F.reduce(segments, F.array().cast("array<string>"), step)
+        closed = F.element_at(segments, -1).isin(".", "..")
+        return F.concat(F.lit("/"), F.array_join(F.when(closed, F.array_append(kept, F.lit(""))).otherwise(kept), "/"))
+
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    return F.when(path.rlike(r"/\.\.?(?:/|\z)"), let(segments, rebuilt)).otherwise(path)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` found on the page ``base``."""
-    scheme, authority = F.lower(url_part(href, "scheme")), url_part(href, "authority")
-    path, query, fragment = url_part(href, "path"), url_part(href, "query"), url_part(href, "fragment")
-    base_scheme, base_path = F.lower(url_part(base, "scheme")), url_part(base, "path")
-    origin = F.concat(base_scheme, F.lit("://"), url_part(base, "authority"))
-
-    directory = F.regexp_replace(base_path, r"[^/]*$", "")
-    rooted = F.when(path.startswith("/"), path).otherwise(
-        F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), path)
+    given = F.struct(
+        base.alias("base"), href.alias("href"), url_parts(base).alias("base_parts"), url_parts(href).alias("parts")
     )
-    merged = _remove_dots(F.regexp_replace(rooted, r"/{2,}", "/"))
+    return let(given, _resolved)
+
+
+def _resolved(given: Column) -> Column:
+    scheme, authority, path, query, fragment = (F.get(given["parts"], F.lit(i)) for i in range(5))
+    base_scheme, base_authority, base_path, base_query, _ = (F.get(given["base_parts"], F.lit(i)) for i in range(5))
+    network = F.concat(F.lower(base_scheme), F.lit("://"))
+    origin = F.concat(network, base_authority)
+
+    directory = F.concat(F.regexp_replace(base_path, r"[^/]*\z", ""), path)
+    lead = F.when(base_path.startswith("/"), "").otherwise("/")
+    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(lead, directory))
+
+    def merged(q: Column) -> Column:
+        return let(F.regexp_replace(rooted, r"/{2,}", "/"), lambda p: F.concat(origin, _remove_dots(p), q))
 
     def tail(q: Column) -> Column:
         return F.concat(
@@ -67,11 +83,10 @@ def resolve_url(base: Column, href: Column) -> Column:
             F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
         )
 
-    inherited_query = F.when(query != "", query).otherwise(url_part(base, "query"))
     return (
-        F.when(href == "", base)
-        .when((scheme != "") & (scheme != base_scheme), href)
-        .when(authority != "", F.concat(base_scheme, F.lit("://"), authority, path, tail(query)))
-        .when(path == "", F.concat(origin, base_path, tail(inherited_query)))
-        .otherwise(F.concat(origin, merged, tail(query)))
+        F.when(given["href"] == "", given["base"])
+        .when((scheme != "") & (F.lower(scheme) != F.lower(base_scheme)), given["href"])
+        .when(authority != "", F.concat(network, authority, path, tail(query)))
+        .when(path == "", F.concat(origin, base_path, tail(F.when(query != "", query).otherwise(base_query))))
+        .otherwise(merged(tail(query)))
     )

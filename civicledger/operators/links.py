@@ -15,6 +15,7 @@ from civicledger.functions.links import (
 )
 from civicledger.functions.text import decode_entities, html_text, strip_ws, without_hidden_markup
 from civicledger.functions.urls import path_has_suffix, resolve_url
+from civicledger.operators.columns import add_once
 
 _ALL = 2**30
 
@@ -32,6 +33,14 @@ _JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*:?'
 _QUOTED_WORKBOOK = r"""["']((?:https?:/)?/[^"']+\.xlsx?[^"']*)["']"""
 
 
+# A workbook address spells its extension out unless character references or escapes hide it.
+_MAY_NAME_WORKBOOK = r"(?i)xls|&#|\\u"
+
+
+def _no_urls() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _split_open(text: Column, pattern: str) -> Column:
     """Pieces that follow each opening tag."""
     return F.slice(F.split(text, pattern), 2, _ALL)
@@ -56,9 +65,10 @@ def page_anchors(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def anchor_urls(html: Column, base: Column) -> Column:
     """Workbook addresses among a page's anchors, as an array."""
-    chunks = F.filter(_split_open(without_hidden_markup(html), _ANCHOR_OPEN), lambda c: c.rlike(_ANCHOR))
-    urls = F.transform(chunks, lambda c: resolve_url(base, _href(c)))
-    return F.filter(urls, path_has_suffix)
+    chunks = _split_open(without_hidden_markup(html), _ANCHOR_OPEN)
+    likely = F.filter(chunks, lambda c: c.rlike(_MAY_NAME_WORKBOOK) & c.rlike(_ANCHOR))
+    urls = F.transform(likely, lambda c: resolve_url(base, _href(c)))
+    return F.when(html.rlike(_MAY_NAME_WORKBOOK), F.filter(urls, lambda u: path_has_suffix(u))).otherwise(_no_urls())
 
 
 def json_urls(html: Column, base: Column) -> Column:
@@ -69,11 +79,11 @@ def json_urls(html: Column, base: Column) -> Column:
     body = F.regexp_extract(html, _DATA_SCRIPT, 1)
     valid = F.try_parse_json(body).isNotNull()
     literals = F.regexp_extract_all(body, F.lit(_JSON_STRING), F.lit(0))
-    values = F.filter(literals, lambda s: ~s.endswith(":"))
+    values = F.filter(literals, lambda s: ~s.endswith(":") & s.rlike(_MAY_NAME_WORKBOOK))
     decoded = F.transform(values, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string"))
     wanted = F.filter(decoded, lambda u: F.lower(u).rlike(r"\.xlsx?$") | path_has_suffix(u))
     resolved = F.transform(wanted, lambda u: resolve_url(base, u))
-    return F.when(valid, resolved).otherwise(F.array().cast("array<string>"))
+    return F.when(body.rlike(_MAY_NAME_WORKBOOK) & valid, resolved).otherwise(_no_urls())
 
 
 def stream_urls(html: Column, base: Column) -> Column:
@@ -83,55 +93,55 @@ def stream_urls(html: Column, base: Column) -> Column:
     found = F.transform(
         streamed, lambda b: F.regexp_extract_all(F.replace(b, F.lit("\\/"), F.lit("/")), F.lit(_QUOTED_WORKBOOK), F.lit(1))
     )
-    return F.transform(F.flatten(found), lambda u: resolve_url(base, u))
+    return F.when(html.contains(_STREAM_MARK), F.transform(F.flatten(found), lambda u: resolve_url(base, u))).otherwise(_no_urls())
 
 
-def _strategies(url: Column, html: Column, *, direct: bool) -> Column:
-    """(strategy, url) pairs of one page, in order of strategy and without repeated addresses."""
+def _static_links(pages: DataFrame) -> DataFrame:
+    """Adds ``links``, the (strategy, url) pairs of each page; an address belongs to the first strategy that
+    finds it."""
+    url, html = F.col("url"), F.col("html")
 
     def tagged(name: str, urls: Column) -> Column:
-        return F.transform(F.array_distinct(urls), lambda u: F.struct(F.lit(name).alias("strategy"), u.alias("url")))
-
-    static = F.concat(
-        tagged("anchor", anchor_urls(html, url)),
-        tagged("json", json_urls(html, url)),
-        tagged("stream", stream_urls(html, url)),
+        return F.transform(urls, lambda u: F.struct(F.lit(name).alias("strategy"), u.alias("url")))
+
+    found = add_once(
+        pages,
+        anchor=F.array_distinct(anchor_urls(html, url)),
+        embedded=json_urls(html, url),
+        streamed=stream_urls(html, url),
+    ).drop("html")
+    links = F.concat(
+        tagged("anchor", F.col("anchor")),
+        tagged("json", F.array_except("embedded", "anchor")),
+        tagged("stream", F.array_except(F.array_except("streamed", "anchor"), "embedded")),
     )
-    if not direct:
-        return static
-    return F.when(path_has_suffix(url), tagged("direct", F.array(url))).otherwise(static)
+    return found.withColumn("links", F.when(path_has_suffix(url), tagged("direct", F.array(url))).otherwise(links))
 
 
 def harvest_workbooks(pages: DataFrame, rendered: DataFrame | None = None) -> DataFrame:
     """Workbook links of each page as (page_id, strategy, url).
 
-    A page address that is itself a workbook stands for itself. ``rendered`` holds snapshots taken after
-    scripts ran; its anchors serve only the pages whose static snapshot has no link at all. All static
-    strategies are evaluated within the page's row, so the only exchange is the join of the empty pages.
+    A page address that is itself a workbook stands for itself. ``rendered`` holds snapshots (page_id, url,
+    html) taken after scripts ran; their anchors serve only the pages whose static snapshot has no link at
+    all. Every snapshot is read once and reduced to its links in place, so the join moves one short row per
+    page instead of HTML, and a page with very many links is still one row.
     """
-    found = pages.select("page_id", "url", _strategies(F.col("url"), F.col("html"), direct=True).alias("links"))
-    static = found.select("page_id", F.explode("links").alias("link")).select("page_id", "link.*")
-    if rendered is None:
-        return static
-    empty = found.where(F.size("links") == 0).select("page_id", "url")
-    fallback = (
-        rendered.select("page_id", "html")
-        .join(empty, "page_id")
-        .select("page_id", F.explode(F.array_distinct(anchor_urls(F.col("html"), F.col("url")))).alias("url"))
-    )
-    return static.unionByName(fallback.select("page_id", F.lit("rendered").alias("strategy"), "url"))
+    found = _static_links(pages).select("page_id", "links")
+    if rendered is not None:
+        snapshot = add_once(rendered, fallback=F.array_distinct(anchor_urls(F.col("html"), F.col("url"))))
+        tagged = F.transform("fallback", lambda u: F.struct(F.lit("rendered").alias("strategy"), u.alias("url")))
+        found = found.join(snapshot.select("page_id", tagged.alias("fallback")), "page_id", "left")
+        found = found.withColumn("links", F.when(F.size("links") > 0, F.col("links")).otherwise(F.col("fallback")))
+    return found.select("page_id", F.explode("links").alias("link")).select("page_id", "link.*")
 
 
 def link_records(anchors: DataFrame, base: Column | None = None) -> DataFrame:
     """Report links: anchors with a known format, year and quarter, plus their status score."""
     href, text = F.col("href"), F.col("text")
-    dated = anchors.withColumn("ext", link_extension(href)).withColumn("year", detect_year(href))
-    records = (
-        dated.where(F.col("ext").isNotNull() & F.col("year").isNotNull())
-        .withColumn("quarter", detect_quarter(href, text, F.col("year")))
-        .where(F.col("quarter") != UNKNOWN_QUARTER)
-        .withColumn("score", score_text(text))
-    )
+    dated = add_once(anchors, ext=link_extension(href), year=detect_year(href))
+    known = dated.where(F.col("ext").isNotNull() & F.col("year").isNotNull())
+    quarter = detect_quarter(href, text, F.col("year"))
+    records = add_once(known, quarter=quarter, score=score_text(text)).where(F.col("quarter") != UNKNOWN_QUARTER)
     return records if base is None else records.withColumn("link_url", resolve_url(base, href))
 
 

@@ -12,12 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicledger.functions.money import MONEY, cell_is_blank, clean_amount, clean_rate, is_quarantined
-from civicledger.functions.text import decode_entities, first_match, strip_ws
+from civicledger.functions.text import NBSP, decode_entities, first_match, strip_ws
+from civicledger.operators.columns import add_once
 
 _ALL = 2**30
-_ROW_OPEN = r"(?i)<tr(?=[\s>])"
-_CELL_OPEN = r"(?i)<t[dh](?=[\s>])"
-_CELL_END = r"(?i)</(?:t[drh]|table)\b"
+# Markers that stand for structure while a page is taken apart, and the tags that become them.
+_CELL, _ROW, _END = "\u0001", "\u0002", "\u0003"
+_STRUCTURE = [
+    (r"(?i)<t[dh](?=[\s>])[^>]*>?", _CELL),
+    (r"(?i)<tr(?=[\s>])[^>]*>?", _ROW),
+    (r"(?i)</(?:t[drh]|table)\b[^>]*>?", _END),
+    (r"</?[a-zA-Z!][^>]*>?", ""),
+    (r"[ \t\r\n]+", " "),
+]
 
 # The twelve amount columns.
 MEASURES = ["allotment", "obligations", "unobligated"]
@@ -42,15 +49,22 @@ THOUSAND = 1000
 MAX_LEVELS = 16
 
 
-def _cell_text(chunk: Column) -> Column:
-    """Text of one cell; runs of plain blanks collapse while no-break spaces stay."""
-    inner = F.split(F.regexp_replace(chunk, r"^[^>]*>", ""), _CELL_END)[0]
-    plain = decode_entities(F.regexp_replace(inner, r"</?[a-zA-Z!][^>]*>?", ""))
-    return F.regexp_replace(plain, r"[ \t\r\n]+", " ")
+def _rows(html: Column) -> Column:
+    """Table rows as an array of arrays of cell texts.
+
+    Tags turn into markers in a few passes over the whole page; what remains per cell is a split. Only
+    opening tags separate, since closing ones are often missing; a cell ends at the first closing tag.
+    Runs of plain blanks collapse while no-break spaces, which carry the indent, stay.
+    """
+    text = F.replace(F.translate(html, _CELL + _ROW + _END, ""), F.lit("&nbsp;"), F.lit(NBSP))
+    for pattern, marker in _STRUCTURE:
+        text = F.regexp_replace(text, pattern, marker)
 
+    def cells(row: Column) -> Column:
+        chunks = F.slice(F.split(row, _CELL), 2, _ALL)
+        return F.transform(chunks, lambda chunk: decode_entities(F.substring_index(chunk, _END, 1)))
 
-def _cells(row: Column) -> Column:
-    return F.transform(F.slice(F.split(row, _CELL_OPEN), 2, _ALL), _cell_text)
+    return F.transform(F.slice(F.split(text, _ROW), 2, _ALL), cells)
 
 
 def _indent(cells: Column) -> Column:
@@ -71,22 +85,22 @@ def _is_line(cells: Column) -> Column:
 def table_rows(statements: DataFrame) -> DataFrame:
     """Every table row as (…, row_no, cells)."""
     rest = [c for c in statements.columns if c != "html"]
-    rows = F.transform(F.slice(F.split("html", _ROW_OPEN), 2, _ALL), _cells)
-    return statements.select(*rest, F.posexplode(rows).alias("row_no", "cells"))
+    return statements.select(*rest, F.posexplode(_rows(F.col("html"))).alias("row_no", "cells"))
 
 
 def title_facts(statements: DataFrame) -> DataFrame:
     """As-of date, unit factor and layout, all read from the text above the expense classes."""
     head = F.regexp_replace(F.substring_index("html", "MOOE", 1), r"<[^>]*>", " ")
     head = F.upper(F.regexp_replace(F.replace(head, F.lit("&nbsp;"), F.lit(" ")), r"\s+", " "))
-    date = F.regexp_extract(head, r"AS OF ([A-Z]+ [0-9]{1,2}, ?[0-9]{4})", 1)
+    date = F.regexp_extract("_head", r"AS OF ([A-Z]+ [0-9]{1,2}, ?[0-9]{4})", 1)
     date = F.regexp_replace(F.initcap(date), r",\s*", ", ")
-    return (
-        statements.withColumn("as_of", F.try_to_date(date, "MMMM d, yyyy"))
-        .withColumn("unit", F.when(head.contains("IN THOUSAND PESOS"), THOUSAND).otherwise(1))
-        .withColumn("has_appropriation", head.rlike(r"PARTICULARS.*\bAPPRO"))
-        .withColumn("has_rate", head.rlike(r"OBLIGATION\s+RATE"))
-    )
+    return add_once(
+        add_once(statements, _head=head),
+        as_of=F.try_to_date(date, "MMMM d, yyyy"),
+        unit=F.when(F.col("_head").contains("IN THOUSAND PESOS"), THOUSAND).otherwise(1),
+        has_appropriation=F.col("_head").rlike(r"PARTICULARS.*\bAPPRO"),
+        has_rate=F.col("_head").rlike(r"OBLIGATION\s+RATE"),
+    ).drop("_head")
 
 
 def statement_lines(statements: DataFrame) -> DataFrame:
@@ -97,21 +111,23 @@ def statement_lines(statements: DataFrame) -> DataFrame:
     (more cells than the layout has, so columns may have shifted).
     """
     carried = [c for c in statements.columns if c != "html"]
-    rows = F.transform(F.slice(F.split("html", _ROW_OPEN), 2, _ALL), _cells)
-    numbered = F.transform(rows, lambda cells, i: F.struct(i.alias("row_no"), cells.alias("cells")))
+    numbered = F.transform(_rows(F.col("html")), lambda cells, i: F.struct(i.alias("row_no"), cells.alias("cells")))
     lines = F.filter(numbered, lambda r: _is_line(r["cells"]))
-    parsed = title_facts(statements).withColumn("lines", lines)
+    parsed = add_once(title_facts(statements), lines=lines)
 
     indents = F.array_sort(F.array_distinct(F.transform("lines", lambda r: _canonical_indent(r["cells"]))))
     label = strip_ws(F.get(F.col("cells"), F.lit(0)))
     head_of = first_match([(label.rlike(pattern), code) for pattern, code in SECTION_HEADS])
 
+    any_head = "|".join(pattern for pattern, _ in SECTION_HEADS)
+
     def head_struct(r: Column) -> Column:
         text = strip_ws(F.get(r["cells"], F.lit(0)))
         code = first_match([(text.rlike(pattern), F.lit(c)) for pattern, c in SECTION_HEADS])
         return F.struct(r["row_no"].alias("row_no"), code.alias("section"))
 
-    heads = F.filter(F.transform("lines", head_struct), lambda h: h["section"].isNotNull())
+    headings = F.filter("lines", lambda r: strip_ws(F.get(r["cells"], F.lit(0))).rlike(any_head))
+    heads = F.transform(headings, head_struct)
     facts = ["as_of", "unit", "has_appropriation", "has_rate"]
     exploded = (
         parsed.withColumn("indents", indents)
@@ -142,10 +158,11 @@ def statement_lines(statements: DataFrame) -> DataFrame:
 
 def with_amounts(lines: DataFrame) -> DataFrame:
     """Adds the cleaned ``amounts`` (as printed, not yet scaled), the appropriation and the published rate."""
-    return (
-        lines.withColumn("amounts", F.transform("raw", lambda cell: clean_amount(cell)))
-        .withColumn("appropriation", clean_amount(F.col("raw_appropriation")))
-        .withColumn("published_rate", clean_rate(F.col("raw_rate")))
+    return add_once(
+        lines,
+        amounts=F.transform("raw", lambda cell: clean_amount(cell)),
+        appropriation=clean_amount(F.col("raw_appropriation")),
+        published_rate=clean_rate(F.col("raw_rate")),
     )
 
 
@@ -272,7 +289,7 @@ def repaired_amounts(lines: DataFrame) -> DataFrame:
             agreed = own.isNull() & F.coalesce(first == second, F.lit(False))
             filled.append(F.when(agreed, first).otherwise(own).cast("decimal(20,0)"))
             flags.append(F.when(agreed, F.lit(f"{measure}.{klass}")))
-    return lines.withColumn("repaired", F.array_compact(F.array(*flags))).withColumn("amounts", F.array(*filled))
+    return add_once(lines, repaired=F.array_compact(F.array(*flags)), amounts=F.array(*filled))
 
 
 def footnotes(statements: DataFrame) -> DataFrame:

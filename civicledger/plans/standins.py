@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicledger.functions.files import content_sha256
+from civicledger.operators.columns import add_once
 from civicledger.sources.tables import APPROPRIATION_SCHEMA, table
 
 PORTAL = "https://portal.example.org/stats/index"
@@ -57,7 +58,8 @@ def order_links(spark: SparkSession, folder: str) -> DataFrame:
     )
     suffix = choose(F.col("o_orderkey") % 5, [".pdf", ".htm", ".html", ".XLSX", ".doc"])
     href = F.concat(F.lit("/files/SAOB"), year, F.lit("/"), subfolder, F.lit("/doc"), F.col("o_orderkey"), suffix)
-    return o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("pos"), href.alias("href"), text.alias("text"))
+    links = add_once(o, href=href, text=text)
+    return links.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("pos"), "href", "text")
 
 
 ORDER_LINKS_SQL = """
@@ -170,14 +172,15 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("<p>loading</p>")
     )
     url = F.when(kind == "purchase", F.concat(F.lit("https://portal.example.org/direct/p"), number, F.lit(".xlsx")))
-    return e.select(F.col("event_id").alias("page_id"), url.otherwise(PORTAL).alias("url"), html.alias("html"))
+    pages = add_once(e, url=url.otherwise(PORTAL), html=html)
+    return pages.select(F.col("event_id").alias("page_id"), "url", "html")
 
 
 def rendered_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshots of the same pages after rendering."""
     e = table(spark, folder, "events")
     html = F.concat(F.lit("<main><a href='/r/"), F.col("event_id").cast("string"), F.lit(".xls#x'>file</a></main>"))
-    return e.select(F.col("event_id").alias("page_id"), html.alias("html"))
+    return e.select(F.col("event_id").alias("page_id"), F.lit(PORTAL).alias("url"), html.alias("html"))
 
 
 # ---------------------------------------------------------------- files and manifests

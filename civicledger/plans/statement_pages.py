@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicledger.operators.columns import add_once
 from civicledger.operators.statements import CLASSES, MEASURES
 from civicledger.sources.tables import table
 
@@ -54,7 +55,7 @@ def _budget(spark: SparkSession, folder: str) -> DataFrame:
         (cents * (100 - discount) * (100 + tax)).alias("obligations"),
     ).withColumn("obligations", F.expr("obligations div 10000"))
     sums = [
-        F.sum(F.when((F.col("budget") == b) & (F.col("class") == c), F.col(m)).otherwise(F.lit(0).cast("long"))).alias(f"{m}_{b}_{c}")
+        F.expr(f"sum(if(budget = '{b}' and class = '{c}', {m}, 0L)) AS {m}_{b}_{c}")
         for m in MEASURES[:2]
         for b in ["f1", "f2", "f3", "o"]
         for c in CLASSES[:3]
@@ -62,10 +63,10 @@ def _budget(spark: SparkSession, folder: str) -> DataFrame:
     return items.groupBy("l_suppkey", "fiscal_year").agg(*sums)
 
 
-def _printed(amount: Column, indent: int) -> Column:
+def _printed(amount: Column, indent: Column) -> Column:
     """Amount as the statements print it: dash for zero, two ways to write a negative."""
     digits = F.format_number(F.abs(amount), 0)
-    negative = F.concat(F.lit("("), digits, F.lit(")")) if indent == 0 else F.concat(F.lit("-"), digits)
+    negative = F.when(indent == 0, F.concat(F.lit("("), digits, F.lit(")"))).otherwise(F.concat(F.lit("-"), digits))
     return F.when(amount == 0, "- ").when(amount < 0, negative).otherwise(F.concat(digits, F.lit(" ")))
 
 
@@ -73,6 +74,34 @@ def _cell(text: Column) -> Column:
     return F.concat(F.lit('<td><div align="right">'), text, F.lit("</div></td>\n"))
 
 
+def _with_total(classes: Column) -> Column:
+    zero = F.lit(0).cast("long")
+    return F.concat(classes, F.array(F.reduce(classes, zero, lambda total, amount: total + amount)))
+
+
+def _row_html(line: Column) -> Column:
+    """One table row from a struct of label, indent, the two measures by class, and the two faults."""
+    allotment, obligations = _with_total(line["allotment"]), _with_total(line["obligations"])
+    printed = F.transform(allotment, lambda a, i: F.when(i == 3, a + line["error"]).otherwise(a))
+    unobligated = F.zip_with(allotment, obligations, lambda a, o: a - o)
+    show = lambda cells: F.transform(cells, lambda amount: _printed(amount, line["indent"]))
+    spoiled = F.transform(
+        show(obligations), lambda cell, i: F.when((i == 2) & line["stray"], F.concat(F.trim(cell), F.lit("- "))).otherwise(cell)
+    )
+    cells = F.transform(F.concat(show(printed), spoiled, show(unobligated)), _cell)
+    rate = F.round(F.try_divide(F.get(obligations, F.lit(3)) * 100, F.get(allotment, F.lit(3))), 2)
+    return F.concat(
+        F.lit("<tr><td><div>"),
+        F.repeat(F.lit("&nbsp;"), line["indent"]),
+        line["label"],
+        F.lit("</div></td>\n"),
+        _cell(_printed(F.get(allotment, F.lit(3)), line["indent"])),
+        F.array_join(cells, ""),
+        _cell(F.when(rate.isNull(), "&nbsp;").otherwise(F.concat(F.format_number(rate, 2), F.lit("%")))),
+        F.lit("</tr>\n"),
+    )
+
+
 def statement_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(file, fiscal_year, quarter, html).
 
@@ -81,51 +110,37 @@ def statement_pages(spark: SparkSession, folder: str) -> DataFrame:
     agencies = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     wide = _budget(spark, folder).join(agencies, F.col("l_suppkey") == F.col("s_suppkey"))
     balance = F.round(F.col("s_acctbal") * 100).cast("long")
-    error = F.when(balance < 0, balance).otherwise(F.lit(0).cast("long"))
-
-    rows = []
-    for label, indent, sources in LINES:
-        amounts: dict[tuple[str, str], Column] = {}
-        for measure in MEASURES[:2]:
-            for klass in CLASSES[:3]:
-                parts = [F.col(f"{measure}_{b}_{klass}") for b in sources]
-                amounts[measure, klass] = sum(parts[1:], parts[0])
-            amounts[measure, "total"] = sum((amounts[measure, k] for k in CLASSES[1:3]), amounts[measure, "ps"])
-        for klass in CLASSES:
-            amounts["unobligated", klass] = amounts["allotment", klass] - amounts["obligations", klass]
-        allotment, obligations = amounts["allotment", "total"], amounts["obligations", "total"]
-        rate = F.round(F.try_divide(obligations * 100, allotment), 2)
-        if label is None:
-            amounts["allotment", "total"] = allotment + error
-        cells = {key: _printed(amount, indent) for key, amount in amounts.items()}
-        if label == "Continuing Appropriation":
-            stray = (F.col("s_acctbal") > 9000) & (amounts["obligations", "co"] > 0)
-            spoiled = F.concat(F.format_number(amounts["obligations", "co"], 0), F.lit("- "))
-            cells["obligations", "co"] = F.when(stray, spoiled).otherwise(cells["obligations", "co"])
-        name = (
-            F.concat(F.lit('<a href="/files/SAOB2013/Final/'), "s_name", F.lit('.pdf"><strong>'), "s_name", F.lit("</strong></a>"))
-            if label is None
-            else F.lit("&nbsp;" * indent + label)
+    linked = F.concat(
+        F.lit('<a href="/files/SAOB2013/Final/'), "s_name", F.lit('.pdf"><strong>'), "s_name", F.lit("</strong></a>")
+    )
+
+    wide = wide.withColumns({"linked": linked, "fault": F.when(balance < 0, balance).otherwise(F.lit(0).cast("long"))})
+
+    def amounts(measure: str, sources: list[str]) -> str:
+        return ", ".join(" + ".join(f"{measure}_{b}_{k}" for b in sources) for k in CLASSES[:3])
+
+    def line(label: str | None, indent: int, sources: list[str]) -> str:
+        stray = "s_acctbal > 9000 and obligations_o_co > 0" if label == "Continuing Appropriation" else "false"
+        return (
+            f"named_struct('label', {'linked' if label is None else repr(label)}, 'indent', {indent}, "
+            f"'allotment', array({amounts('allotment', sources)}), 'obligations', array({amounts('obligations', sources)}), "
+            f"'error', {'fault' if label is None else '0L'}, 'stray', {stray})"
         )
-        rate_cell = F.when(rate.isNull(), "&nbsp;").otherwise(F.concat(F.format_number(rate, 2), F.lit("%")))
-        rows += [
-            F.concat(F.lit("<tr><td><div>"), name, F.lit("</div></td>\n")),
-            _cell(_printed(allotment, indent)),
-            *[_cell(cells[m, k]) for m in MEASURES for k in CLASSES],
-            _cell(rate_cell),
-            F.lit("</tr>\n"),
-        ]
+
     year = F.col("fiscal_year")
     head = F.concat(F.format_string(_HEADER, year, year, year), F.lit(_CLASS_CELLS + _BLANK_ROW))
-    html = F.concat(head, *rows, F.format_string(_NOTES, F.col("s_name"), F.col("s_name")))
+    body = F.array_join(F.transform("lines", _row_html), "")
+    html = F.concat(head, body, F.format_string(_NOTES, F.col("s_name"), F.col("s_name")))
     file = F.format_string("%d_Q4_%d.htm", year, F.col("l_suppkey"))
-    return wide.select(file.alias("file"), "fiscal_year", F.lit("Q4").alias("quarter"), html.alias("html"))
+    lines = F.expr(f"array({', '.join(line(*definition) for definition in LINES)})")
+    pages = add_once(wide.select("l_suppkey", "s_name", "fiscal_year", lines.alias("lines")), file=file, html=html)
+    return pages.select("file", "fiscal_year", F.lit("Q4").alias("quarter"), "html")
 
 
 # The same statement lines straight from the tables. ``printed`` applies the two deliberate faults.
 STATEMENT_SQL = """
 leaf AS (
-  SELECT l_suppkey AS k, year(l_shipdate) AS fiscal_year,
+  SELECT l_suppkey AS k, CAST(year(l_shipdate) AS INTEGER) AS fiscal_year,
     CASE WHEN l_linestatus = 'O' THEN 'o' WHEN l_linenumber <= 3 THEN 'f1' WHEN l_linenumber <= 5 THEN 'f2' ELSE 'f3' END AS b,
     CASE l_returnflag WHEN 'A' THEN 'ps' WHEN 'N' THEN 'mooe' ELSE 'co' END AS c,
     CAST(round(l_extendedprice * 100) AS BIGINT) AS al,
