@@ -9,7 +9,7 @@ from civicledger.functions.text import let, strip_ws
 
 MONEY = "decimal(20,2)"
 
-_PLAIN = r"(?:[0-9]{1,3}(?:,[0-9]{3})*|[0-9]+)(?:\.[0-9]+)?"
+_PLAIN = r"(?:[0-9]{1,3}(?:,[0-9]{3})*|[0-9]+)"
 _NUMBER = rf"^(?:-?{_PLAIN}|\({_PLAIN}\))$"
 _NOTHING = r"^[\-\s\x{A0}]*$"
 
@@ -24,21 +24,21 @@ def cell_is_blank(raw: Column) -> Column:
 
 
 def clean_amount(raw: Column, kind: str = "decimal(20,0)") -> Column:
-    """Number of a statement cell; dashes and blanks are zero, anything unreadable is null."""
+    """Whole number of a statement cell; dashes and blanks are zero, missing and unreadable cells are null."""
 
     def parsed(cell: Column) -> Column:
         sign = F.when(cell.startswith("-") | cell.startswith("("), "-").otherwise("")
         value = F.concat(sign, F.translate(cell, "-(),", "")).try_cast(kind)
-        return F.when(cell.isNull() | cell.rlike(_NOTHING), F.lit(0).cast(kind)).when(cell.rlike(_NUMBER), value)
+        return F.when(cell.rlike(_NOTHING), F.lit(0).cast(kind)).when(cell.rlike(_NUMBER), value)
 
     return let(strip_ws(raw), parsed)
 
 
 def is_quarantined(raw: Column) -> Column:
-    """Neither a number nor a recognised way to write zero."""
+    """Missing, or neither a number nor a recognised way to write zero."""
 
     def unreadable(cell: Column) -> Column:
-        return F.coalesce(~(cell.rlike(_NUMBER) | cell.rlike(_NOTHING)), F.lit(False))
+        return F.coalesce(~(cell.rlike(_NUMBER) | cell.rlike(_NOTHING)), F.lit(True))
 
     return let(strip_ws(raw), unreadable)
 

@@ -72,10 +72,11 @@ def _resolved(given: Column) -> Column:
 
     directory = F.concat(F.regexp_replace(base_path, r"[^/]*\z", ""), path)
     lead = F.when(base_path.startswith("/"), "").otherwise("/")
-    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(lead, directory))
+    joined = F.regexp_replace(F.concat(lead, directory), r"/{2,}", "/")
+    rooted = F.when(path.startswith("/"), path).otherwise(joined)
 
     def merged(q: Column) -> Column:
-        return let(F.regexp_replace(rooted, r"/{2,}", "/"), lambda p: F.concat(origin, _remove_dots(p), q))
+        return let(rooted, lambda p: F.concat(origin, _remove_dots(p), q))
 
     def tail(q: Column) -> Column:
         return F.concat(

@@ -71,12 +71,10 @@ def allocate_by_share(totals: DataFrame, weights: DataFrame, key: str, segment:
     """Estimate of spending by segment: a key's total split by the segments' share of its appropriation.
 
     Statements have no regional breakdown, so this is an allocation rule; rows are marked as estimates.
-    ``weights`` has one ``weight`` per (key, segment).
+    ``weights`` has one ``weight`` per (key, segment), so a window holds as many rows as there are segments.
     """
-    sums = weights.groupBy(key).agg(F.sum("weight").alias("weight_sum"))
-    shares = weights.join(sums, key).withColumn(
-        "share", F.try_divide(F.col("weight").cast("double"), F.col("weight_sum").cast("double"))
-    )
+    whole = F.sum("weight").over(Window.partitionBy(key))
+    shares = weights.withColumn("share", F.try_divide(F.col("weight").cast("double"), whole.cast("double")))
     return totals.join(shares, key).select(
         key,
         segment,

@@ -1,8 +1,4 @@
-"""Names as they are written mapped to canonical keys, and currencies to a common one.
-
-Crosswalk tables are joined without a broadcast hint: the planner broadcasts them while their size is
-below its threshold and shuffles them otherwise.
-"""
+"""Names as they are written mapped to canonical keys, and currencies to a common one."""
 
 from __future__ import annotations
 
@@ -10,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicledger.functions.money import MONEY
+from civicledger.operators.columns import broadcast_if_small
 
 
 def normalise_name(name: Column) -> Column:
@@ -32,7 +29,7 @@ def apply_crosswalk(facts: DataFrame, crosswalk: DataFrame, name: str, year: str
     condition = normalise_name(F.col(name)) == F.col("_alias")
     if year:
         condition = condition & _validity(year)
-    return facts.join(mapping, condition, "left").drop("_alias", "valid_from", "valid_to")
+    return facts.join(broadcast_if_small(mapping), condition, "left").drop("_alias", "valid_from", "valid_to")
 
 
 def unmatched_names(facts: DataFrame, crosswalk: DataFrame, name: str) -> DataFrame:
@@ -71,7 +68,7 @@ def suggest_matches(unmatched: DataFrame, crosswalk: DataFrame, distance: int =
 
 def align_currency(facts: DataFrame, rates: DataFrame, amount: str = "amount") -> DataFrame:
     """Amounts in a common currency; a currency without a rate gives null and stays visible."""
-    joined = facts.join(rates.select("currency", "rate"), "currency", "left")
+    joined = facts.join(broadcast_if_small(rates.select("currency", "rate")), "currency", "left")
     return joined.withColumn("amount_common", (F.col(amount) * F.col("rate")).cast(MONEY))
 
 

@@ -60,12 +60,12 @@ def trend(df: DataFrame, entity: list[str], value: str) -> DataFrame:
 def period_gaps(df: DataFrame, entity: list[str]) -> DataFrame:
     """Quarters missing between the first and the last quarter of each entity.
 
-    Only bounds and distinct periods are shuffled; the spine is generated after the aggregation.
+    One aggregation: an entity's distinct quarters are a set no longer than its calendar, collected on the
+    map side first, so many rows of one entity stay small.
     """
-    present = df.select(*entity, period_index().alias("period")).distinct()
-    bounds = present.groupBy(*entity).agg(F.min("period").alias("first"), F.max("period").alias("last"))
-    spine = bounds.select(*entity, F.explode(F.sequence("first", "last")).alias("period"))
-    missing = spine.join(present, [*entity, "period"], "left_anti")
+    periods = df.groupBy(*entity).agg(F.collect_set(period_index()).alias("present"))
+    spine = F.sequence(F.array_min("present"), F.array_max("present"))
+    missing = periods.select(*entity, F.explode(F.array_except(spine, F.col("present"))).alias("period"))
     return missing.select(
         *entity,
         F.floor(F.col("period") / QUARTERS).cast("int").alias("year"),

@@ -78,8 +78,15 @@ def _canonical_indent(cells: Column) -> Column:
 
 
 def _is_line(cells: Column) -> Column:
-    """A labelled row with at least the twelve amounts."""
-    return (F.size(cells) > N_AMOUNTS) & (strip_ws(F.get(cells, F.lit(0))) != "")
+    """A labelled row with amounts; trailing cells may be missing, and a note has one cell only."""
+    return (F.size(cells) > 1) & (strip_ws(F.get(cells, F.lit(0))) != "")
+
+
+def _below_header(rows: Column) -> Column:
+    """The rows after the one that names the expense classes."""
+    headers = F.filter(rows, lambda r: F.exists(r["cells"], lambda c: strip_ws(c) == "MOOE"))
+    last = F.coalesce(F.get(headers, F.lit(0))["row_no"], F.lit(-1))
+    return F.slice(rows, last + 2, _ALL)
 
 
 def table_rows(statements: DataFrame) -> DataFrame:
@@ -112,8 +119,9 @@ def statement_lines(statements: DataFrame) -> DataFrame:
     """
     carried = [c for c in statements.columns if c != "html"]
     numbered = F.transform(_rows(F.col("html")), lambda cells, i: F.struct(i.alias("row_no"), cells.alias("cells")))
-    lines = F.filter(numbered, lambda r: _is_line(r["cells"]))
-    parsed = add_once(title_facts(statements), lines=lines)
+    numbered_rows = add_once(title_facts(statements), rows=numbered).drop("html")
+    lines = F.filter(_below_header(F.col("rows")), lambda r: _is_line(r["cells"]))
+    parsed = add_once(numbered_rows, lines=lines)
 
     indents = F.array_sort(F.array_distinct(F.transform("lines", lambda r: _canonical_indent(r["cells"]))))
     label = strip_ws(F.get(F.col("cells"), F.lit(0)))

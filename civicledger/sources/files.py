@@ -28,7 +28,8 @@ def _relative(root: str) -> F.Column:
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(relative_path, size_bytes) of every file below ``root``; names starting ``.git`` are left out.
 
-    The content column is pruned, so only the listing is read.
+    The content column is pruned, so only the listing is read. Spark's file sources leave out files of no
+    bytes and hidden names; an empty file thus counts as missing, and its manifest entry as an orphan.
     """
     return _binary(spark, root, glob).select(_relative(root).alias("relative_path"), F.col("length").alias("size_bytes"))
 
