@@ -81,3 +81,20 @@ def allocate_by_share(totals: DataFrame, weights: DataFrame, key: str, segment:
         (F.col("amount").cast("double") * F.col("share")).cast(MONEY).alias("amount"),
         F.lit(True).alias("estimated"),
     )
+
+
+def kpi_cards(phases: DataFrame, period: str) -> DataFrame:
+    """Key figures per period as (kpi, period, value, change_pct), from rows of merged phases.
+
+    ``obligation_rate`` is spending as a percentage of what was authorised, ``returned_share`` spending as a
+    percentage of collections. The change compares with the period before.
+    """
+    sums = phases.groupBy(period).agg(*[F.sum(c).cast("double").alias(c) for c in ("collected", "authorised", "spent")])
+    figures = sums.withColumn("obligation_rate", rate_percent(F.col("spent"), F.col("authorised"), 4)).withColumn(
+        "returned_share", rate_percent(F.col("spent"), F.col("collected"), 4)
+    )
+    names = ["collected", "authorised", "spent", "obligation_rate", "returned_share"]
+    cards = figures.unpivot([period], names, "kpi", "value").where(F.col("value").isNotNull())
+    before = F.sum("value").over(Window.partitionBy("kpi").orderBy(period).rangeBetween(-1, -1))
+    change = F.round(100 * (F.try_divide(F.col("value"), before) - 1), 4)
+    return cards.select("kpi", F.col(period).alias("period"), "value", change.alias("change_pct"))

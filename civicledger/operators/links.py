@@ -20,8 +20,8 @@ from civicledger.operators.columns import add_once
 _ALL = 2**30
 
 _ANCHOR_OPEN = r"(?i)<a(?=\s)"
-_ANCHOR = r"""(?is)^[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)(?:</a\s*>|\z)"""
-_HREF, _TEXT = 1, 2
+_ANCHOR = r"""(?is)^[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)(?:</a\s*>.*)?\z"""
+_MARK = "\u0001"
 
 _SCRIPT = r"(?is)<script\b([^>]*)>(.*?)</script\s*>"
 _DATA_SCRIPT = r"""(?is)<script\b[^>]*\bid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</script\s*>"""
@@ -46,28 +46,29 @@ def _split_open(text: Column, pattern: str) -> Column:
     return F.slice(F.split(text, pattern), 2, _ALL)
 
 
-def _href(chunk: Column) -> Column:
-    return strip_ws(decode_entities(F.trim(F.regexp_extract(chunk, _ANCHOR, _HREF), F.lit("\"'"))))
+def _anchors(html: Column) -> Column:
+    """What follows each ``<a``, as address and inner HTML with a mark between; no mark, no address."""
+    chunks = _split_open(F.translate(without_hidden_markup(html), _MARK, ""), _ANCHOR_OPEN)
+    return F.transform(chunks, lambda chunk: F.regexp_replace(chunk, _ANCHOR, f"$1{_MARK}$2"))
+
+
+def _href(anchor: Column) -> Column:
+    return strip_ws(decode_entities(F.trim(F.substring_index(anchor, _MARK, 1), F.lit("\"'"))))
 
 
 def page_anchors(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every ``<a href>`` of each page with its position on the page, address and text."""
-    chunks = _split_open(without_hidden_markup(F.col(html)), _ANCHOR_OPEN)
     rest = [c for c in pages.columns if c != html]
-    exploded = pages.select(*rest, F.posexplode(chunks).alias("pos", "chunk")).where(F.col("chunk").rlike(_ANCHOR))
-    return exploded.select(
-        *rest,
-        "pos",
-        _href(F.col("chunk")).alias("href"),
-        html_text(F.regexp_extract("chunk", _ANCHOR, _TEXT)).alias("text"),
-    )
+    anchors = pages.select(*rest, F.posexplode(_anchors(F.col(html))).alias("pos", "anchor"))
+    anchor = F.col("anchor")
+    href, text = _href(anchor), html_text(F.substring_index(anchor, _MARK, -1))
+    return add_once(anchors.where(anchor.contains(_MARK)), href=href, text=text).select(*rest, "pos", "href", "text")
 
 
 def anchor_urls(html: Column, base: Column) -> Column:
     """Workbook addresses among a page's anchors, as an array."""
-    chunks = _split_open(without_hidden_markup(html), _ANCHOR_OPEN)
-    likely = F.filter(chunks, lambda c: c.rlike(_MAY_NAME_WORKBOOK) & c.rlike(_ANCHOR))
-    urls = F.transform(likely, lambda c: resolve_url(base, _href(c)))
+    likely = F.filter(_anchors(html), lambda a: a.contains(_MARK) & a.rlike(_MAY_NAME_WORKBOOK))
+    urls = F.transform(likely, lambda a: resolve_url(base, _href(a)))
     return F.when(html.rlike(_MAY_NAME_WORKBOOK), F.filter(urls, lambda u: path_has_suffix(u))).otherwise(_no_urls())
 
 

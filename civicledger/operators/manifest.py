@@ -135,3 +135,21 @@ def run_summary_json(runs: DataFrame) -> DataFrame:
     """The run log as one JSON object per run."""
     fields = ["name", "success", "files_downloaded", "files_skipped", "error"]
     return runs.select("run_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("summary"))
+
+
+def ingest_report(runs: DataFrame, validation: DataFrame, order: str = "run_id") -> DataFrame:
+    """The last result of every source, the validation counts and the overall outcome as one JSON object.
+
+    The map has one entry per source name, so it is as long as the list of sources.
+    """
+    fields = ["success", "files_downloaded", "files_skipped", "error"]
+    last = runs.groupBy("name").agg(F.max(F.struct(order, *fields)).alias("last"))
+    result = F.struct(*[F.col(f"last.{f}").alias(f) for f in fields])
+    extractors = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", result.alias("result")))))
+    counts = validation.select(F.to_json(F.struct(*validation.columns))).scalar()
+    summary = last.agg(
+        extractors.alias("extractors"), F.coalesce(F.bool_or("last.success"), F.lit(False)).alias("overall_success")
+    )
+    body = F.to_json(F.struct("extractors", "overall_success"), {"ignoreNullFields": "false"})
+    joined = F.concat(F.rtrim(body, F.lit("}")), F.lit(',"validation":'), counts, F.lit("}"))
+    return summary.select(joined.alias("report"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from civicledger.functions.money import MONEY, cell_is_blank, clean_amount, clean_rate, is_quarantined
 from civicledger.functions.text import NBSP, decode_entities, first_match, strip_ws
 from civicledger.operators.columns import add_once
+from civicledger.operators.periods import ytd_to_flow
 
 _ALL = 2**30
 # Markers that stand for structure while a page is taken apart, and the tags that become them.
@@ -327,3 +328,18 @@ def trend_scope(lines: DataFrame, file: str = "file") -> DataFrame:
     is_grand = F.col("label").rlike(r"(?i)^GRAND").cast("int")
     picked = totals.groupBy(file).agg(F.min(F.struct(is_grand.alias("rank"), *["row_no", *[c for c in rest if c != "row_no"]])).alias("t"))
     return picked.select(file, "t.*").drop("rank").select(*lines.columns)
+
+
+def quarterly_flows(facts: DataFrame, line: list[str]) -> DataFrame:
+    """Flows of each quarter from long facts of several statements, whose amounts accumulate over the year.
+
+    ``line`` names the columns that identify a line across statements, e.g. department and label.
+    """
+    keys = [*line, "measure", "expense_class"]
+    ytd = facts.select(
+        *keys,
+        F.col("fiscal_year").alias("year"),
+        F.substring("quarter", 2, 1).cast("int").alias("quarter"),
+        F.col("amount").alias("ytd"),
+    )
+    return ytd_to_flow(ytd, keys)

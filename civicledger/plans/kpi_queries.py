@@ -141,6 +141,28 @@ def phase_merge(spark: SparkSession, folder: str) -> DataFrame:
     return B.merge_phases(phases, ["region", "year"])
 
 
+@query(
+    "kpi_cards",
+    f"""
+WITH {COLLECTED_SQL}, {SPENT_SQL},
+y AS (
+  SELECT year, CAST(sum(amount) AS DOUBLE) AS collected, NULL::DOUBLE AS authorised, NULL::DOUBLE AS spent FROM (
+    SELECT region, year, CAST(sum(amount) AS DECIMAL(20, 2)) AS amount FROM collected GROUP BY ALL) GROUP BY year
+  UNION ALL SELECT year, NULL, CAST(sum(a) AS DOUBLE), NULL FROM (SELECT region, year, CAST(sum(price) AS DECIMAL(20, 2)) AS a FROM spent GROUP BY ALL) GROUP BY year
+  UNION ALL SELECT year, NULL, NULL, CAST(sum(a) AS DOUBLE) FROM (SELECT region, year, CAST(sum(net) AS DECIMAL(20, 2)) AS a FROM spent WHERE l_linestatus = 'F' GROUP BY ALL) GROUP BY year
+), t AS (SELECT CAST(year AS INTEGER) AS period, max(collected) AS collected, max(authorised) AS authorised, max(spent) AS spent FROM y GROUP BY year),
+k AS (
+  SELECT 'collected' AS kpi, period, collected AS value FROM t UNION ALL SELECT 'authorised', period, authorised FROM t
+  UNION ALL SELECT 'spent', period, spent FROM t UNION ALL SELECT 'obligation_rate', period, round(100 * spent / authorised, 4) FROM t
+  UNION ALL SELECT 'returned_share', period, round(100 * spent / collected, 4) FROM t)
+SELECT kpi, period, value, round(100 * (value / b.v - 1), 4) AS change_pct
+FROM k LEFT JOIN (SELECT kpi AS bk, period + 1 AS bp, value AS v FROM k) b ON bk = kpi AND bp = period
+WHERE value IS NOT NULL""",
+)
+def kpi_cards(spark: SparkSession, folder: str) -> DataFrame:
+    return B.kpi_cards(phase_merge(spark, folder), "year")
+
+
 @query(
     "source_registry",
     f"""

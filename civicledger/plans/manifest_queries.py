@@ -269,3 +269,17 @@ def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
     source = S.choose(F.col("doc_id") % 3, ["gaa", "tax", "saaodb"])
     files = S.document_manifest(spark, folder).withColumn("source", source)
     return M.validation_summary(files, entries, M.integrity_errors(_checked_workbooks(spark, folder)))
+
+
+@query(
+    "ingest_report",
+    f"""WITH {S.RUNS_SQL}, last AS (SELECT name, max_by(run_id, run_id) AS run_id FROM runs GROUP BY name),
+e AS (SELECT name, '"' || name || '":{{"success":' || CASE WHEN success THEN 'true' ELSE 'false' END || ',"files_downloaded":' || files_downloaded
+  || ',"files_skipped":' || files_skipped || ',"error":' || coalesce('"' || replace(error, '"', '\\"') || '"', 'null') || '}}' AS body, success
+  FROM runs JOIN last USING (name, run_id)), {WORKBOOKS_SQL}
+SELECT '{{"extractors":{{' || string_agg(body, ',' ORDER BY name) || '}},"overall_success":' || CASE WHEN bool_or(success) THEN 'true' ELSE 'false' END
+  || ',"validation":{{"n_total":' || (SELECT count(*) FROM checked) || ',"n_valid":' || (SELECT count(*) FROM checked WHERE status = 'valid')
+  || ',"n_corrupt":' || (SELECT count(*) FROM checked WHERE status <> 'valid') || '}}}}' AS report FROM e""",
+)
+def ingest_report(spark: SparkSession, folder: str) -> DataFrame:
+    return M.ingest_report(S.runs(spark, folder), M.integrity_totals(_checked_workbooks(spark, folder)))

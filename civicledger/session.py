@@ -12,6 +12,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Parsing is heavy per byte: let small shuffles keep enough partitions for all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
