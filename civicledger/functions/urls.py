@@ -27,12 +27,12 @@ def url_part(url: Column, part: str) -> Column:
 
 def url_path(url: Column) -> Column:
     """Path without the parameters of its last segment."""
-    return F.regexp_replace(url_part(url, "path"), r";[^/]*$", "")
+    return F.regexp_replace(url_part(url, "path"), r";[^/]*\z", "")
 
 
 def path_has_suffix(url: Column, suffixes: tuple[str, ...] = ("xlsx", "xls")) -> Column:
     """Does the URL *path* end in one of the extensions (query and fragment ignored)?"""
-    return F.lower(url_path(url)).rlike(rf"\.(?:{'|'.join(suffixes)})$")
+    return F.lower(url_path(url)).rlike(rf"\.(?:{'|'.join(suffixes)})\z")
 
 
 def url_basename(url: Column, fetched_at: Column | None = None) -> Column:

@@ -23,8 +23,10 @@ _ANCHOR_OPEN = r"(?i)<a(?=\s)"
 _ANCHOR = r"""(?is)^[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)[^>]*>(.*?)(?:</a\s*>.*)?\z"""
 _MARK = "\u0001"
 
-_SCRIPT = r"(?is)<script\b([^>]*)>(.*?)</script\s*>"
-_DATA_SCRIPT = r"""(?is)<script\b[^>]*\bid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</script\s*>"""
+# Comments are matched too, so that scripts inside them are passed over.
+_SCRIPT_OR_COMMENT = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>"
+_SCRIPT_BODY = r"(?is)^<script\b[^>]*>(.*?)</script\s*>\z"
+_DATA_SCRIPT = r"""(?is)^<script\b[^>]*\bid\s*=\s*["']?__NEXT_DATA__["'\s>]"""
 _STREAM_MARK = "self.__next_f.push"
 
 # A JSON string together with a following colon, which tells a key from a value. The possessive
@@ -72,27 +74,36 @@ def anchor_urls(html: Column, base: Column) -> Column:
     return F.when(html.rlike(_MAY_NAME_WORKBOOK), F.filter(urls, lambda u: path_has_suffix(u))).otherwise(_no_urls())
 
 
+def _scripts(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit(_SCRIPT_OR_COMMENT), F.lit(0))
+
+
+def _script_body(script: Column) -> Column:
+    return F.regexp_extract(script, _SCRIPT_BODY, 1)
+
+
 def json_urls(html: Column, base: Column) -> Column:
     """Workbook addresses among the string values, at any depth, of a page's embedded JSON.
 
     Object keys do not count and a body that is not JSON has no addresses.
     """
-    body = F.regexp_extract(html, _DATA_SCRIPT, 1)
+    data_scripts = F.filter(_scripts(html), lambda s: s.rlike(_DATA_SCRIPT))
+    body = _script_body(F.get(data_scripts, F.lit(0)))
     valid = F.try_parse_json(body).isNotNull()
     literals = F.regexp_extract_all(body, F.lit(_JSON_STRING), F.lit(0))
     values = F.filter(literals, lambda s: ~s.endswith(":") & s.rlike(_MAY_NAME_WORKBOOK))
     decoded = F.transform(values, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string"))
-    wanted = F.filter(decoded, lambda u: F.lower(u).rlike(r"\.xlsx?$") | path_has_suffix(u))
+    wanted = F.filter(decoded, lambda u: F.lower(u).rlike(r"\.xlsx?\z") | path_has_suffix(u))
     resolved = F.transform(wanted, lambda u: resolve_url(base, u))
-    return F.when(body.rlike(_MAY_NAME_WORKBOOK) & valid, resolved).otherwise(_no_urls())
+    worthwhile = html.contains("__NEXT_DATA__") & html.rlike(_MAY_NAME_WORKBOOK)
+    return F.when(worthwhile & F.coalesce(valid, F.lit(False)), resolved).otherwise(_no_urls())
 
 
 def stream_urls(html: Column, base: Column) -> Column:
     """Quoted workbook addresses in streamed page scripts, whose slashes may be escaped."""
-    bodies = F.regexp_extract_all(html, F.lit(_SCRIPT), F.lit(2))
-    streamed = F.filter(bodies, lambda b: b.contains(_STREAM_MARK))
+    streamed = F.filter(_scripts(html), lambda s: ~s.startswith("<!--") & s.contains(_STREAM_MARK))
     found = F.transform(
-        streamed, lambda b: F.regexp_extract_all(F.replace(b, F.lit("\\/"), F.lit("/")), F.lit(_QUOTED_WORKBOOK), F.lit(1))
+        streamed, lambda s: F.regexp_extract_all(F.replace(_script_body(s), F.lit("\\/"), F.lit("/")), F.lit(_QUOTED_WORKBOOK), F.lit(1))
     )
     return F.when(html.contains(_STREAM_MARK), F.transform(F.flatten(found), lambda u: resolve_url(base, u))).otherwise(_no_urls())
 

@@ -99,41 +99,52 @@ def integrity_errors(checked: DataFrame, status: str = "status", good: str = "va
     )
 
 
-def validation_summary(files: DataFrame, manifest: DataFrame, corrupt: DataFrame) -> DataFrame:
+def validation_summary(files: DataFrame, manifest: DataFrame, workbooks: DataFrame, tables: DataFrame) -> DataFrame:
     """One row of validation counts.
 
-    The inputs are turned into one stream of (metric, n) rows, so a single aggregation with map-side
-    partial counts answers all of them. Lists of offending paths can be of any length: they are the rows
-    of :func:`orphans` and :func:`integrity_errors`, not array cells.
+    ``files`` have a ``source``, ``workbooks`` and ``tables`` a ``status`` per checked file. All inputs are
+    turned into one stream of metrics, so a single aggregation with partial counts answers everything. Lists
+    of offending files can be of any length: they are the rows of :func:`validation_details`.
     """
 
     def tally(df: DataFrame, metric: Column) -> DataFrame:
         return df.select(metric.alias("metric"))
 
-    source_files = tally(files, F.concat(F.lit("files_"), F.col("source")))
     metrics = (
-        source_files.unionByName(tally(manifest, F.lit("manifest_entries")))
-        .unionByName(tally(orphans(manifest, files), F.lit("manifest_orphans")))
-        .unionByName(tally(corrupt, F.lit("corrupt_files")))
+        tally(files, F.concat(F.lit("files_"), F.col("source")))
+        .unionByName(tally(manifest, F.lit("entry")))
+        .unionByName(tally(orphans(manifest, files), F.lit("orphan")))
+        .unionByName(tally(workbooks, F.when(F.col("status") == "valid", "workbook_valid").otherwise("workbook_corrupt")))
+        .unionByName(tally(tables, F.when(F.col("status") == "ok", "table_ok").otherwise("table_corrupt")))
     )
 
-    def n(condition: Column, name: str) -> Column:
-        return F.count_if(condition).alias(name)
+    def n(name: str, *values: str) -> Column:
+        return F.count_if(F.col("metric").isin(*values)).alias(name)
 
-    metric = F.col("metric")
     return metrics.agg(
-        n(metric == "files_gaa", "gaa_files"),
-        n(metric == "files_tax", "tax_files"),
-        n(metric == "files_saaodb", "saaodb_files"),
-        n(metric == "manifest_entries", "manifest_entries"),
-        n(metric == "manifest_orphans", "manifest_orphans"),
-        n(metric == "corrupt_files", "corrupt_files"),
+        n("gaa_files", "files_gaa"),
+        n("tax_files", "files_tax"),
+        n("saaodb_files", "files_saaodb"),
+        n("saaodb_xlsx_total", "workbook_valid", "workbook_corrupt"),
+        n("saaodb_xlsx_valid", "workbook_valid"),
+        n("saaodb_xlsx_corrupt", "workbook_corrupt"),
+        n("manifest_entries", "entry"),
+        n("manifest_orphans", "orphan"),
+        n("parquet_errors", "table_corrupt"),
     ).withColumn("manifest_exists", F.col("manifest_entries") > 0)
 
 
+def validation_details(files: DataFrame, manifest: DataFrame, workbooks: DataFrame, tables: DataFrame) -> DataFrame:
+    """Every file that validation objects to, as (file, error, detail)."""
+    missing = orphans(manifest, files).select(
+        F.col("relative_path").alias("file"), F.lit("orphan").alias("error"), F.lit("missing from disk").alias("detail")
+    )
+    return missing.unionByName(integrity_errors(workbooks)).unionByName(integrity_errors(tables, good="ok"))
+
+
 def run_summary_json(runs: DataFrame) -> DataFrame:
     """The run log as one JSON object per run."""
-    fields = ["name", "success", "files_downloaded", "files_skipped", "error"]
+    fields = ["name", "success", "files_downloaded", "files_skipped", "duration_seconds", "error"]
     return runs.select("run_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("summary"))
 
 
@@ -142,7 +153,7 @@ def ingest_report(runs: DataFrame, validation: DataFrame, order: str = "run_id")
 
     The map has one entry per source name, so it is as long as the list of sources.
     """
-    fields = ["success", "files_downloaded", "files_skipped", "error"]
+    fields = ["success", "files_downloaded", "files_skipped", "duration_seconds", "error"]
     last = runs.groupBy("name").agg(F.max(F.struct(order, *fields)).alias("last"))
     result = F.struct(*[F.col(f"last.{f}").alias(f) for f in fields])
     extractors = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", result.alias("result")))))

@@ -246,36 +246,61 @@ def overall_success(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "run_summary_json",
     f"""WITH {S.RUNS_SQL} SELECT run_id, '{{"name":"' || name || '","success":' || CASE WHEN success THEN 'true' ELSE 'false' END
-|| ',"files_downloaded":' || files_downloaded || ',"files_skipped":' || files_skipped || ',"error":'
+|| ',"files_downloaded":' || files_downloaded || ',"files_skipped":' || files_skipped || ',"duration_seconds":' || duration_seconds || ',"error":'
 || coalesce('"' || replace(error, '"', '\\"') || '"', 'null') || '}}' AS summary FROM runs""",
 )
 def run_summary_json(spark: SparkSession, folder: str) -> DataFrame:
     return M.run_summary_json(S.runs(spark, folder))
 
 
+TABLE_FILES_SQL = """
+signed AS (
+  SELECT source || '/' || doc_id || '.xlsx' AS relative_path, CASE doc_id % 4 WHEN 3 THEN 'ok' ELSE 'bad_header' END AS status
+  FROM documents)"""
+
+
+def _validated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Labelled documents as the files on disk, all documents as entries, and the checked contents."""
+    source = S.choose(F.col("doc_id") % 3, ["gaa", "tax", "saaodb"])
+    files = S.document_manifest(spark, folder).withColumn("source", source)
+    entries = S.document_files(spark, folder).select("relative_path", "size_bytes")
+    return files, entries, _checked_workbooks(spark, folder), parquet_magic_bytes(spark, folder)
+
+
 @query(
     "validation_summary",
     f"""WITH {FILES_SQL}, named AS (
   SELECT doc_id, relative_path, CASE doc_id % 3 WHEN 0 THEN 'gaa' WHEN 1 THEN 'tax' ELSE 'saaodb' END AS source FROM files
-), disk AS (SELECT * FROM named WHERE doc_id IN (SELECT doc_id FROM labels)), {WORKBOOKS_SQL}
+), disk AS (SELECT * FROM named WHERE doc_id IN (SELECT doc_id FROM labels)), {WORKBOOKS_SQL}, {TABLE_FILES_SQL}
 SELECT count(*) FILTER (source = 'gaa') AS gaa_files, count(*) FILTER (source = 'tax') AS tax_files,
-  count(*) FILTER (source = 'saaodb') AS saaodb_files, (SELECT count(*) FROM files) AS manifest_entries,
+  count(*) FILTER (source = 'saaodb') AS saaodb_files, (SELECT count(*) FROM checked) AS saaodb_xlsx_total,
+  (SELECT count(*) FROM checked WHERE status = 'valid') AS saaodb_xlsx_valid,
+  (SELECT count(*) FROM checked WHERE status <> 'valid') AS saaodb_xlsx_corrupt,
+  (SELECT count(*) FROM files) AS manifest_entries,
   (SELECT count(*) FROM files WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS manifest_orphans,
-  (SELECT count(*) FROM checked WHERE status <> 'valid') AS corrupt_files, TRUE AS manifest_exists
+  (SELECT count(*) FROM signed WHERE status <> 'ok') AS parquet_errors, TRUE AS manifest_exists
 FROM disk""",
 )
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
-    entries = S.document_files(spark, folder)
-    source = S.choose(F.col("doc_id") % 3, ["gaa", "tax", "saaodb"])
-    files = S.document_manifest(spark, folder).withColumn("source", source)
-    return M.validation_summary(files, entries, M.integrity_errors(_checked_workbooks(spark, folder)))
+    return M.validation_summary(*_validated(spark, folder))
+
+
+@query(
+    "validation_details",
+    f"""WITH {FILES_SQL}, {WORKBOOKS_SQL}, {TABLE_FILES_SQL}
+SELECT relative_path AS file, 'orphan' AS error, 'missing from disk' AS detail FROM files WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT relative_path, 'corrupt', status FROM checked WHERE status <> 'valid'
+UNION ALL SELECT relative_path, 'corrupt', status FROM signed WHERE status <> 'ok'""",
+)
+def validation_details(spark: SparkSession, folder: str) -> DataFrame:
+    return M.validation_details(*_validated(spark, folder))
 
 
 @query(
     "ingest_report",
     f"""WITH {S.RUNS_SQL}, last AS (SELECT name, max_by(run_id, run_id) AS run_id FROM runs GROUP BY name),
 e AS (SELECT name, '"' || name || '":{{"success":' || CASE WHEN success THEN 'true' ELSE 'false' END || ',"files_downloaded":' || files_downloaded
-  || ',"files_skipped":' || files_skipped || ',"error":' || coalesce('"' || replace(error, '"', '\\"') || '"', 'null') || '}}' AS body, success
+  || ',"files_skipped":' || files_skipped || ',"duration_seconds":' || duration_seconds || ',"error":' || coalesce('"' || replace(error, '"', '\\"') || '"', 'null') || '}}' AS body, success
   FROM runs JOIN last USING (name, run_id)), {WORKBOOKS_SQL}
 SELECT '{{"extractors":{{' || string_agg(body, ',' ORDER BY name) || '}},"overall_success":' || CASE WHEN bool_or(success) THEN 'true' ELSE 'false' END
   || ',"validation":{{"n_total":' || (SELECT count(*) FROM checked) || ',"n_valid":' || (SELECT count(*) FROM checked WHERE status = 'valid')

@@ -236,6 +236,7 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
         ((F.col("value") >= 50) & ~failed).alias("success"),
         F.when(failed, 0).otherwise(F.floor("value")).cast("int").alias("files_downloaded"),
         (F.col("user_id") % 5).cast("int").alias("files_skipped"),
+        F.round("value", 2).alias("duration_seconds"),
         F.when(failed, F.concat(F.lit('timeout "'), F.col("user_id").cast("string"), F.lit('"'))).alias("error"),
         F.to_date("ts").alias("day"),
         F.when(failed, "failed").when(F.col("user_id") % 5 == 0, "skipped").otherwise("downloaded").alias("status"),
@@ -248,7 +249,7 @@ runs AS (
     CASE user_id % 3 WHEN 0 THEN 'GAA (hub)' WHEN 1 THEN 'Tax collection' ELSE 'Quarterly statements' END AS name,
     (value >= 50 AND event_type <> 'error') AS success,
     CAST(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) END AS INTEGER) AS files_downloaded,
-    CAST(user_id % 5 AS INTEGER) AS files_skipped,
+    CAST(user_id % 5 AS INTEGER) AS files_skipped, round(value, 2) AS duration_seconds,
     CASE WHEN event_type = 'error' THEN 'timeout "' || user_id || '"' END AS error,
     CAST(ts AS DATE) AS day,
     CASE WHEN event_type = 'error' THEN 'failed' WHEN user_id % 5 = 0 THEN 'skipped' ELSE 'downloaded' END AS status

@@ -133,7 +133,11 @@ def statement_pages(spark: SparkSession, folder: str) -> DataFrame:
     html = F.concat(head, body, F.format_string(_NOTES, F.col("s_name"), F.col("s_name")))
     file = F.format_string("%d_Q4_%d.htm", year, F.col("l_suppkey"))
     lines = F.expr(f"array({', '.join(line(*definition) for definition in LINES)})")
-    pages = add_once(wide.select("l_suppkey", "s_name", "fiscal_year", lines.alias("lines")), file=file, html=html)
+    # A page is many times larger than its sums, so the pages are spread over all cores, not packed by size.
+    spread = wide.select("l_suppkey", "s_name", "fiscal_year", lines.alias("lines")).repartition(
+        spark.sparkContext.defaultParallelism, "l_suppkey", "fiscal_year"
+    )
+    pages = add_once(spread, file=file, html=html)
     return pages.select("file", "fiscal_year", F.lit("Q4").alias("quarter"), "html")
 
 

@@ -108,6 +108,8 @@ def test_harvest_keeps_first_strategy_and_falls_back(spark):
         (2, "https://e.org/p", "<p>nothing</p>"),
         (3, "https://e.org/direct.xls?x", anchor),
         (4, "https://e.org/p", "<script>'/c.xlsx'</script>"),
+        (5, "https://e.org/p", f"<!-- {anchor}{stream}<script id='__NEXT_DATA__'>[\"a.xls\"]</script> -->"),
+        (6, "https://e.org/d/p", "<script>'<!--'</script><script id=__NEXT_DATA__>[\"a.xls\"]</script>"),
     ]
     schema = "page_id int, url string, html string"
     rendered = [(i, u, f'<a href="/r{i}.xls">r</a><a href="/r{i}.xls">r</a><a href="/r.pdf">no</a>') for i, u, _ in pages[:3]]
@@ -117,6 +119,7 @@ def test_harvest_keeps_first_strategy_and_falls_back(spark):
         (1, "stream", "https://o.org/b.xls?c"),
         (2, "rendered", "https://e.org/r2.xls"),
         (3, "direct", "https://e.org/direct.xls?x"),
+        (6, "json", "https://e.org/d/a.xls"),
     ]
 
 
