@@ -245,18 +245,29 @@ def balance_identity(lines: DataFrame, tolerance: int = 2) -> DataFrame:
 def parent_identity(facts: DataFrame, tolerance: int = 0, file: str = "file") -> DataFrame:
     """Parents whose amount differs from the sum of their children, per measure and expense class.
 
-    ``facts`` are long facts with ``parent_row``. Children are summed before they meet their parents.
+    ``facts`` are long facts with ``parent_row``. Each fact counts once as itself and once towards its
+    parent, so one aggregation replaces the join of parents with children and the pages are parsed once.
     """
+    nothing = F.lit(None).cast(MONEY)
+
+    def role(line: str, own: Column, part: Column, child: int) -> Column:
+        return F.struct(F.col(line).alias("line"), own.alias("own"), part.alias("part"), F.lit(child).alias("child"))
+
+    amount = F.col("amount")
+    roles = F.array(role("row_no", amount, nothing, 0), role("parent_row", nothing, amount, 1))
     column = [file, "measure", "expense_class"]
-    children = (
-        facts.where(F.col("parent_row").isNotNull())
-        .groupBy(*column, F.col("parent_row").alias("row_no"))
-        .agg(F.sum("amount").alias("children_amount"), F.count("*").alias("n_children"))
-    )
-    both = facts.join(children, [*column, "row_no"])
-    return both.withColumn("difference", F.col("amount") - F.col("children_amount")).where(
-        F.abs("difference") > tolerance
+    sums = (
+        facts.select(*column, F.inline(roles))
+        .where(F.col("line").isNotNull())
+        .groupBy(*column, F.col("line").alias("row_no"))
+        .agg(
+            F.max("own").alias("amount"),
+            F.sum("part").alias("children_amount"),
+            F.sum("child").alias("n_children"),
+        )
     )
+    differing = sums.withColumn("difference", F.col("amount") - F.col("children_amount"))
+    return differing.where((F.col("n_children") > 0) & (F.abs("difference") > tolerance))
 
 
 def recomputed_rate(lines: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from civicledger.functions.text import strip_ws
 from civicledger.operators import statements as T
 from civicledger.plans.registry import query
 from civicledger.plans.statement_pages import STATEMENT_SQL, statement_pages
-from civicledger.plans.standins import choose
 from civicledger.sources.tables import table
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from civicledger.plans import standins as S
 from civicledger.plans.manifest_queries import LATEST_SQL

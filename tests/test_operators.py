@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import random
-from datetime import datetime
 from decimal import Decimal
 
 import pytest
