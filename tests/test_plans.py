@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import queries
+from civicledger.plans.catalog import QUERIES
 
 
 def plan(df) -> str:
@@ -14,24 +14,24 @@ def plan(df) -> str:
 PYTHON_ALLOWED = {"parquet_magic"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_joins_and_no_python(spark, small, name):
-    text = plan(queries()[name](spark, small))
+    text = plan(QUERIES[name](spark, small))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert ("MapInPandas" in text) == (name in PYTHON_ALLOWED)
 
 
 def test_scans_read_only_what_is_needed(spark, small):
-    text = plan(queries()["region_balance"](spark, small))
+    text = plan(QUERIES["region_balance"](spark, small))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_tax:double>" in text
     assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double>" in text
-    assert "PushedFilters: [In(source, [src1,src7])]" in plan(queries()["source_filter"](spark, small))
+    assert "PushedFilters: [In(source, [src1,src7])]" in plan(QUERIES["source_filter"](spark, small))
 
 
 @pytest.mark.parametrize("name", ["page_anchors", "harvest_links", "json_walk_urls", "detect_quarter", "content_sha256", "numeric_clean"])
 def test_row_work_needs_no_exchange(spark, small, name):
-    assert "Exchange" not in plan(queries()[name](spark, small))
+    assert "Exchange" not in plan(QUERIES[name](spark, small))
 
 
 def test_large_sides_are_not_broadcast(spark, small):
@@ -39,7 +39,7 @@ def test_large_sides_are_not_broadcast(spark, small):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(queries()["region_balance"](spark, small))
+        text = plan(QUERIES["region_balance"](spark, small))
         assert "BroadcastHashJoin" not in text
         assert "Exchange hashpartitioning(l_orderkey" in text and "partial_sum" in text
     finally:
