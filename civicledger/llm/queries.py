@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicledger.llm import grammar
+from civicledger.llm import fmindex, grammar, packing, sharding, toxicity
 from civicledger.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,25 @@ def op1_repair_tokens(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "repair")
     grammar.write(table(spark, folder, "documents"), path)
     return grammar.read_digests(spark, path)
+
+
+@query
+def op4_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"))
+
+
+@query
+def op6_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "pieces")
+    packing.write_pieces(table(spark, folder, "documents"), path)
+    return packing.place(spark, path)
+
+
+@query
+def op7_fm_index(spark: SparkSession, folder: str) -> DataFrame:
+    return fmindex.digests(fmindex.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+@query
+def op9_segment_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
