@@ -7,6 +7,7 @@ ids are put together again; the result is that of encoding the whole text.
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
@@ -14,8 +15,8 @@ import pyarrow as pa
 
 from civicledger.llm import textbytes as tb
 
-MOST_PIECES = 3_000_000
-SLOT_BITS = 20
+MOST_PIECES = 2_500_000
+SLOT_BITS = 21
 
 _SPACE = ~tb.NOT_SPACE
 #: Bytes that white space may begin with outside ASCII, or that are white space: nothing is cut before these.
@@ -29,7 +30,10 @@ _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of pieces, kept by the hash of their bytes; forgotten when there are over ``MOST_PIECES``."""
+    """Ids of pieces, found by the hash of their bytes in a table with two places for each; bounded, never wrong.
+
+    A piece that was pushed out is encoded again; everything is forgotten when there are over ``MOST_PIECES``.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -37,25 +41,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.ids = np.empty(1 << 20, np.uint32)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ends = [0]
-        #: The pieces seen last, found without a dictionary.
-        self.slot_key = np.zeros(1 << SLOT_BITS, np.uint64)
-        self.slot_at = np.zeros(1 << SLOT_BITS, np.int64)
+        self.ids, self.used = np.empty(1 << 20, np.uint32), 0
+        self.place, self.pieces = np.zeros(1 << 20, np.int32), 0
+        self.keys = [np.zeros(1 << SLOT_BITS, np.uint64) for _ in range(2)]
+        self.at = [np.zeros(1 << SLOT_BITS, np.int32) for _ in range(2)]
+
+    def slots(self, hashed: np.ndarray) -> list[np.ndarray]:
+        return [(hashed >> np.uint64(64 - SLOT_BITS)).astype(np.int32), (hashed & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int32)]
 
-    def add(self, keys: list[int], pieces: list[str]) -> None:
+    def add(self, pieces: list[str]) -> np.ndarray:
+        """Encodes pieces; their numbers."""
+        start = self.pieces
         for at in range(0, len(pieces), 20_000):
-            for key, got in zip(keys[at : at + 20_000], self.tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False), strict=True):
-                end = self.ends[-1] + len(got.ids)
-                if end > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), len(got.ids)), np.uint32)])
-                self.ids[self.ends[-1] : end] = got.ids
-                self.known[key] = len(self.ends) - 1
-                self.ends.append(end)
+            got = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            flat = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(lengths.sum()))
+            ends = self.used + np.cumsum(lengths)
+            self.ids = _room(self.ids, int(ends[-1]))
+            self.ids[self.used : ends[-1]] = flat
+            self.place = _room(self.place, self.pieces + len(got) + 1)
+            self.place[self.pieces + 1 : self.pieces + len(got) + 1] = ends
+            self.used, self.pieces = int(ends[-1]), self.pieces + len(got)
+        return np.arange(start, self.pieces, dtype=np.int32)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids start (and the last end)."""
@@ -74,31 +84,35 @@ class Encoder:
         starts = np.flatnonzero(edge)
         ends = np.r_[starts[1:], len(data)]
         hashed = tb.cut(tb.prefix(data), starts, ends)
-        if len(self.known) > MOST_PIECES:
+        if self.pieces > MOST_PIECES:
             self.forget()
-        slot = (hashed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        at = self.slot_at[slot]
-        missed = np.flatnonzero(self.slot_key[slot] != hashed)
+        one, two = self.slots(hashed)
+        at = self.at[0][one]
+        missed = np.flatnonzero(self.keys[0][one] != hashed)
+        if len(missed):
+            at[missed] = self.at[1][two[missed]]
+            missed = missed[self.keys[1][two[missed]] != hashed[missed]]
         if len(missed):
             distinct, first, which = np.unique(hashed[missed], return_index=True, return_inverse=True)
-            keys = distinct.tolist()
-            new = [i for i, key in enumerate(keys) if key not in self.known]
-            raw = data.tobytes()
-            self.add([keys[i] for i in new], [raw[starts[j] : ends[j]].decode() for j in missed[first[new]].tolist()])
-            got = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-            at[missed] = got[which]
-            slot = (distinct >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            self.slot_at[slot], self.slot_key[slot] = got, distinct
-            slot_of = self.slot_key[slot] == distinct  # of several for one slot the last stays
-            self.slot_at[slot[slot_of]] = got[slot_of]
-        bounds = np.array(self.ends)
-        place = bounds[at]
-        counts = bounds[at + 1] - place
+            new = self.add([data[starts[j] : ends[j]].tobytes().decode() for j in missed[first].tolist()])
+            at[missed] = new[which]
+            one, two = self.slots(distinct)
+            free = self.keys[0][one] == 0
+            for table, slot, chosen in ((0, one, free), (1, two, ~free)):
+                slot, last = np.unique(slot[chosen][::-1], return_index=True)  # of several for one slot one stays
+                self.keys[table][slot] = distinct[chosen][::-1][last]
+                self.at[table][slot] = new[chosen][::-1][last]
+        place = self.place[at].astype(np.int64)
+        counts = self.place[at + 1] - place
         before_piece = np.r_[0, np.cumsum(counts)]
         ids = self.ids[np.repeat(place - before_piece[:-1], counts) + np.arange(before_piece[-1])]
         return ids, before_piece[np.searchsorted(starts, offsets)]
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(len(array) // 2, size - len(array)), array.dtype)])
+
+
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)

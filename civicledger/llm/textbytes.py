@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.Generator(np.random.PCG64(20240)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: list[np.ndarray] = []
@@ -44,7 +44,8 @@ def batches(stream: Iterator[pa.RecordBatch], text: str = "text", most: int = BA
 
 def buffer(column: pa.Array, separator: str = "") -> tuple[np.ndarray, np.ndarray]:
     """All texts in one row of bytes and where each starts (and the last ends). Null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    kind = pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()
+    column = pc.fill_null(column.cast(kind), b"" if kind == pa.large_binary() else "")
     if separator:
         column = pc.binary_join_element_wise(column, pa.scalar("", pa.large_string()), pa.scalar(separator, pa.large_string()))
     n = len(column)
