@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicledger.llm import fmindex, grammar, packing, sharding, toxicity
+from civicledger.llm import credential_links, fmindex, grammar, packing, partenum, radix_dedup, sharding, toxicity, weighted_fingerprint
 from civicledger.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,23 @@ def op7_fm_index(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_segment_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op3_partenum_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return partenum.groups(spark, table(spark, folder, "documents"))
+
+
+@query
+def op10_radix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return radix_dedup.digests(radix_dedup.cleaned(spark, table(spark, folder, "documents")))
+
+
+@query
+def op5_credential_links(spark: SparkSession, folder: str) -> DataFrame:
+    return credential_links.digests(spark, table(spark, folder, "documents"))
+
+
+@query
+def op8_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_fingerprint.compared(spark, table(spark, folder, "documents"))
