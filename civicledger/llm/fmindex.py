@@ -172,10 +172,10 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _search(windows: Windows, schema: pa.Schema, drop: set[str]):
+def _search(windows: Windows, text: str, names: list[str]):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tb.batches(stream, "_text"):
-            hashed, first = tb.lowered_words(batch.column("_text"), tb.ALNUM)
+        for batch in tb.batches(stream, text):
+            hashed, first = tb.lowered_words(batch.column(text), tb.ALNUM)
             spans: dict[int, list[tuple[int, int]]] = {}
             items: dict[int, set[int]] = {}
             position, window = windows.matches(hashed, first)
@@ -191,7 +191,7 @@ def _search(windows: Windows, schema: pa.Schema, drop: set[str]):
                 old_spans[k] = [x for span in merged for x in span]
                 old_items[k] = sorted(set(old_items[k]) | {windows.names[i] for i in items[k]})
             made = {"_n_words": pa.array(np.diff(first), pa.int64()), "_spans": pa.array(old_spans, pa.list_(pa.int64())), "_items": pa.array(old_items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([made[name] if name in made else batch.column(name) for name in schema.names], schema=pa.schema([(f.name, made[f.name].type if f.name in made else batch.schema.field(f.name).type) for f in schema]))
+            yield pa.RecordBatch.from_arrays([made[name] if name in made else batch.column(name) for name in names], names=names)
 
     return run
 
@@ -204,12 +204,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...] = ("doc
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 1) // block_chars)
     kept = [F.col(c).alias(f"_{k}") for k, c in enumerate(columns)]
-    out = docs.select(*kept, F.col("text").alias("_text"), F.lit(0).cast("bigint").alias("_n_words"), F.array().cast("array<bigint>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
+    text = f"_{columns.index('text')}" if "text" in columns else "_text"
+    kept += [F.col("text").alias("_text")] if text == "_text" else []
+    out = docs.select(*kept, F.lit(0).cast("bigint").alias("_n_words"), F.array().cast("array<bigint>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
     for k in range(blocks):
         own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k)
         windows = Windows([(r.name, r.text) for r in own.select("name", "text").collect()], width)
         schema = T.StructType([f for f in out.schema.fields if k < blocks - 1 or f.name != "_text"])
-        out = out.mapInArrow(_search(windows, pa.schema([(n, pa.null()) for n in schema.names]), set()), schema)
+        out = out.mapInArrow(_search(windows, text, schema.names), schema)
     pairs = F.transform(F.sequence(F.lit(0), (F.size("_spans") / 2 - 1).cast("int")), lambda i: F.struct(F.get("_spans", 2 * i).alias("start"), F.get("_spans", 2 * i + 1).alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return out.select(

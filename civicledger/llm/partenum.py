@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from civicledger.llm import prefilter
 from civicledger.llm import textbytes as tb
 from civicledger.llm.components import components
 from civicledger.session import scratch_dir
 
 WORDS = 5
-FILTER_BITS = 62 << 16
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -111,19 +111,10 @@ def _sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], names=["doc_id", "features"])
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents that may be among ``ids``: a filter of fixed size spares most others the shuffle."""
-    word = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bits = ids.select(word("doc_id").alias("b")).select((F.col("b") / 62).cast("int").alias("_w"), (F.col("b") % 62).cast("int").alias("r"))
-    filter_ = bits.groupBy("_w").agg(F.expr("bit_or(shiftleft(1L, r))").alias("_bits"))
-    own = docs.withColumn("_b", word("doc_id")).withColumn("_w", (F.col("_b") / 62).cast("int"))
-    return own.join(F.broadcast(filter_), "_w").filter(F.expr("(shiftright(_bits, cast(_b % 62 as int)) & 1) = 1")).select("doc_id", "text")
-
-
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (``u``, ``v``) whose shingle sets are similar enough."""
     ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = _only(docs.select("doc_id", "text"), ids).mapInArrow(_sets, "doc_id bigint, features array<bigint>")
+    sets = prefilter.split(docs.select("doc_id", "text"), "doc_id", ids)[0].mapInArrow(_sets, "doc_id bigint, features array<bigint>")
     one, two = (sets.select(F.col("doc_id").alias(c), F.col("features").alias(f"_{c}")) for c in "uv")
     both = pairs.join(one, "u").join(two, "v")
     shared = F.size(F.array_intersect("_u", "_v"))

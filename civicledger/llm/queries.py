@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicledger.llm import credential_links, fmindex, grammar, packing, partenum, radix_dedup, sharding, toxicity, weighted_fingerprint
+from civicledger.llm import credential_links, fmindex, grammar, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
 from civicledger.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op5_credential_links(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return weighted_fingerprint.compared(spark, table(spark, folder, "documents"))
+
+
+@query
+def op2_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.judged(spark, table(spark, folder, "pages"), table(spark, folder, "labels"))

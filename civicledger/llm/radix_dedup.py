@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from civicledger.llm import prefilter
 from civicledger.llm import textbytes as tb
 from civicledger.session import scratch_dir
 
@@ -33,7 +34,6 @@ DEPTH = 100
 GRAM = 24
 BLOCK = 25
 HOT = 50_000
-FILTER_BITS = 62 << 16
 GROUP_ROWS = 20_000
 
 _STRETCH = "anchor bigint, whole bigint, d bigint, pos bigint"
@@ -218,16 +218,6 @@ def _remove(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(removed), pa.array(spans), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def _among(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that may have a ``d`` among the keys, and the others, by a filter of fixed size."""
-    word = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bits = keys.select(word("d").alias("b")).select((F.col("b") / 62).cast("int").alias("_w"), (F.col("b") % 62).cast("int").alias("r"))
-    filter_ = F.broadcast(bits.groupBy("_w").agg(F.expr("bit_or(shiftleft(1L, r))").alias("_bits")))
-    own = rows.withColumn("_b", word("d")).withColumn("_w", (F.col("_b") / 62).cast("int")).join(filter_, "_w", "left")
-    hit = F.expr("coalesce(shiftright(_bits, cast(_b % 62 as int)) & 1, 0) = 1")
-    return own.filter(hit).drop("_b", "_w", "_bits"), own.filter(~hit).drop("_b", "_w", "_bits")
-
-
 def repeats(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Spans to remove: ``d``, ``salt`` (the row's key), ``s`` and ``e`` (bytes, end exclusive); they may overlap."""
     base = scratch_dir(spark, "radix")
@@ -251,7 +241,7 @@ def repeats(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int
 
     def fetched(of: DataFrame) -> DataFrame:
         listed = of.groupBy("d", salt.alias("salt")).agg(F.collect_list(F.struct("anchor", "pos")).alias("listed"))
-        texts = _among(rows, of.select("d"))[0].join(listed, ["d", "salt"]).select("d", "listed", "text")
+        texts = prefilter.split(rows, "d", of.select("d"))[0].join(listed, ["d", "salt"]).select("d", "listed", "text")
         return texts.mapInArrow(_fetch(depth), "anchor bigint, d bigint, pos bigint, bytes binary")
 
     cold = fetched(marked.filter("not again and not hot")).repartition("anchor").sortWithinPartitions("anchor", "d", "pos")
@@ -278,7 +268,7 @@ def cleaned(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int
     path = scratch_dir(spark, "spans")
     repeats(spark, docs, depth, gram, hot).write.parquet(path)
     spans = spark.read.schema("d bigint, salt bigint, s bigint, e bigint").parquet(path)
-    touched, others = _among(keyed(docs), spans.select("d"))
+    touched, others = prefilter.split(keyed(docs), "d", spans.select("d"))
     listed = spans.groupBy("d", "salt").agg(F.collect_list(F.struct("s", "e")).alias("listed"))
     out = touched.join(listed, ["d", "salt"], "left").select("doc_id", "text", "listed").mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     zero = F.lit(0).cast("bigint")

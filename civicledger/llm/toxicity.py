@@ -212,12 +212,12 @@ def _collect(sample: DataFrame, model: Model) -> list[tuple]:
     return [tuple(r) for r in out.collect()]
 
 
-def _score(model: Model, names: list[str]):
+def _score(model: Model, text: str, names: list[str]):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("expected", pa.float64())]))
-        for batch in tb.batches(stream, "_text"):
+        for batch in tb.batches(stream, text):
             rows, spans = [], []
-            for n, found in segments(model, batch.column("_text")):
+            for n, found in segments(model, batch.column(text)):
                 rows.append(features(model, n, found))
                 expected = np.exp(np.minimum(700, model.log_expected(np.array([s for _, _, s in found]), np.full(len(found), n)))).tolist()
                 spans.append([{"start": a, "end": b, "score": s, "expected": e} for (a, b, s), e in zip(found, expected, strict=True) if e < SIGNIFICANT])
@@ -229,11 +229,12 @@ def _score(model: Model, names: list[str]):
 
 def scored(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` of every document with ``score`` and ``passages`` (word spans that chance doesn't explain)."""
-    rows = docs.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(columns)], F.col("text").alias("_text"))
     names = [f"_{k}" for k in range(len(columns))]
+    text = names[columns.index("text")] if "text" in columns else "_text"
+    rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, columns, strict=True)], *[F.col("text").alias("_text")] * (text == "_text"))
     made = T.StructType.fromDDL("score double, passages array<struct<start:bigint,end:bigint,score:double,expected:double>>")
     schema = T.StructType([rows.schema[n] for n in names] + made.fields)
-    out = rows.mapInArrow(_score(model, names), schema)
+    out = rows.mapInArrow(_score(model, text, names), schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, columns, strict=True)], "score", "passages")
 
 
