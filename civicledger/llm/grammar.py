@@ -42,7 +42,8 @@ BLOCKS = (
 def choose_pairs(sequence: np.ndarray, most: int, least: int) -> list[tuple[int, int]]:
     """Frequent pairs, the most frequent first, no symbol being first in one and second in another.
 
-    Occurrences of such pairs can't overlap, so all are replaced at once.
+    Occurrences of such pairs can't overlap, so all are replaced at once. A pair of one symbol twice is taken if the
+    symbol is in no other; in a run of it, every second occurrence counts.
     """
     keys = (sequence[:-1].astype(np.uint64) << np.uint64(24)) | sequence[1:].astype(np.uint64)
     keys.sort()
@@ -50,13 +51,16 @@ def choose_pairs(sequence: np.ndarray, most: int, least: int) -> list[tuple[int,
     counts = np.diff(np.r_[starts, len(keys)])
     often = np.flatnonzero(counts >= least)
     often = often[np.lexsort((keys[starts[often]], -counts[often]))][: 4 * most]
-    left, right, chosen = set(), set(), []
+    left, right, twice, chosen = set(), set(), set(), []
     for key in keys[starts[often]].tolist():
         a, b = key >> 24, key & (SYMBOLS - 1)
-        if a == b or a in right or b in left:
+        if a in right or b in left or a in twice or b in twice or (a == b and (a in left or b in right)):
             continue
-        left.add(a)
-        right.add(b)
+        if a == b:
+            twice.add(a)
+        else:
+            left.add(a)
+            right.add(b)
         chosen.append((a, b))
         if len(chosen) == most:
             break
@@ -80,6 +84,12 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, a_round: int = RU
         starts = np.flatnonzero(row[sequence[:-1]])
         found = table[row[sequence[starts]], column[sequence[starts + 1]]]
         starts, found = starts[found > 0], found[found > 0]
+        even = sequence[starts] == sequence[starts + 1]
+        if even.any():  # in runs of one symbol, from the start of the run
+            run = np.flatnonzero(np.r_[True, sequence[1:] != sequence[:-1]])
+            offset = starts - run[np.searchsorted(run, starts, side="right") - 1]
+            kept = ~even | (offset % 2 == 0)
+            starts, found = starts[kept], found[kept]
         rules += pairs
         lengths += [sum(lengths[x - base] if x >= base else 1 for x in pair) for pair in pairs]
         sequence[starts] = found

@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicledger.llm import credential_links, fmindex, grammar, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
+from civicledger.llm import credential_links, fmindex, grammar, oracles, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
 from civicledger.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_partenum_groups": oracles.OP3, "op7_fm_index": oracles.OP7, "op10_radix_dedup": oracles.OP10}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
