@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 NBSP = "\u00a0"
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
-_ENTITY_OR_TEXT = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
+_ENTITY_OR_TEXT = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
 _NAMED_ENTITIES = json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"})
 
 
@@ -45,6 +45,17 @@ def blank_to_null(col: Column) -> Column:
     return F.when(col != "", col)
 
 
+def from_index(array: Column, index: int) -> Column:
+    """The elements from ``index`` (0-based) on."""
+    return F.filter(array, lambda _, i: i >= index)
+
+
+def _significant(digits: Column) -> Column:
+    """Digits without leading zeros; those of a code that no character has are cut to one that is none either."""
+    plain = F.regexp_replace(digits, r"^0+(?=.)", "")
+    return F.when(F.length(plain) > 7, F.lit("9999999")).otherwise(plain)
+
+
 def _character(code: Column) -> Column:
     valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
@@ -57,10 +68,10 @@ def decode_entities(col: Column) -> Column:
     def one(token: Column) -> Column:
         body = F.substring(token, 2, F.length(token) - 2)
         return (
-            F.when(token.rlike(r"^&#[0-9]+;$"), _character(F.substring(body, 2, F.length(body)).cast("long")))
+            F.when(token.rlike(r"^&#[0-9]+;$"), _character(_significant(F.substr(body, F.lit(2))).cast("long")))
             .when(
                 token.rlike(r"^&#[xX]"),
-                _character(F.conv(F.substring(body, 3, F.length(body)), 16, 10).cast("long")),
+                _character(F.conv(_significant(F.substr(body, F.lit(3))), 16, 10).cast("long")),
             )
             .when(token.rlike(r"^&.+;$"), F.coalesce(F.try_element_at(names, body), token))
             .otherwise(token)
@@ -78,4 +89,5 @@ def html_text(col: Column) -> Column:
 
 def without_hidden_markup(html: Column) -> Column:
     """HTML without comments, scripts and styles, whose content is not markup."""
-    return F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", "")
+    hidden = html.rlike("(?i)<!--|<script|<style")
+    return F.when(hidden, F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)", "")).otherwise(html)

@@ -21,21 +21,20 @@ def merge_phases(phases: dict[str, DataFrame], keys: list[str], value: str = "am
         DataFrame.unionByName,
         [df.select(*keys, F.lit(name).alias("phase"), F.col(value).alias("amount")) for name, df in phases.items()],
     )
-    sums = [F.sum(F.when(F.col("phase") == name, F.col("amount"))).cast(kind).alias(name) for name in phases]
-    return stacked.groupBy(*keys).agg(*sums)
+    return merge_stacked(stacked, keys, list(phases), kind)
 
 
 def region_balance(collected: DataFrame, spent: DataFrame, region: str = "region") -> DataFrame:
     """Each region's share of collections against its share of spending.
 
-    ``ratio`` is spending share over collection share (1 = proportional), ``gap`` their difference. The
-    totals range over one row per region, a list as long as the region table.
+    ``ratio`` is spending share over collection share (1 = proportional), ``gap`` their difference. ``region``
+    may be any key: totals are scalars summed in part by every task.
     """
     both = merge_phases({"collected": collected, "spent": spent}, [region], kind="decimal(38,4)")
-    everywhere = Window.partitionBy()
 
     def share(phase: str) -> F.Column:
-        return F.try_divide(F.col(phase).cast("double"), F.sum(phase).over(everywhere).cast("double"))
+        total = both.select(F.sum(phase)).scalar()
+        return F.try_divide(F.col(phase).cast("double"), total.cast("double"))
 
     shares = both.withColumn("collected_share", share("collected")).withColumn("spent_share", share("spent"))
     ratio = F.try_divide(F.col("spent_share"), F.col("collected_share"))
@@ -50,6 +49,12 @@ def region_balance(collected: DataFrame, spent: DataFrame, region: str = "region
     )
 
 
+def merge_stacked(stacked: DataFrame, keys: list[str], phases: list[str], kind: str = MONEY) -> DataFrame:
+    """As :func:`merge_phases`, from rows of (keys, phase, amount)."""
+    sums = [F.sum(F.when(F.col("phase") == name, F.col("amount"))).cast(kind).alias(name) for name in phases]
+    return stacked.groupBy(*keys).agg(*sums)
+
+
 def obligation_rate(facts: DataFrame, by: list[str], obligations: str, allotment: str) -> DataFrame:
     """Obligations as a percentage of allotments, as a ratio of sums."""
     sums = facts.groupBy(*by).agg(F.sum(obligations).alias("obligations"), F.sum(allotment).alias("allotment"))
@@ -89,12 +94,11 @@ def kpi_cards(phases: DataFrame, period: str) -> DataFrame:
     ``obligation_rate`` is spending as a percentage of what was authorised, ``returned_share`` spending as a
     percentage of collections. The change compares with the period before.
     """
-    sums = phases.groupBy(period).agg(*[F.sum(c).cast("double").alias(c) for c in ("collected", "authorised", "spent")])
-    figures = sums.withColumn("obligation_rate", rate_percent(F.col("spent"), F.col("authorised"), 4)).withColumn(
-        "returned_share", rate_percent(F.col("spent"), F.col("collected"), 4)
-    )
+    sums = phases.groupBy(period).agg(*[F.sum(c).cast("decimal(38,4)").alias(c) for c in ("collected", "authorised", "spent")])
+    percent = lambda whole: rate_percent(F.col("spent").cast("double"), F.col(whole).cast("double"), 4).cast("decimal(38,4)")
+    figures = sums.withColumn("obligation_rate", percent("authorised")).withColumn("returned_share", percent("collected"))
     names = ["collected", "authorised", "spent", "obligation_rate", "returned_share"]
     cards = figures.unpivot([period], names, "kpi", "value").where(F.col("value").isNotNull())
     before = F.sum("value").over(Window.partitionBy("kpi").orderBy(period).rangeBetween(-1, -1))
-    change = F.round(100 * (F.try_divide(F.col("value"), before) - 1), 4)
+    change = F.round(100 * (F.try_divide(F.col("value").cast("double"), before.cast("double")) - 1), 4)
     return cards.select("kpi", F.col(period).alias("period"), "value", change.alias("change_pct"))

@@ -16,12 +16,3 @@ def add_once(df: DataFrame, **columns: Column) -> DataFrame:
     row = F.struct(*[expression.alias(name) for name, expression in columns.items()])
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(row)))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Marks a narrow lookup table for broadcast after its size has been checked.
-
-    Counting stops just beyond the bound. A larger table is returned unmarked and joins by shuffle, where
-    the adaptive skew handling splits names that very many rows share.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicledger.functions.money import MONEY
-from civicledger.operators.columns import broadcast_if_small
 
 
 def normalise_name(name: Column) -> Column:
@@ -14,22 +13,41 @@ def normalise_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(name), r"[^a-z0-9]+", " "))
 
 
-def _validity(year: str) -> Column:
-    return F.col(year).between(F.coalesce("valid_from", F.lit(0)), F.coalesce("valid_to", F.lit(9999)))
+def _mapping(crosswalk: DataFrame) -> DataFrame:
+    """One row per normalised alias: all its canonical keys with the years they hold for."""
+    own = [c for c in ("valid_from", "valid_to") if c in crosswalk.columns]
+    spans = [F.coalesce(F.col(c) if c in own else F.lit(None).cast("int"), F.lit(d)).alias(c) for c, d in (("valid_from", 0), ("valid_to", 9999))]
+    entry = F.struct("canonical", *spans)
+    alias = normalise_name(F.col("alias")).alias("_alias")
+    return crosswalk.where(F.col("canonical").isNotNull()).groupBy(alias).agg(F.array_sort(F.collect_set(entry)).alias("_entries"))
 
 
 def apply_crosswalk(facts: DataFrame, crosswalk: DataFrame, name: str, year: str | None = None) -> DataFrame:
-    """Adds ``canonical``; names without a mapping keep a null there.
+    """Adds ``canonical``; every fact stays one row.
 
-    ``crosswalk`` has (alias, canonical) and, if ``year`` is given, (valid_from, valid_to).
+    ``crosswalk`` has (alias, canonical) and, if ``year`` is given, (valid_from, valid_to). A name without a mapping,
+    or with several canonical keys for the year (or at all, without one), keeps a null: see :func:`ambiguous_aliases`.
     """
-    mapping = crosswalk.select(
-        normalise_name(F.col("alias")).alias("_alias"), *[c for c in crosswalk.columns if c != "alias"]
-    )
-    condition = normalise_name(F.col(name)) == F.col("_alias")
+    fits = F.col("_entries")
     if year:
-        condition = condition & _validity(year)
-    return facts.join(broadcast_if_small(mapping), condition, "left").drop("_alias", "valid_from", "valid_to")
+        fits = F.filter(fits, lambda e: F.col(year).between(e["valid_from"], e["valid_to"]))
+    keys = F.array_distinct(F.transform(fits, lambda e: e["canonical"]))
+    joined = facts.withColumn("_alias", normalise_name(F.col(name))).join(_mapping(crosswalk), "_alias", "left")
+    canonical = F.when(F.size(keys) == 1, F.get(keys, F.lit(0)))
+    return joined.withColumn("canonical", canonical).select(*facts.columns, "canonical")
+
+
+def ambiguous_aliases(crosswalk: DataFrame) -> DataFrame:
+    """Aliases that several canonical keys claim for one and the same year, with those keys."""
+    entries = F.col("_entries")
+    overlap = F.exists(
+        entries,
+        lambda a: F.exists(
+            entries, lambda b: (a["canonical"] != b["canonical"]) & (a["valid_from"] <= b["valid_to"]) & (b["valid_from"] <= a["valid_to"])
+        ),
+    )
+    keys = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["canonical"])))
+    return _mapping(crosswalk).where(overlap).select(F.col("_alias").alias("alias"), F.array_join(keys, ",").alias("canonical_keys"))
 
 
 def unmatched_names(facts: DataFrame, crosswalk: DataFrame, name: str) -> DataFrame:
@@ -61,14 +79,25 @@ def suggest_matches(unmatched: DataFrame, crosswalk: DataFrame, distance: int =
     known = crosswalk.select(normalise_name(F.col("alias")).alias("alias"), "canonical").distinct()
     left = _with_deletions(unmatched.select("name").distinct(), "name", distance)
     right = _with_deletions(known, "alias", distance)
-    pairs = left.join(right, "_form").select("name", "alias", "canonical").distinct()
+    # Names no longer than the distance all share the empty form; they meet by length instead.
+    short = F.lit(distance)
+    long_pairs = left.where("_form <> ''").join(right.where("_form <> ''"), "_form")
+    few = unmatched.select("name").distinct().where(F.length("name") <= short), known.where(F.length("alias") <= short)
+    one, two = (df.withColumn("_letter", F.explode(F.array_distinct(F.split(F.concat(F.lit("."), c), "")))) for df, c in zip(few, ("name", "alias"), strict=True))
+    short_pairs = one.join(two, "_letter")
+    pairs = long_pairs.select("name", "alias", "canonical").union(short_pairs.select("name", "alias", "canonical")).distinct()
     edits = F.levenshtein(F.col("name"), F.col("alias"))
     return pairs.withColumn("edits", edits).where(F.col("edits") <= distance)
 
 
 def align_currency(facts: DataFrame, rates: DataFrame, amount: str = "amount") -> DataFrame:
-    """Amounts in a common currency; a currency without a rate gives null and stays visible."""
-    joined = facts.join(broadcast_if_small(rates.select("currency", "rate")), "currency", "left")
+    """Amounts in a common currency; every fact stays one row.
+
+    A currency without a rate, or with several different ones, gives null and stays visible.
+    """
+    distinct = rates.groupBy("currency").agg(F.min("rate").alias("_low"), F.max("rate").alias("_high"))
+    one = distinct.select("currency", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("rate"))
+    joined = facts.join(one, "currency", "left")
     return joined.withColumn("amount_common", (F.col(amount) * F.col("rate")).cast(MONEY))
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 CONTENT_KEY = ["relative_path", "checksum"]
 
+# The sources that validation counts apart.
+KNOWN_SOURCES = ["gaa", "tax", "saaodb"]
+
 
 def requested_sources(spec: str, valid: list[str]) -> list[str]:
     """Names in a comma-separated request, ``all`` meaning every source; an unknown name is refused."""
@@ -35,19 +38,25 @@ def orphans(manifest: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def latest_entries(entries: DataFrame, key: str = "relative_path", order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """The newest entry per key.
+    """The newest entry per key; texts are compared as points in time, whatever their zone notation.
 
     A maximum over structs combines on the map side, so a key with very many versions moves one row per
     task; a window would bring all its versions together.
     """
     rest = [c for c in entries.columns if c != key and c not in order]
-    newest = entries.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("newest"))
+    kinds = dict(entries.dtypes)
+    ranks = [x for c in order for x in ([F.try_to_timestamp(c).alias(f"_{c}"), c] if kinds[c] == "string" else [c])]
+    newest = entries.groupBy(key).agg(F.max(F.struct(*ranks, *rest)).alias("newest"))
     return newest.select(key, "newest.*").select(*entries.columns)
 
 
 def upsert(manifest: DataFrame, entries: DataFrame, order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """New entries replace older ones of the same path; columns missing on either side are null."""
-    return latest_entries(manifest.unionByName(entries, allowMissingColumns=True), order=order)
+    """New entries replace older ones of the same path, whatever their times; of several new ones the latest wins.
+
+    Columns missing on either side are null.
+    """
+    both = manifest.withColumn("_new", F.lit(0)).unionByName(entries.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    return latest_entries(both, order=("_new", *order)).drop("_new")
 
 
 def run_severity(name: Column, success: Column, error: Column) -> Column:
@@ -93,45 +102,54 @@ def integrity_totals(checked: DataFrame, status: str = "status", good: str = "va
     )
 
 
-def integrity_errors(checked: DataFrame, status: str = "status", good: str = "valid") -> DataFrame:
+def integrity_errors(checked: DataFrame, status: str = "status", good: str = "valid", kind: str = "corrupt_workbook") -> DataFrame:
     return checked.where(F.col(status) != good).select(
-        F.col("relative_path").alias("file"), F.lit("corrupt").alias("error"), F.col(status).alias("detail")
+        F.col("relative_path").alias("file"), F.lit(kind).alias("error"), F.col(status).alias("detail")
     )
 
 
-def validation_summary(files: DataFrame, manifest: DataFrame, workbooks: DataFrame, tables: DataFrame) -> DataFrame:
+def validation_summary(
+    files: DataFrame, manifest: DataFrame, workbooks: DataFrame, tables: DataFrame, manifest_exists: bool = True
+) -> DataFrame:
     """One row of validation counts.
 
-    ``files`` have a ``source``, ``workbooks`` and ``tables`` a ``status`` per checked file. All inputs are
-    turned into one stream of metrics, so a single aggregation with partial counts answers everything. Lists
-    of offending files can be of any length: they are the rows of :func:`validation_details`.
+    ``files`` have a ``source``, ``workbooks`` and ``tables`` a ``status`` per checked file; whether the manifest
+    exists is a fact about its file, not about its entries. Files and entries become rows with marks, one
+    aggregation matches them by path and a second one counts. Sources beyond the three known ones are counted
+    together; :func:`files_per_source` tells them apart. Lists of offending files can be of any length: they are
+    the rows of :func:`validation_details`.
     """
+    none = F.lit(None).cast("string")
 
-    def tally(df: DataFrame, metric: Column) -> DataFrame:
-        return df.select(metric.alias("metric"))
+    def marked(df: DataFrame, path: Column, metric: Column, entry: bool) -> DataFrame:
+        return df.select(path.alias("path"), metric.alias("metric"), F.lit(entry).alias("entry"))
 
-    metrics = (
-        tally(files, F.concat(F.lit("files_"), F.col("source")))
-        .unionByName(tally(manifest, F.lit("entry")))
-        .unionByName(tally(orphans(manifest, files), F.lit("orphan")))
-        .unionByName(tally(workbooks, F.when(F.col("status") == "valid", "workbook_valid").otherwise("workbook_corrupt")))
-        .unionByName(tally(tables, F.when(F.col("status") == "ok", "table_ok").otherwise("table_corrupt")))
+    path = F.col("relative_path")
+    matched = (
+        marked(files, path, F.coalesce("source", F.lit("")), False)
+        .unionByName(marked(manifest, path, none, True))
+        .groupBy("path")
+        .agg(F.count("metric").alias("on_disk"), F.count_if("entry").alias("entries"), *[F.count_if(F.col("metric") == s).alias(s) for s in KNOWN_SOURCES])
+    )
+    orphaned = F.when(F.col("on_disk") == 0, F.col("entries")).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    known = [total(F.col(s)).alias(f"{s}_files") for s in KNOWN_SOURCES]
+    others = total(F.col("on_disk") - sum((F.col(s) for s in KNOWN_SOURCES[1:]), F.col(KNOWN_SOURCES[0]))).alias("other_files")
+    counts = matched.agg(*known, others, total(F.col("entries")).alias("manifest_entries"), total(orphaned).alias("manifest_orphans"))
+    books = integrity_totals(workbooks)
+    book = lambda c: books.select(c).scalar()
+    broken = tables.agg(F.count_if(F.col("status") != "ok").alias("n")).scalar()
+    return counts.select(
+        *[f"{s}_files" for s in KNOWN_SOURCES],
+        "other_files",
+        book("n_total").alias("saaodb_xlsx_total"),
+        book("n_valid").alias("saaodb_xlsx_valid"),
+        book("n_corrupt").alias("saaodb_xlsx_corrupt"),
+        "manifest_entries",
+        "manifest_orphans",
+        broken.alias("parquet_errors"),
+        F.lit(manifest_exists).alias("manifest_exists"),
     )
-
-    def n(name: str, *values: str) -> Column:
-        return F.count_if(F.col("metric").isin(*values)).alias(name)
-
-    return metrics.agg(
-        n("gaa_files", "files_gaa"),
-        n("tax_files", "files_tax"),
-        n("saaodb_files", "files_saaodb"),
-        n("saaodb_xlsx_total", "workbook_valid", "workbook_corrupt"),
-        n("saaodb_xlsx_valid", "workbook_valid"),
-        n("saaodb_xlsx_corrupt", "workbook_corrupt"),
-        n("manifest_entries", "entry"),
-        n("manifest_orphans", "orphan"),
-        n("parquet_errors", "table_corrupt"),
-    ).withColumn("manifest_exists", F.col("manifest_entries") > 0)
 
 
 def validation_details(files: DataFrame, manifest: DataFrame, workbooks: DataFrame, tables: DataFrame) -> DataFrame:
@@ -139,7 +157,7 @@ def validation_details(files: DataFrame, manifest: DataFrame, workbooks: DataFra
     missing = orphans(manifest, files).select(
         F.col("relative_path").alias("file"), F.lit("orphan").alias("error"), F.lit("missing from disk").alias("detail")
     )
-    return missing.unionByName(integrity_errors(workbooks)).unionByName(integrity_errors(tables, good="ok"))
+    return missing.unionByName(integrity_errors(workbooks)).unionByName(integrity_errors(tables, good="ok", kind="corrupt_table"))
 
 
 def run_summary_json(runs: DataFrame) -> DataFrame:
@@ -148,10 +166,11 @@ def run_summary_json(runs: DataFrame) -> DataFrame:
     return runs.select("run_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("summary"))
 
 
-def ingest_report(runs: DataFrame, validation: DataFrame, order: str = "run_id") -> DataFrame:
-    """The last result of every source, the validation counts and the overall outcome as one JSON object.
+def ingest_report(runs: DataFrame, validation: DataFrame, timestamp: str, order: str = "run_id") -> DataFrame:
+    """When, the last result of every source, the whole validation and the overall outcome, as one JSON object.
 
-    The map has one entry per source name, so it is as long as the list of sources.
+    ``timestamp`` is the time of the report as ISO text. The map has one entry per source name, so it is as long
+    as the list of sources.
     """
     fields = ["success", "files_downloaded", "files_skipped", "duration_seconds", "error"]
     last = runs.groupBy("name").agg(F.max(F.struct(order, *fields)).alias("last"))
@@ -161,6 +180,6 @@ def ingest_report(runs: DataFrame, validation: DataFrame, order: str = "run_id")
     summary = last.agg(
         extractors.alias("extractors"), F.coalesce(F.bool_or("last.success"), F.lit(False)).alias("overall_success")
     )
-    body = F.to_json(F.struct("extractors", "overall_success"), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(F.lit(timestamp).alias("timestamp"), "extractors", "overall_success"), {"ignoreNullFields": "false"})
     joined = F.concat(F.rtrim(body, F.lit("}")), F.lit(',"validation":'), counts, F.lit("}"))
     return summary.select(joined.alias("report"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Magnitude classes per factor of ten. Amounts of up to 38 digits fall into at most 2 x 39 x 1,000 + 1
-# classes, which bounds the table of offsets below whatever the data.
-_CLASSES_PER_DECADE = 1000
+from civicledger.operators.columns import add_once
+
+# Classes of about as many distinct values each, between which ranks are added up; the table of classes is as long.
+_CLASSES = 200
 
 
 def hierarchy(df: DataFrame, levels: list[str], value: str) -> DataFrame:
@@ -43,22 +44,22 @@ def rate_percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(100 * part, whole), digits)
 
 
-def _magnitude(value: Column) -> Column:
-    """A monotone class of a number by its sign and logarithm."""
-    size = F.floor(F.log10(F.abs(value).cast("double")) * _CLASSES_PER_DECADE).cast("int") + 40 * _CLASSES_PER_DECADE
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
-
-
 def rank_segments(segments: DataFrame, value: str) -> DataFrame:
-    """Adds ``rank``, ``dense_rank`` and ``percent_rank`` by descending value over all segments.
+    """Adds ``rank``, ``dense_rank`` and ``percent_rank`` by descending value over all segments; nulls come last.
 
     A window without partitions would sort everything in one task. Instead equal values are counted first,
-    distinct values are ranked within classes of magnitude, and each class starts where the larger ones
-    end. The table of class offsets has a fixed upper bound.
+    distinct values are ranked within classes that hold about equally many of them (split at approximate
+    percentiles of the distinct values, whatever their distribution), and each class starts where the larger
+    ones end. ``segments`` is read several times: hand in a written table.
     """
-    counted = segments.groupBy(value).agg(F.count("*").alias("_n")).withColumn("_class", _magnitude(F.col(value)))
+    counted = segments.groupBy(value).agg(F.count("*").alias("_n"))
+    cuts = [i / _CLASSES for i in range(1, _CLASSES)]
+    splits = counted.agg(F.percentile_approx(value, cuts).alias("splits")).scalar()
+    larger = F.coalesce(F.size(F.filter("_splits", lambda s: s > F.col(value))), F.lit(0))
+    counted = add_once(counted, _splits=splits)
+    counted = counted.withColumn("_class", F.when(F.col(value).isNull(), _CLASSES).otherwise(larger)).drop("_splits")
     classes = counted.groupBy("_class").agg(F.sum("_n").alias("_rows"), F.count("*").alias("_values"))
-    above = Window.orderBy(F.col("_class").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     offsets = classes.select(
         "_class",
         F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows_above"),
@@ -71,14 +72,15 @@ def rank_segments(segments: DataFrame, value: str) -> DataFrame:
         .withColumn("_place", F.row_number().over(within))
         .join(offsets, "_class")
         .select(
-            value,
+            F.col(value).alias("_value"),
             (F.col("_rows_above") + F.col("_before") + 1).alias("rank"),
             (F.col("_values_above") + F.col("_place")).alias("dense_rank"),
-            F.col("_all"),
+            "_all",
         )
     )
     percent = F.when(F.col("_all") > 1, (F.col("rank") - 1).cast("double") / (F.col("_all") - 1)).otherwise(F.lit(0.0))
-    return segments.join(ranked, value).withColumn("percent_rank", F.round(percent, 6)).drop("_all")
+    joined = segments.join(ranked, F.col(value).eqNullSafe(F.col("_value")))
+    return joined.withColumn("percent_rank", F.round(percent, 6)).drop("_all", "_value")
 
 
 def share_of_total(segments: DataFrame, value: str, out: str = "share") -> DataFrame:

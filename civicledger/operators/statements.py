@@ -8,15 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicledger.functions.money import MONEY, cell_is_blank, clean_amount, clean_rate, is_quarantined
-from civicledger.functions.text import NBSP, decode_entities, first_match, strip_ws
+from civicledger.functions.money import SCALED, WHOLE, cell_is_blank, clean_amount, clean_rate
+from civicledger.functions.text import NBSP, decode_entities, first_match, from_index, strip_ws
 from civicledger.operators.columns import add_once
 from civicledger.operators.periods import ytd_to_flow
 
-_ALL = 2**30
 # Markers that stand for structure while a page is taken apart, and the tags that become them.
 _CELL, _ROW, _END = "\u0001", "\u0002", "\u0003"
 _STRUCTURE = [
@@ -47,7 +46,12 @@ FIRST_SECTION = "A"
 SAME_INDENT = {5: 6}
 
 THOUSAND = 1000
-MAX_LEVELS = 16
+
+# How a note begins (its number, or the word for a note), and what leads in a list of names.
+_NOTE_START = r"(?i)^(?:([0-9]+)\s*[)/.]|\*+|notes?\s*(?:[0-9]+)?\s*:)"
+_NOTE_NUMBER = r"(?i)^(?:notes?\s*)?([0-9]+)\s*[)/.:]"
+_LIST_LEAD = r"(?is)^.*?(?:\bexcept(?:\s+for)?\b\s*:?|\bas\s+follows\s*:|\bfollowing\s*(?:are)?\s*:?|\bwithout\b[^:]*\bsubmission\b[^:]*:)"
+_LIST_BREAK = r",\s*and\s+|,\s*|;\s*"
 
 
 def _rows(html: Column) -> Column:
@@ -62,10 +66,10 @@ def _rows(html: Column) -> Column:
         text = F.regexp_replace(text, pattern, marker)
 
     def cells(row: Column) -> Column:
-        chunks = F.slice(F.split(row, _CELL), 2, _ALL)
+        chunks = from_index(F.split(row, _CELL), 1)
         return F.transform(chunks, lambda chunk: decode_entities(F.substring_index(chunk, _END, 1)))
 
-    return F.transform(F.slice(F.split(text, _ROW), 2, _ALL), cells)
+    return F.transform(from_index(F.split(text, _ROW), 1), cells)
 
 
 def _indent(cells: Column) -> Column:
@@ -79,15 +83,36 @@ def _canonical_indent(cells: Column) -> Column:
 
 
 def _is_line(cells: Column) -> Column:
-    """A labelled row with amounts; trailing cells may be missing, and a note has one cell only."""
-    return (F.size(cells) > 1) & (strip_ws(F.get(cells, F.lit(0))) != "")
+    """A labelled row with amounts; trailing cells may be missing. A note fills its first cell only."""
+    label = strip_ws(F.get(cells, F.lit(0)))
+    others = F.exists(F.slice(cells, F.lit(2), F.size(cells)), lambda c: strip_ws(c) != "")
+    return (F.size(cells) > 1) & (label != "") & (others | ~label.rlike(_NOTE_START))
 
 
 def _below_header(rows: Column) -> Column:
     """The rows after the one that names the expense classes."""
     headers = F.filter(rows, lambda r: F.exists(r["cells"], lambda c: strip_ws(c) == "MOOE"))
     last = F.coalesce(F.get(headers, F.lit(0))["row_no"], F.lit(-1))
-    return F.slice(rows, last + 2, _ALL)
+    return F.filter(rows, lambda r: r["row_no"] > last)
+
+
+def _with_parents(lines: Column) -> Column:
+    """Lines with ``parent_row``, the nearest earlier line that is indented less, and ``level``, its depth.
+
+    One pass with the chain of open ancestors; nothing leaves the row and no depth is too large.
+    """
+    indent = lambda r: _canonical_indent(r["cells"])
+    ancestor = "array<struct<row_no:int,indent:int>>"
+    start = F.struct(F.array().cast(ancestor).alias("open"), F.array().cast("array<struct<parent_row:int,level:int>>").alias("found"))
+
+    def step(state: Column, r: Column) -> Column:
+        above = F.filter(state["open"], lambda a: a["indent"] < indent(r))
+        own = F.struct(F.try_element_at(above, F.lit(-1))["row_no"].alias("parent_row"), F.size(above).alias("level"))
+        opened = F.array_append(above, F.struct(r["row_no"].alias("row_no"), indent(r).alias("indent")))
+        return F.struct(opened.alias("open"), F.array_append(state["found"], own).alias("found"))
+
+    found = F.aggregate(lines, start, step)["found"]
+    return F.zip_with(lines, found, lambda r, f: F.struct(r["row_no"].alias("row_no"), r["cells"].alias("cells"), f["parent_row"].alias("parent_row"), f["level"].alias("level")))
 
 
 def table_rows(statements: DataFrame) -> DataFrame:
@@ -114,17 +139,16 @@ def title_facts(statements: DataFrame) -> DataFrame:
 def statement_lines(statements: DataFrame) -> DataFrame:
     """Labelled lines of each statement.
 
-    Gives ``row_no``, ``label``, ``indent``, ``level`` (rank of the indent within the file), ``section``,
-    ``raw`` (the twelve amount cells as printed), ``raw_appropriation``, ``raw_rate`` and ``irregular``
-    (more cells than the layout has, so columns may have shifted).
+    Gives ``row_no``, ``label``, ``indent``, ``parent_row`` (the nearest earlier line that is indented less),
+    ``level`` (the number of ancestors, so that levels mean the same in every file), ``section``, ``raw`` (the
+    twelve amount cells as printed), ``raw_appropriation``, ``raw_rate`` and ``irregular`` (more cells than the
+    layout has, so columns have shifted).
     """
     carried = [c for c in statements.columns if c != "html"]
     numbered = F.transform(_rows(F.col("html")), lambda cells, i: F.struct(i.alias("row_no"), cells.alias("cells")))
     numbered_rows = add_once(title_facts(statements), rows=numbered).drop("html")
     lines = F.filter(_below_header(F.col("rows")), lambda r: _is_line(r["cells"]))
-    parsed = add_once(numbered_rows, lines=lines)
-
-    indents = F.array_sort(F.array_distinct(F.transform("lines", lambda r: _canonical_indent(r["cells"]))))
+    parsed = add_once(numbered_rows, lines=_with_parents(lines))
     label = strip_ws(F.get(F.col("cells"), F.lit(0)))
     head_of = first_match([(label.rlike(pattern), code) for pattern, code in SECTION_HEADS])
 
@@ -139,10 +163,9 @@ def statement_lines(statements: DataFrame) -> DataFrame:
     heads = F.transform(headings, head_struct)
     facts = ["as_of", "unit", "has_appropriation", "has_rate"]
     exploded = (
-        parsed.withColumn("indents", indents)
-        .withColumn("heads", heads)
-        .select(*carried, *facts, "indents", "heads", F.explode("lines").alias("line"))
-        .select(*carried, *facts, "indents", "heads", "line.row_no", "line.cells")
+        parsed.withColumn("heads", heads)
+        .select(*carried, *facts, "heads", F.explode("lines").alias("line"))
+        .select(*carried, *facts, "heads", "line.*")
     )
     offset = F.when(F.col("has_appropriation"), 1).otherwise(0)
     width = F.lit(1 + N_AMOUNTS) + offset + F.col("has_rate").cast("int")
@@ -155,7 +178,8 @@ def statement_lines(statements: DataFrame) -> DataFrame:
         "row_no",
         label.alias("label"),
         _indent(F.col("cells")).alias("indent"),
-        (F.array_position("indents", _canonical_indent(F.col("cells"))) - 1).cast("int").alias("level"),
+        "parent_row",
+        "level",
         section.alias("section"),
         head_of.isNotNull().alias("is_head"),
         F.transform(F.sequence(F.lit(0), F.lit(N_AMOUNTS - 1)), lambda i: F.get("cells", i + 1 + offset)).alias("raw"),
@@ -166,12 +190,16 @@ def statement_lines(statements: DataFrame) -> DataFrame:
 
 
 def with_amounts(lines: DataFrame) -> DataFrame:
-    """Adds the cleaned ``amounts`` (as printed, not yet scaled), the appropriation and the published rate."""
+    """Adds the cleaned ``amounts`` (as printed, not yet scaled), the appropriation and the published rate.
+
+    Cells of an irregular line may stand in the wrong column, so none of them is an amount.
+    """
+    regular = lambda value: F.when(~F.col("irregular"), value)
     return add_once(
         lines,
-        amounts=F.transform("raw", lambda cell: clean_amount(cell)),
-        appropriation=clean_amount(F.col("raw_appropriation")),
-        published_rate=clean_rate(F.col("raw_rate")),
+        amounts=F.transform("raw", lambda cell: regular(clean_amount(cell))),
+        appropriation=regular(clean_amount(F.col("raw_appropriation"))),
+        published_rate=regular(clean_rate(F.col("raw_rate"))),
     )
 
 
@@ -190,27 +218,13 @@ def long_facts(lines: DataFrame) -> DataFrame:
         *carried,
         F.get(names, F.floor(F.col("col_no") / len(CLASSES)).cast("int")).alias("measure"),
         F.get(classes, F.col("col_no") % len(CLASSES)).alias("expense_class"),
-        (F.col("cell.amounts") * F.col("unit")).cast(MONEY).alias("amount"),
+        (F.col("cell.amounts") * F.col("unit")).cast(SCALED).alias("amount"),
         F.col("cell.raw").alias("raw"),
         cell_is_blank(F.col("cell.raw")).alias("blank"),
-        (is_quarantined(F.col("cell.raw")) | F.col("irregular")).alias("quarantined"),
+        F.col("cell.amounts").isNull().alias("quarantined"),
     )
 
 
-def row_parents(lines: DataFrame, file: str = "file", max_levels: int = MAX_LEVELS) -> DataFrame:
-    """Adds ``parent_row``: the nearest earlier row of the file that is indented less.
-
-    One window sort per file, whose rows come from a single page and are thus bounded by what one page
-    holds. A file nested deeper than ``max_levels`` fails loudly instead of getting wrong parents.
-    """
-    before = Window.partitionBy(file).orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
-    last_seen = [F.last(F.when(F.col("level") == k, F.col("row_no")), ignorenulls=True).over(before) for k in range(max_levels)]
-    above = [F.when(F.col("level") > k, seen) for k, seen in enumerate(last_seen)]
-    too_deep = F.raise_error(F.lit(f"statement nested deeper than {max_levels} levels"))
-    parent = F.when(F.col("level") >= max_levels, too_deep.cast("int")).otherwise(F.greatest(*above))
-    return lines.withColumn("parent_row", parent)
-
-
 def _per_measure(lines: DataFrame, check: Callable[[str], Column]) -> DataFrame:
     carried = [c for c in lines.columns if c not in ("raw", "amounts", "raw_appropriation", "raw_rate")]
     checks = F.array(*[F.struct(F.lit(m).alias("measure"), check(m).alias("difference")) for m in MEASURES])
@@ -245,10 +259,11 @@ def balance_identity(lines: DataFrame, tolerance: int = 2) -> DataFrame:
 def parent_identity(facts: DataFrame, tolerance: int = 0, file: str = "file") -> DataFrame:
     """Parents whose amount differs from the sum of their children, per measure and expense class.
 
-    ``facts`` are long facts with ``parent_row``. Each fact counts once as itself and once towards its
+    A sum is judged only if the parent and all its children are readable; otherwise ``n_unreadable`` (of parent
+    and children) is reported and the difference is null. Each fact counts once as itself and once towards its
     parent, so one aggregation replaces the join of parents with children and the pages are parsed once.
     """
-    nothing = F.lit(None).cast(MONEY)
+    nothing = F.lit(None).cast(SCALED)
 
     def role(line: str, own: Column, part: Column, child: int) -> Column:
         return F.struct(F.col(line).alias("line"), own.alias("own"), part.alias("part"), F.lit(child).alias("child"))
@@ -257,17 +272,19 @@ def parent_identity(facts: DataFrame, tolerance: int = 0, file: str = "file") ->
     roles = F.array(role("row_no", amount, nothing, 0), role("parent_row", nothing, amount, 1))
     column = [file, "measure", "expense_class"]
     sums = (
-        facts.select(*column, F.inline(roles))
+        facts.select(*column, F.col("amount").isNull().cast("int").alias("unreadable"), F.inline(roles))
         .where(F.col("line").isNotNull())
         .groupBy(*column, F.col("line").alias("row_no"))
         .agg(
             F.max("own").alias("amount"),
             F.sum("part").alias("children_amount"),
             F.sum("child").alias("n_children"),
+            F.sum("unreadable").alias("n_unreadable"),
         )
     )
-    differing = sums.withColumn("difference", F.col("amount") - F.col("children_amount"))
-    return differing.where((F.col("n_children") > 0) & (F.abs("difference") > tolerance))
+    whole = F.when(F.col("n_unreadable") == 0, F.col("amount") - F.col("children_amount"))
+    judged = sums.withColumn("difference", whole).where(F.col("n_children") > 0)
+    return judged.where((F.col("n_unreadable") > 0) | (F.abs("difference") > tolerance))
 
 
 def recomputed_rate(lines: DataFrame) -> DataFrame:
@@ -307,29 +324,64 @@ def repaired_amounts(lines: DataFrame) -> DataFrame:
         for klass in CLASSES:
             own, first, second = _at(measure, klass), by_class(measure, klass), by_balance(measure, klass)
             agreed = own.isNull() & F.coalesce(first == second, F.lit(False))
-            filled.append(F.when(agreed, first).otherwise(own).cast("decimal(20,0)"))
+            filled.append(F.when(agreed, first).otherwise(own).cast(WHOLE))
             flags.append(F.when(agreed, F.lit(f"{measure}.{klass}")))
     return add_once(lines, repaired=F.array_compact(F.array(*flags)), amounts=F.array(*filled))
 
 
 def footnotes(statements: DataFrame) -> DataFrame:
-    """Full-width rows at the tail, numbered where the note has a number."""
-    rest = [c for c in statements.columns if c not in ("html", "row_no", "cells")]
-    rows = table_rows(statements).where(F.size("cells") == 1)
-    text = F.regexp_replace(strip_ws(F.get("cells", F.lit(0))), r"[\s\x{A0}]+", " ")
-    numbered = rows.withColumn("text", text).withColumn(
-        "note_no", F.regexp_extract("text", r"^([0-9]{1,2})[)/]", 1).try_cast("int")
-    )
-    return numbered.where(F.col("note_no").isNotNull()).select(*rest, "note_no", "text")
+    """Notes of each statement: ``note_no`` (null if it has no number), ``row_no`` of its first row and ``text``.
+
+    A note may stand anywhere, in a row with a single filled cell or in the first cell of a row of empty ones. It
+    opens with a number, an asterisk or the word for a note. Rows of one filled cell that directly follow, and
+    open nothing themselves, continue it, up to the first line with amounts.
+    """
+    rest = [c for c in statements.columns if c != "html"]
+    tidy = lambda c: F.regexp_replace(strip_ws(c), r"[\s\x{A0}]+", " ")
+    filled = lambda cells: F.filter(F.transform(cells, tidy), lambda c: c != "")
+    rows = F.transform(_rows(F.col("html")), lambda cells, i: F.struct(i.alias("row_no"), filled(cells).alias("cells")))
+    text = lambda r: F.get(r["cells"], F.lit(0))
+    alone = lambda r: F.size(r["cells"]) == 1
+    note = "struct<row_no:int,text:string,last:int>"
+    empty = F.array().cast(f"array<{note}>")
+
+    def step(notes: Column, r: Column) -> Column:
+        opened = F.struct(r["row_no"].alias("row_no"), text(r).alias("text"), r["row_no"].alias("last"))
+        current = F.try_element_at(notes, F.lit(-1))
+        goes_on = alone(r) & (current["last"] == r["row_no"] - 1)
+        longer = F.struct(current["row_no"].alias("row_no"), F.concat_ws(" ", current["text"], text(r)).alias("text"), r["row_no"].alias("last"))
+        without = F.slice(notes, F.lit(1), F.greatest(F.size(notes) - 1, F.lit(0)))
+        return (
+            F.when(alone(r) & text(r).rlike(_NOTE_START), F.array_append(notes, opened))
+            .when(F.coalesce(goes_on, F.lit(False)), F.array_append(without, longer))
+            .otherwise(notes)
+        )
 
+    found = F.aggregate(F.col("rows"), empty, step)
+    notes = add_once(statements, rows=rows).select(*rest, F.inline(found))
+    number = F.regexp_extract("text", _NOTE_NUMBER, 1).try_cast("int")
+    body = strip_ws(F.regexp_replace("text", r"(?i)^(?:notes?\s*(?:[0-9]+)?\s*:|[0-9]+\s*[)/.]|\*+)", ""))
+    return notes.select(*rest, "row_no", number.alias("note_no"), body.alias("text")).where("text <> ''")
 
-def listed_names(notes: DataFrame, lead: str = r"(?is)^.*?(?:\bexcept\b|following\s*(?:are)?\s*:?)") -> DataFrame:
-    """Names that a note lists after its lead-in, e.g. agencies that did not report."""
+
+def listed_names(notes: DataFrame, lead: str = _LIST_LEAD) -> DataFrame:
+    """Names that a note lists after its lead-in, e.g. agencies that did not report.
+
+    Names are separated by commas or semicolons; an inner "and" belongs to a name unless the list has no comma.
+    """
     rest = [c for c in notes.columns if c != "text"]
     listing = F.regexp_replace(F.regexp_replace("text", lead, ""), r"[.\s]+$", "")
-    names = F.split(listing, r",\s*and\s+|,\s*|\s+and\s+")
+    several = listing.rlike(r"[,;]")
+    names = F.split(F.when(several, listing).otherwise(F.regexp_replace(listing, r"\s+and\s+", ", ")), _LIST_BREAK)
     exploded = notes.where(F.col("text").rlike(lead)).select(*rest, F.explode(names).alias("name"))
-    return exploded.withColumn("name", strip_ws(F.regexp_replace("name", r"(?s)^.*:", ""))).where("name <> ''")
+    return exploded.withColumn("name", strip_ws(F.regexp_replace("name", r"(?i)^(?:and|the following)\s+", ""))).where("name <> ''")
+
+
+def reported_share(notes: DataFrame) -> DataFrame:
+    """The share of agencies that a note says have reported, in percent, where it names one."""
+    rest = [c for c in notes.columns if c != "text"]
+    share = F.regexp_extract("text", r"([0-9]+(?:\.[0-9]+)?)\s*%", 1)
+    return notes.where(share != "").select(*rest, share.try_cast("decimal(9,2)").alias("reported_pct"))
 
 
 def trend_scope(lines: DataFrame, file: str = "file") -> DataFrame:

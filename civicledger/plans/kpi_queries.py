@@ -133,12 +133,12 @@ def phase_merge(spark: SparkSession, folder: str) -> DataFrame:
     paid = F.when(F.col("l_linestatus") == "F", net())
     outlays = _spent(spark, folder, [year], authorised=price(), spent=paid)
     collected = _collected(spark, folder, F.year("o_orderdate").alias("year"))
-    phases = {
-        "collected": collected,
-        "authorised": outlays.withColumn("amount", F.col("authorised")),
-        "spent": outlays.withColumn("amount", F.col("spent")),
-    }
-    return B.merge_phases(phases, ["region", "year"])
+    keys = ["region", "year"]
+    # Both columns of the same sums become rows, so line items are read once for them and once for collections.
+    stacked = outlays.unpivot(keys, ["authorised", "spent"], "phase", "amount").unionByName(
+        collected.select(*keys, F.lit("collected").alias("phase"), "amount")
+    )
+    return B.merge_stacked(stacked, keys, ["collected", "authorised", "spent"])
 
 
 @query(
@@ -146,16 +146,16 @@ def phase_merge(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 WITH {COLLECTED_SQL}, {SPENT_SQL},
 y AS (
-  SELECT year, CAST(sum(amount) AS DOUBLE) AS collected, NULL::DOUBLE AS authorised, NULL::DOUBLE AS spent FROM (
+  SELECT year, CAST(sum(amount) AS DECIMAL(38, 4)) AS collected, NULL::DECIMAL(38, 4) AS authorised, NULL::DECIMAL(38, 4) AS spent FROM (
     SELECT region, year, CAST(sum(amount) AS DECIMAL(20, 2)) AS amount FROM collected GROUP BY ALL) GROUP BY year
-  UNION ALL SELECT year, NULL, CAST(sum(a) AS DOUBLE), NULL FROM (SELECT region, year, CAST(sum(price) AS DECIMAL(20, 2)) AS a FROM spent GROUP BY ALL) GROUP BY year
-  UNION ALL SELECT year, NULL, NULL, CAST(sum(a) AS DOUBLE) FROM (SELECT region, year, CAST(sum(net) AS DECIMAL(20, 2)) AS a FROM spent WHERE l_linestatus = 'F' GROUP BY ALL) GROUP BY year
+  UNION ALL SELECT year, NULL, CAST(sum(a) AS DECIMAL(38, 4)), NULL FROM (SELECT region, year, CAST(sum(price) AS DECIMAL(20, 2)) AS a FROM spent GROUP BY ALL) GROUP BY year
+  UNION ALL SELECT year, NULL, NULL, CAST(sum(a) AS DECIMAL(38, 4)) FROM (SELECT region, year, CAST(sum(net) AS DECIMAL(20, 2)) AS a FROM spent WHERE l_linestatus = 'F' GROUP BY ALL) GROUP BY year
 ), t AS (SELECT CAST(year AS INTEGER) AS period, max(collected) AS collected, max(authorised) AS authorised, max(spent) AS spent FROM y GROUP BY year),
 k AS (
   SELECT 'collected' AS kpi, period, collected AS value FROM t UNION ALL SELECT 'authorised', period, authorised FROM t
-  UNION ALL SELECT 'spent', period, spent FROM t UNION ALL SELECT 'obligation_rate', period, round(100 * spent / authorised, 4) FROM t
-  UNION ALL SELECT 'returned_share', period, round(100 * spent / collected, 4) FROM t)
-SELECT kpi, period, value, round(100 * (value / b.v - 1), 4) AS change_pct
+  UNION ALL SELECT 'spent', period, spent FROM t UNION ALL SELECT 'obligation_rate', period, CAST(round(100 * CAST(spent AS DOUBLE) / CAST(authorised AS DOUBLE), 4) AS DECIMAL(38, 4)) FROM t
+  UNION ALL SELECT 'returned_share', period, CAST(round(100 * CAST(spent AS DOUBLE) / CAST(collected AS DOUBLE), 4) AS DECIMAL(38, 4)) FROM t)
+SELECT kpi, period, value, round(100 * (CAST(value AS DOUBLE) / CAST(b.v AS DOUBLE) - 1), 4) AS change_pct
 FROM k LEFT JOIN (SELECT kpi AS bk, period + 1 AS bp, value AS v FROM k) b ON bk = kpi AND bp = period
 WHERE value IS NOT NULL""",
 )
@@ -350,8 +350,12 @@ FROM w JOIN t USING (year)""",
 def regional_estimate(spark: SparkSession, folder: str) -> DataFrame:
     """Yearly spending split over regions by their share of the appropriations."""
     year = F.year("l_shipdate").alias("year")
-    weights = _spent(spark, folder, [year], price=price()).groupBy("year", "region").agg(F.sum("price").alias("weight"))
-    totals = table(spark, folder, "lineitem").groupBy(year).agg(F.sum(net()).alias("amount"))
+    sums = _spent(spark, folder, [year], price=price(), net=net())
+    by_region = sums.groupBy("year", "region").agg(F.sum("price").alias("weight"), F.sum("net").alias("net"))
+    path = scratch_dir(spark, "weights")
+    by_region.write.parquet(path)
+    weights = spark.read.schema(by_region.schema).parquet(path)
+    totals = weights.groupBy("year").agg(F.sum("net").alias("amount"))
     estimate = B.allocate_by_share(totals, weights, "year", "region")
     return estimate.withColumn("amount", F.round(F.col("amount").cast("double"), 0))
 
@@ -423,13 +427,13 @@ def period_gaps(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "common_periods",
     """
-WITH a AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE o_orderstatus = 'F'),
+WITH a AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
 b AS (SELECT DISTINCT CAST(year(l_shipdate) + 1 AS INTEGER) AS year FROM lineitem)
 SELECT year, year IN (SELECT year FROM a) AS in_first, year IN (SELECT year FROM b) AS in_second
 FROM (SELECT year FROM a UNION SELECT year FROM b)""",
 )
 def common_periods(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").where(F.col("o_orderstatus") == "F").select(F.year("o_orderdate").alias("year"))
+    orders = table(spark, folder, "orders").select(F.year("o_orderdate").alias("year"))
     items = table(spark, folder, "lineitem").select((F.year("l_shipdate") + 1).alias("year"))
     return C.compare_periods(orders, items)
 
@@ -440,15 +444,23 @@ def common_periods(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "segment_share",
     f"""
-WITH {SPENT_SQL}, s AS (SELECT s_suppkey, CAST(sum(price) AS DECIMAL(20, 2)) AS amount FROM spent GROUP BY s_suppkey)
+WITH {SPENT_SQL}, s AS (
+  SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST(CASE s_suppkey % 4 WHEN 0 THEN round(sum(price), -3) WHEN 1 THEN round(sum(price), -4) WHEN 2 THEN round(sum(price), -5) ELSE round(sum(price), -6) END AS DECIMAL(20, 2)) END AS amount FROM spent GROUP BY s_suppkey)
 SELECT s_suppkey, amount, round(CAST(amount AS DOUBLE) / CAST(sum(amount) OVER () AS DOUBLE), 6) AS share,
-  rank() OVER (ORDER BY amount DESC) AS rank, dense_rank() OVER (ORDER BY amount DESC) AS dense_rank,
-  round(percent_rank() OVER (ORDER BY amount DESC), 6) AS percent_rank
+  rank() OVER (ORDER BY amount DESC NULLS LAST) AS rank, dense_rank() OVER (ORDER BY amount DESC NULLS LAST) AS dense_rank,
+  round(percent_rank() OVER (ORDER BY amount DESC NULLS LAST), 6) AS percent_rank
 FROM s""",
 )
 def segment_share(spark: SparkSession, folder: str) -> DataFrame:
-    spent = table(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sum(price()).cast(MONEY).alias("amount"))
-    ranked = G.rank_segments(G.share_of_total(spent, "amount"), "amount")
+    """Agencies' spending, coarsely rounded so that values tie, and unknown for some."""
+    amount = F.sum(price()).cast(MONEY)
+    rounded = F.array(*[F.round(amount, -3 - k).cast(MONEY) for k in range(4)])
+    spent = table(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(rounded.alias("rounded"))
+    known = F.when(F.col("s_suppkey") % 11 != 0, F.get("rounded", (F.col("s_suppkey") % 4).cast("int")))
+    path = scratch_dir(spark, "segments")
+    spent.select("s_suppkey", known.alias("amount")).write.parquet(path)
+    segments = spark.read.schema(f"s_suppkey bigint, amount {MONEY}").parquet(path)
+    ranked = G.rank_segments(G.share_of_total(segments, "amount"), "amount")
     return ranked.select("s_suppkey", "amount", "share", "rank", "dense_rank", "percent_rank")
 
 
@@ -480,8 +492,10 @@ def processed_sink(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = scratch_dir(spark, "processed")
     write_processed(facts, path)
-    corrected = facts.where(F.col("fiscal_year") == 1998).withColumn("amount", (F.col("amount") + 1).cast(MONEY))
-    write_processed(corrected, path)
+    corrected = read_processed(spark, path).where(F.col("fiscal_year") == 1998).withColumn("amount", (F.col("amount") + 1).cast(MONEY))
+    fresh = scratch_dir(spark, "corrected")  # a partition can't be read and overwritten at once
+    corrected.write.parquet(fresh)
+    write_processed(spark.read.schema(corrected.schema).parquet(fresh), path)
     return read_processed(spark, path)
 
 
@@ -492,7 +506,11 @@ named AS (
   SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN ' nation-' || c_nationkey WHEN 1 THEN 'NATON ' || c_nationkey ELSE 'Nation_' || c_nationkey END AS label
   FROM customer
 ), tidy AS (SELECT c_custkey, label, trim(regexp_replace(lower(label), '[^a-z0-9]+', ' ', 'g')) AS name FROM named),
-crosswalk AS (SELECT trim(regexp_replace(lower(n_name), '[^a-z0-9]+', ' ', 'g')) AS alias, 'R' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS canonical FROM nation)"""
+written AS (
+  SELECT n_name AS alias, n_nationkey FROM nation UNION ALL SELECT upper(n_name) || '.', n_nationkey FROM nation
+  UNION ALL SELECT n_name, n_nationkey + 1 FROM nation WHERE n_nationkey % 9 = 4
+), claimed AS (SELECT DISTINCT trim(regexp_replace(lower(alias), '[^a-z0-9]+', ' ', 'g')) AS alias, 'R' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS canonical FROM written),
+crosswalk AS (SELECT alias, CASE WHEN count(*) = 1 THEN min(canonical) END AS canonical FROM claimed GROUP BY alias)"""
 
 
 def _named(spark: SparkSession, folder: str) -> DataFrame:
@@ -508,8 +526,12 @@ def _named(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    code = F.concat(F.lit("R"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    return table(spark, folder, "nation").select(F.col("n_name").alias("alias"), code.alias("canonical"))
+    """Every nation under two spellings, some claimed by two keys."""
+    key = F.col("n_nationkey")
+    code = lambda k: F.concat(F.lit("R"), F.lpad(k.cast("string"), 2, "0")).alias("canonical")
+    nation = table(spark, folder, "nation")
+    spelt = nation.select(F.explode(F.array("n_name", F.concat(F.upper("n_name"), F.lit(".")))).alias("alias"), code(key))
+    return spelt.union(nation.where(key % 9 == 4).select("n_name", code(key + 1)))
 
 
 @query(
@@ -520,6 +542,14 @@ def crosswalk_join(spark: SparkSession, folder: str) -> DataFrame:
     return C.apply_crosswalk(_named(spark, folder), _crosswalk(spark, folder), "label")
 
 
+@query(
+    "crosswalk_ambiguous",
+    f"WITH {NAMED_SQL} SELECT alias, string_agg(canonical, ',' ORDER BY canonical) AS canonical_keys FROM claimed GROUP BY alias HAVING count(*) > 1",
+)
+def crosswalk_ambiguous(spark: SparkSession, folder: str) -> DataFrame:
+    return C.ambiguous_aliases(_crosswalk(spark, folder))
+
+
 @query(
     "crosswalk_unmatched",
     f"WITH {NAMED_SQL} SELECT name, count(*) AS n_rows FROM tidy WHERE name NOT IN (SELECT alias FROM crosswalk) GROUP BY name",
@@ -531,7 +561,7 @@ def crosswalk_unmatched(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "crosswalk_candidates",
     f"""WITH {NAMED_SQL}, u AS (SELECT DISTINCT name FROM tidy WHERE name NOT IN (SELECT alias FROM crosswalk))
-SELECT name, alias, canonical, CAST(levenshtein(name, alias) AS INTEGER) AS edits FROM u, crosswalk WHERE levenshtein(name, alias) <= 2""",
+SELECT name, alias, canonical, CAST(levenshtein(name, alias) AS INTEGER) AS edits FROM u, claimed WHERE levenshtein(name, alias) <= 2""",
 )
 def crosswalk_candidates(spark: SparkSession, folder: str) -> DataFrame:
     crosswalk = _crosswalk(spark, folder)
@@ -539,13 +569,13 @@ def crosswalk_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Example exchange rates into one currency.
-RATES = [("PHP", "1.0000"), ("IDR", "0.0035"), ("MYR", "12.5000")]
+RATES = [("PHP", "1.0000"), ("IDR", "0.0035"), ("IDR", "0.0035"), ("MYR", "12.5000"), ("MYR", "12.6000")]
 
 
 @query(
     "currency_align",
     f"""
-WITH r(currency, rate) AS (VALUES ('PHP', 1.0000::DECIMAL(10, 4)), ('IDR', 0.0035::DECIMAL(10, 4)), ('MYR', 12.5000::DECIMAL(10, 4))),
+WITH r(currency, rate) AS (VALUES ('PHP', 1.0000::DECIMAL(10, 4)), ('IDR', 0.0035::DECIMAL(10, 4)), ('MYR', NULL::DECIMAL(10, 4))),
 o AS (SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'IDR' WHEN '2' THEN 'MYR' WHEN '5' THEN 'SGD' ELSE 'PHP' END AS currency,
   {TOTAL_SQL} AS amount FROM orders)
 SELECT o_orderkey, currency, amount, CAST(amount * rate AS DECIMAL(20, 2)) AS amount_common FROM o LEFT JOIN r USING (currency)""",

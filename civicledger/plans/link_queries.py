@@ -61,7 +61,7 @@ FROM dirs""",
 def url_resolve(spark: SparkSession, folder: str) -> DataFrame:
     """Every kind of reference: rooted, relative, parent, other host, query only and fragment only."""
     anchors = _page_anchors(spark, folder)
-    relative = F.substring("href", 2, 2**20)
+    relative = F.substr("href", F.lit(2))
     kind = F.col("pos") % 6
     reference = (
         F.when(kind == 0, F.col("href"))

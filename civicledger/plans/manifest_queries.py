@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicledger.functions.files import content_sha256, parquet_status, workbook_status
+from civicledger.functions.files import (
+    PARQUET_MAGIC,
+    ZIP_END_OF_DIRECTORY,
+    ZIP_LOCAL_HEADER,
+    ZIP_TAIL_BYTES,
+    content_sha256,
+    parquet_status,
+    workbook_status,
+)
 from civicledger.operators import manifest as M
 from civicledger.plans import standins as S
 from civicledger.plans.registry import query
@@ -25,20 +33,54 @@ manifest AS (
 )"""
 
 
-@query("file_inventory")
+def _written(spark: SparkSession, folder: str, label: str, text: Column, fmt: str) -> str:
+    """Documents as files below a folder per source."""
+    path = scratch_dir(spark, label)
+    table(spark, folder, "documents").select(text.alias("value"), "source").write.partitionBy("source").format(fmt).save(path)
+    return path
+
+
+def _source() -> Column:
+    return F.regexp_extract("relative_path", r"^source=([^/]*)/", 1).alias("source")
+
+
+@query("file_inventory", "SELECT source, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY source UNION ALL SELECT '', CAST(0 AS BIGINT)")
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of the tables themselves."""
-    return file_inventory(spark, folder, "*.parquet")
+    """Documents written as text, and all files listed; the writer's empty mark of success is one of them."""
+    files = file_inventory(spark, _written(spark, folder, "texts", F.col("text"), "text"))
+    return files.groupBy(_source()).agg(F.sum("size_bytes").alias("n_bytes"))
 
 
-@query("parquet_magic")
+@query("parquet_magic", "SELECT DISTINCT source, 'ok' AS status FROM documents UNION ALL SELECT '', 'bad_header'")
 def parquet_magic(spark: SparkSession, folder: str) -> DataFrame:
-    """Signature at both ends of every table file."""
-    ends = file_ends(spark, folder, "*.parquet")
-    return ends.select("relative_path", "size_bytes", parquet_status(F.col("head"), F.col("tail")).alias("status"))
+    """Signatures at both ends of documents written as Parquet; the empty mark of success has none."""
+    ends = file_ends(spark, _written(spark, folder, "parquet", F.col("text"), "parquet"))
+    status = F.coalesce("error", parquet_status(F.col("head"), F.col("tail")))
+    return ends.select(_source(), status.alias("status")).distinct()
+
 
+# A zip's end record that states a comment of one byte: the line end that the text writer adds.
+_END_RECORD = ZIP_END_OF_DIRECTORY + b"\0" * 16 + b"\1\0"
 
-_WORKBOOK_BYTES = {0: (b"PK\x03\x04", b"PK\x05\x06"), 1: (b"PK\x03\x04", b""), 2: (b"<!DO", b"PK\x05\x06"), 3: (b"PAR1", b"PAR1")}
+
+@query(
+    "xlsx_files",
+    """SELECT DISTINCT source, CASE CAST(substr(source, 4) AS INTEGER) % 3 WHEN 0 THEN 'valid' WHEN 1 THEN 'no_end_of_directory' ELSE 'not_a_zip' END AS status
+FROM documents UNION ALL SELECT '', 'not_a_zip'""",
+)
+def xlsx_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written between the marks of a zip, with the end cut off for some sources and no marks for others."""
+    kind = F.substr("source", F.lit(4)).cast("int") % 3
+    start, end = F.lit(ZIP_LOCAL_HEADER.decode("latin-1")), F.lit(_END_RECORD.decode("latin-1"))
+    plain = F.regexp_replace("text", "^PK", "pk")
+    text = F.when(kind == 0, F.concat(start, "text", end)).when(kind == 1, F.concat(start, "text", end, F.lit("cut"))).otherwise(plain)
+    ends = file_ends(spark, _written(spark, folder, "books", text, "text"), tail_bytes=ZIP_TAIL_BYTES)
+    status = F.coalesce("error", workbook_status(F.col("head"), F.col("tail")))
+    return ends.select(_source(), status.alias("status")).distinct()
+
+
+_END = ZIP_END_OF_DIRECTORY + b"\0" * 18
+_WORKBOOK_BYTES = {0: (ZIP_LOCAL_HEADER, _END), 1: (ZIP_LOCAL_HEADER + _END, b"cut"), 2: (b"<!DO", _END), 3: (PARQUET_MAGIC, PARQUET_MAGIC)}
 
 
 def _stored_bytes(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +135,7 @@ def integrity_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "integrity_errors",
-    f"WITH {WORKBOOKS_SQL} SELECT relative_path AS file, 'corrupt' AS error, status AS detail FROM checked WHERE status <> 'valid'",
+    f"WITH {WORKBOOKS_SQL} SELECT relative_path AS file, 'corrupt_workbook' AS error, status AS detail FROM checked WHERE status <> 'valid'",
 )
 def integrity_errors(spark: SparkSession, folder: str) -> DataFrame:
     return M.integrity_errors(_checked_workbooks(spark, folder))
@@ -261,26 +303,26 @@ signed AS (
 
 def _validated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Labelled documents as the files on disk, all documents as entries, and the checked contents."""
-    source = S.choose(F.col("doc_id") % 3, ["gaa", "tax", "saaodb"])
+    source = S.choose(F.col("doc_id") % 4, ["gaa", "tax", "saaodb", "new"])
     files = S.document_manifest(spark, folder).withColumn("source", source)
     entries = S.document_files(spark, folder).select("relative_path", "size_bytes")
     return files, entries, _checked_workbooks(spark, folder), parquet_magic_bytes(spark, folder)
 
 
-@query(
-    "validation_summary",
-    f"""WITH {FILES_SQL}, named AS (
-  SELECT doc_id, relative_path, CASE doc_id % 3 WHEN 0 THEN 'gaa' WHEN 1 THEN 'tax' ELSE 'saaodb' END AS source FROM files
-), disk AS (SELECT * FROM named WHERE doc_id IN (SELECT doc_id FROM labels)), {WORKBOOKS_SQL}, {TABLE_FILES_SQL}
+VALIDATION_SQL = f"""{FILES_SQL}, named AS (
+  SELECT doc_id, relative_path, CASE doc_id % 4 WHEN 0 THEN 'gaa' WHEN 1 THEN 'tax' WHEN 2 THEN 'saaodb' ELSE 'new' END AS source FROM files
+), disk AS (SELECT * FROM named WHERE doc_id IN (SELECT doc_id FROM labels)), {WORKBOOKS_SQL}, {TABLE_FILES_SQL}, v AS (
 SELECT count(*) FILTER (source = 'gaa') AS gaa_files, count(*) FILTER (source = 'tax') AS tax_files,
-  count(*) FILTER (source = 'saaodb') AS saaodb_files, (SELECT count(*) FROM checked) AS saaodb_xlsx_total,
+  count(*) FILTER (source = 'saaodb') AS saaodb_files, count(*) FILTER (source = 'new') AS other_files, (SELECT count(*) FROM checked) AS saaodb_xlsx_total,
   (SELECT count(*) FROM checked WHERE status = 'valid') AS saaodb_xlsx_valid,
   (SELECT count(*) FROM checked WHERE status <> 'valid') AS saaodb_xlsx_corrupt,
   (SELECT count(*) FROM files) AS manifest_entries,
   (SELECT count(*) FROM files WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS manifest_orphans,
   (SELECT count(*) FROM signed WHERE status <> 'ok') AS parquet_errors, TRUE AS manifest_exists
-FROM disk""",
-)
+FROM disk)"""
+
+
+@query("validation_summary", f"WITH {VALIDATION_SQL} SELECT * FROM v")
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
     return M.validation_summary(*_validated(spark, folder))
 
@@ -289,8 +331,8 @@ def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
     "validation_details",
     f"""WITH {FILES_SQL}, {WORKBOOKS_SQL}, {TABLE_FILES_SQL}
 SELECT relative_path AS file, 'orphan' AS error, 'missing from disk' AS detail FROM files WHERE doc_id NOT IN (SELECT doc_id FROM labels)
-UNION ALL SELECT relative_path, 'corrupt', status FROM checked WHERE status <> 'valid'
-UNION ALL SELECT relative_path, 'corrupt', status FROM signed WHERE status <> 'ok'""",
+UNION ALL SELECT relative_path, 'corrupt_workbook', status FROM checked WHERE status <> 'valid'
+UNION ALL SELECT relative_path, 'corrupt_table', status FROM signed WHERE status <> 'ok'""",
 )
 def validation_details(spark: SparkSession, folder: str) -> DataFrame:
     return M.validation_details(*_validated(spark, folder))
@@ -301,10 +343,9 @@ def validation_details(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {S.RUNS_SQL}, last AS (SELECT name, max_by(run_id, run_id) AS run_id FROM runs GROUP BY name),
 e AS (SELECT name, '"' || name || '":{{"success":' || CASE WHEN success THEN 'true' ELSE 'false' END || ',"files_downloaded":' || files_downloaded
   || ',"files_skipped":' || files_skipped || ',"duration_seconds":' || duration_seconds || ',"error":' || coalesce('"' || replace(error, '"', '\\"') || '"', 'null') || '}}' AS body, success
-  FROM runs JOIN last USING (name, run_id)), {WORKBOOKS_SQL}
-SELECT '{{"extractors":{{' || string_agg(body, ',' ORDER BY name) || '}},"overall_success":' || CASE WHEN bool_or(success) THEN 'true' ELSE 'false' END
-  || ',"validation":{{"n_total":' || (SELECT count(*) FROM checked) || ',"n_valid":' || (SELECT count(*) FROM checked WHERE status = 'valid')
-  || ',"n_corrupt":' || (SELECT count(*) FROM checked WHERE status <> 'valid') || '}}}}' AS report FROM e""",
+  FROM runs JOIN last USING (name, run_id)), {VALIDATION_SQL}
+SELECT '{{"timestamp":"2024-02-01T00:00:00Z","extractors":{{' || string_agg(body, ',' ORDER BY name) || '}},"overall_success":' || CASE WHEN bool_or(success) THEN 'true' ELSE 'false' END
+  || ',"validation":' || (SELECT to_json(v)::VARCHAR FROM v) || '}}' AS report FROM e""",
 )
 def ingest_report(spark: SparkSession, folder: str) -> DataFrame:
-    return M.ingest_report(S.runs(spark, folder), M.integrity_totals(_checked_workbooks(spark, folder)))
+    return M.ingest_report(S.runs(spark, folder), M.validation_summary(*_validated(spark, folder)), "2024-02-01T00:00:00Z")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicledger.functions.money import MONEY, clean_amount, is_quarantined
+from civicledger.functions.money import MONEY, parse_amount
 from civicledger.functions.text import strip_ws
 from civicledger.operators import statements as T
+from civicledger.operators.columns import add_once
 from civicledger.plans.registry import query
 from civicledger.plans.statement_pages import STATEMENT_SQL, statement_pages
 from civicledger.sources.tables import table
@@ -30,14 +31,17 @@ _ROW_TEXT = " || '|' || ".join(
     "html_table_rows",
     f"""WITH {STATEMENT_SQL}, doc AS (SELECT DISTINCT file, fiscal_year, s_name FROM printed)
 SELECT file, CAST(row_no AS INTEGER) AS row_no, 15 AS n_cells, {_ROW_TEXT} AS text FROM printed
-UNION ALL SELECT file, 0, 1, 'STATEMENT OF ALLOTMENT, OBLIGATION AND BALANCES ( FINAL ) AS OF DECEMBER 31, ' || fiscal_year || '(In Thousand Pesos)' FROM doc
-UNION ALL SELECT file, 1, 4, 'PARTICULARS|FY ' || fiscal_year || 'ADJUSTED Appros|AS OF DECEMBER, ' || fiscal_year || '|OBLIGATION RATE (In %)' FROM doc
-UNION ALL SELECT file, 2, 3, 'ALLOTMENT|OBLIGATIONS INCURRED|UNOBLIGATED BALANCES' FROM doc
+UNION ALL SELECT file, 0, 1, 'Budget execution by object, final figures as of December 31, ' || fiscal_year || ', in thousand pesos' FROM doc
+UNION ALL SELECT file, 1, 3, 'PARTICULARS|Full-year ' || fiscal_year || ' appropriations|OBLIGATION RATE' FROM doc
+UNION ALL SELECT file, 2, 3, 'Released|Spent|Left' FROM doc
 UNION ALL SELECT file, 3, 12, 'PS|MOOE|CO|Total|PS|MOOE|CO|Total|PS|MOOE|CO|Total' FROM doc
 UNION ALL SELECT file, 4, 15, repeat('|', 14) FROM doc
 UNION ALL SELECT file, 11, 1, 'Notes:' FROM doc
-UNION ALL SELECT file, 12, 1, '1) Sources of Data: reports of the agencies.' FROM doc
-UNION ALL SELECT file, 13, 1, '2) Except ' || s_name || ' Office, ' || s_name || ' Bureau and the Council.' FROM doc""",
+UNION ALL SELECT file, 12, 1, '1) Figures come from the agencies; 98% reported.' FROM doc
+UNION ALL SELECT file, 13, 1, '2) Except ' || s_name || ' Office, ' || s_name || ' News and Press, and the Council.' FROM doc
+UNION ALL SELECT file, 14, 15, '3/ Units without the required SAOB submission are as follows:' || repeat('|', 14) FROM doc
+UNION ALL SELECT file, 15, 1, 'First ' || s_name || ' Unit; Second ' || s_name || ' Unit' FROM doc
+UNION ALL SELECT file, 16, 1, 'NOTE : EXCEPT ' || s_name || ' Board' FROM doc""",
 )
 def html_table_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = T.table_rows(statement_pages(spark, folder))
@@ -58,7 +62,7 @@ def indent_level(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("row_parent", f"WITH {STATEMENT_SQL} SELECT file, row_no, label, level, parent_row FROM printed")
 def row_parent(spark: SparkSession, folder: str) -> DataFrame:
-    return T.row_parents(_lines(spark, folder)).select("file", "row_no", "label", "level", "parent_row")
+    return _lines(spark, folder).select("file", "row_no", "label", "level", "parent_row")
 
 
 @query(
@@ -72,20 +76,28 @@ def unpivot_measures(spark: SparkSession, folder: str) -> DataFrame:
     facts = T.long_facts(_lines(spark, folder))
     return facts.select(
         "file", "fiscal_year", "quarter", "as_of", "section", "row_no", "label", "level", "measure", "expense_class",
-        "amount", "quarantined",
+        F.col("amount").cast(MONEY).alias("amount"), "quarantined",
     )
 
 
 @query(
     "footnote_explode",
     f"""WITH {STATEMENT_SQL}, doc AS (SELECT DISTINCT file, s_name FROM printed)
-SELECT file, 2 AS note_no, unnest([s_name || ' Office', s_name || ' Bureau', 'the Council']) AS name FROM doc""",
+SELECT file, 2 AS note_no, unnest([s_name || ' Office', s_name || ' News and Press', 'the Council']) AS name FROM doc
+UNION ALL SELECT file, 3, unnest(['First ' || s_name || ' Unit', 'Second ' || s_name || ' Unit']) FROM doc
+UNION ALL SELECT file, NULL, s_name || ' Board' FROM doc""",
 )
 def footnote_explode(spark: SparkSession, folder: str) -> DataFrame:
     notes = T.footnotes(statement_pages(spark, folder).select("file", "html"))
     return T.listed_names(notes).select("file", "note_no", "name")
 
 
+@query("reported_share", f"WITH {STATEMENT_SQL} SELECT DISTINCT file, 1 AS note_no, CAST(98 AS DECIMAL(9, 2)) AS reported_pct FROM printed")
+def reported_share(spark: SparkSession, folder: str) -> DataFrame:
+    notes = T.footnotes(statement_pages(spark, folder).select("file", "html"))
+    return T.reported_share(notes).select("file", "note_no", "reported_pct")
+
+
 @query(
     "identity_sum",
     f"""WITH {STATEMENT_SQL}, d AS (
@@ -113,16 +125,18 @@ def identity_balance(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "identity_parent",
     f"""WITH {STATEMENT_SQL}, readable AS (SELECT file, row_no, parent_row, measure, expense_class, CASE WHEN NOT quarantined THEN n * 1000 END AS n FROM cells),
-children AS (SELECT file, parent_row, measure, expense_class, sum(n) AS total, count(*) AS n_children FROM readable WHERE parent_row IS NOT NULL GROUP BY ALL)
-SELECT p.file, p.row_no, p.measure, p.expense_class, CAST(p.n - c.total AS DECIMAL(20, 2)) AS difference, c.n_children
-FROM readable p JOIN children c ON c.file = p.file AND c.parent_row = p.row_no AND c.measure = p.measure AND c.expense_class = p.expense_class
-WHERE p.n <> c.total""",
+children AS (SELECT file, parent_row, measure, expense_class, sum(n) AS total, count(*) AS n_children, count(*) - count(n) AS n_unreadable FROM readable WHERE parent_row IS NOT NULL GROUP BY ALL),
+judged AS (
+  SELECT p.file, p.row_no, p.measure, p.expense_class, c.n_children, c.n_unreadable + CASE WHEN p.n IS NULL THEN 1 ELSE 0 END AS n_unreadable, p.n - c.total AS gap
+  FROM readable p JOIN children c ON c.file = p.file AND c.parent_row = p.row_no AND c.measure = p.measure AND c.expense_class = p.expense_class)
+SELECT file, row_no, measure, expense_class, CASE WHEN n_unreadable = 0 THEN CAST(gap AS DECIMAL(20, 2)) END AS difference, n_children, CAST(n_unreadable AS BIGINT) AS n_unreadable
+FROM judged WHERE n_unreadable > 0 OR gap <> 0""",
 )
 def identity_parent(spark: SparkSession, folder: str) -> DataFrame:
-    facts = T.long_facts(T.row_parents(_lines(spark, folder)))
+    facts = T.long_facts(_lines(spark, folder))
     broken = T.parent_identity(facts)
     return broken.select(
-        "file", "row_no", "measure", "expense_class", F.col("difference").cast(MONEY).alias("difference"), "n_children"
+        "file", "row_no", "measure", "expense_class", F.col("difference").cast(MONEY).alias("difference"), "n_children", "n_unreadable"
     )
 
 
@@ -136,7 +150,7 @@ WHERE al_total <> 0 AND abs(CAST(rate AS DECIMAL(18, 2)) - CAST(round(100.0 * CA
 )
 def identity_rate(spark: SparkSession, folder: str) -> DataFrame:
     broken = T.rate_identity(_lines(spark, folder))
-    return broken.select("file", "row_no", "label", "published_rate", "recomputed_rate")
+    return broken.select("file", "row_no", "label", F.col("published_rate").cast("decimal(9,2)").alias("published_rate"), "recomputed_rate")
 
 
 @query(
@@ -183,10 +197,5 @@ def numeric_clean(spark: SparkSession, folder: str) -> DataFrame:
         F.col("cents").cast("string"),
     ]
     raw = F.get(F.array(*styles), (F.col("l_orderkey") % _STYLES).cast("int"))
-    return items.withColumn("raw", raw).select(
-        "l_orderkey",
-        "l_linenumber",
-        "cents",
-        clean_amount(F.col("raw")).alias("amount"),
-        is_quarantined(F.col("raw")).alias("quarantined"),
-    )
+    read = add_once(add_once(items, cell=strip_ws(raw)), amount=parse_amount(F.col("cell"), "decimal(20,0)"))
+    return read.select("l_orderkey", "l_linenumber", "cents", "amount", F.col("amount").isNull().alias("quarantined"))

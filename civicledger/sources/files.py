@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -9,36 +10,55 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicledger.functions.files import ZIP_TAIL_BYTES, is_hidden
+from civicledger.functions.files import is_hidden
 
-
-def _binary(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).where(~is_hidden(F.col("path")))
+HIDDEN = ".git"
+# Schemes that tasks can open by themselves, and the name they go by there. Others are read by Spark.
+_OPENED = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
 
 
-def _relative(root: str) -> F.Column:
-    """Path below ``root``; paths carry a scheme that ``root`` may lack, so cut at the folder itself."""
-    folder = root.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
-    return F.substring_index(F.col("path"), folder, -1)
+def _base(spark: SparkSession, root: str) -> tuple[object, str]:
+    """The file system of ``root`` and its full address, with a closing slash."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(path).toString().rstrip("/") + "/"
 
 
-def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(relative_path, size_bytes) of every file below ``root``; names starting ``.git`` are left out.
+def _listing(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """(path, relative_path, size_bytes) of every file below ``root``, of any size and name but hidden ones.
 
-    The content column is pruned, so only the listing is read. Spark's file sources leave out files of no
-    bytes and hidden names; an empty file thus counts as missing, and its manifest entry as an orphan.
+    The driver lists, as Spark does for its own file sources, which however leave out empty files and names that
+    begin with a dot or an underscore.
     """
-    return _binary(spark, root, glob).select(_relative(root).alias("relative_path"), F.col("length").alias("size_bytes"))
+    system, base = _base(spark, root)
+    rows, found = [], system.listFiles(spark._jvm.org.apache.hadoop.fs.Path(root), True)
+    while found.hasNext():
+        status = found.next()
+        path = status.getPath().toString()
+        relative = path.removeprefix(base)
+        name = relative.rsplit("/", 1)[-1]
+        if not name.startswith(HIDDEN) and (glob is None or fnmatch.fnmatchcase(name, glob)):
+            rows.append((path, relative, status.getLen()))
+    return spark.createDataFrame(rows, "path string, relative_path string, size_bytes bigint")
+
+
+def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """(relative_path, size_bytes) of every file below ``root``; names starting ``.git`` are left out."""
+    return _listing(spark, root, glob).drop("path")
 
 
 def read_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(relative_path, size_bytes, content); every file must fit a row (2 GiB)."""
-    return _binary(spark, root, glob).select(
-        _relative(root).alias("relative_path"), F.col("length").alias("size_bytes"), "content"
-    )
+    """(relative_path, size_bytes, content) of every file that is neither empty nor named with a dot or underscore.
+
+    Every file must fit a row (2 GiB).
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    base = _base(spark, root)[1]
+    relative = F.when(F.col("path").startswith(base), F.substr("path", F.lit(len(base) + 1))).otherwise(F.col("path"))
+    rows = reader.load(root).where(~is_hidden(F.col("path")))
+    return rows.select(relative.alias("relative_path"), F.col("length").alias("size_bytes"), "content")
 
 
 def _open(path: str):
@@ -48,31 +68,38 @@ def _open(path: str):
     scheme, _, rest = path.partition(":")
     if scheme == "file":
         return LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
-    filesystem, name = FileSystem.from_uri(quote(path, safe=":/"))
+    filesystem, name = FileSystem.from_uri(_OPENED[scheme] + ":" + quote(rest, safe=":/"))
     return filesystem.open_input_file(name)
 
 
 def _read_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        heads, tails = [], []
+        heads, tails, errors = [], [], []
         for path, size, tail_bytes in zip(batch["path"], batch["size_bytes"], batch["tail_bytes"]):
-            with _open(path) as handle:
-                start = max(size - tail_bytes, 0)
-                heads.append(handle.read_at(min(4, size), 0))
-                tails.append(handle.read_at(size - start, start))
-        yield batch[["relative_path", "size_bytes"]].assign(head=heads, tail=tails)
-
-
-def file_ends(spark: SparkSession, root: str, glob: str, tail_bytes: int = 4) -> DataFrame:
-    """First four and last ``tail_bytes`` bytes of each file.
-
-    Spark has no reader for a byte range, and ``binaryFile`` would load whole files. The tasks seek
-    instead, so the bytes read per file are constant and files may exceed 2 GiB.
+            head = tail = error = None
+            try:
+                with _open(path) as handle:
+                    start = max(size - tail_bytes, 0)
+                    head, tail = handle.read_at(min(4, size), 0), handle.read_at(size - start, start)
+            except OSError as failure:  # what one file suffers from must not end the check of the others
+                head = tail = None
+                error = f"unreadable: {failure}"
+            heads.append(head)
+            tails.append(tail)
+            errors.append(error)
+        yield batch[["relative_path", "size_bytes"]].assign(head=heads, tail=tails, error=errors)
+
+
+def file_ends(spark: SparkSession, root: str, glob: str | None = None, tail_bytes: int = 4) -> DataFrame:
+    """First four and last ``tail_bytes`` bytes of each file, or the ``error`` that reading it met.
+
+    Spark has no reader for a byte range, and ``binaryFile`` would load whole files. The tasks seek instead, so
+    the bytes read per file are constant and files may exceed 2 GiB. In stores that only Spark's own readers
+    reach, whole files are read after all.
     """
-    listing = _binary(spark, root, glob).select(
-        "path",
-        _relative(root).alias("relative_path"),
-        F.col("length").alias("size_bytes"),
-        F.lit(min(tail_bytes, ZIP_TAIL_BYTES)).alias("tail_bytes"),
-    )
-    return listing.mapInPandas(_read_ends, "relative_path string, size_bytes long, head binary, tail binary")
+    listing = _listing(spark, root, glob)
+    if _base(spark, root)[1].split(":", 1)[0] in _OPENED:
+        dealt = listing.withColumn("tail_bytes", F.lit(tail_bytes)).repartition("path")
+        return dealt.mapInPandas(_read_ends, "relative_path string, size_bytes long, head binary, tail binary, error string")
+    whole = read_files(spark, root, glob).select("relative_path", F.substring("content", 1, 4).alias("head"), F.substring("content", -tail_bytes, tail_bytes).alias("tail"))
+    return listing.drop("path").join(whole, "relative_path", "left").withColumn("error", F.when((F.col("size_bytes") > 0) & F.col("head").isNull(), "unreadable"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from civicledger.operators.manifest import latest_entries, worklist
 
-BATCH = "batch_id"
+QUERY, BATCH = "query_id", "batch_id"
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -19,6 +20,14 @@ def file_stream(spark: SparkSession, folder: str, schema, glob: str, fmt: str =
     return reader.options(**options).load(folder)
 
 
+def _log(spark: SparkSession, manifest: str) -> DataFrame | None:
+    """The manifest log with the query and batch that wrote each entry; none before the first batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(manifest)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.parquet(manifest)
+
+
 def ingest(
     stream: DataFrame,
     to_entries: Callable[[DataFrame], DataFrame],
@@ -27,18 +36,21 @@ def ingest(
 ) -> None:
     """Process all available files once; new or changed content is added to the manifest log.
 
-    Each micro-batch owns one partition of the log and overwrites it, so a batch that is repeated after a
-    failure leaves no duplicates. It is compared with the batches before it only.
+    Each micro-batch owns one partition of the log, named by its query (which the checkpoint keeps) and number,
+    and overwrites it, so a batch that is repeated after a failure leaves no duplicates and a fresh checkpoint
+    none of the earlier entries behind. It is compared with all other batches, but only on the paths it holds.
     """
 
     def commit(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         entries = to_entries(batch)
-        if number > 0:
-            known = spark.read.parquet(manifest).where(F.col(BATCH) < number).drop(BATCH)
+        log = _log(spark, manifest)
+        if log is not None:
+            others = log.where((F.col(QUERY) != query) | (F.col(BATCH) < number)).drop(QUERY, BATCH)
+            known = others.join(entries.select("relative_path").distinct(), "relative_path", "left_semi")
             entries = worklist(entries, latest_entries(known))
-        target = f"{manifest}/{BATCH}={number}"
-        entries.write.mode("overwrite").parquet(target)
+        entries.write.mode("overwrite").parquet(f"{manifest}/{QUERY}={query}/{BATCH}={number}")
 
     query = (
         stream.writeStream.trigger(availableNow=True)
@@ -51,4 +63,9 @@ def ingest(
 
 def ingested(spark: SparkSession, manifest: str) -> DataFrame:
     """The current manifest over all batches."""
-    return latest_entries(spark.read.parquet(manifest).drop(BATCH))
+    return latest_entries(spark.read.parquet(manifest).drop(QUERY, BATCH))
+
+
+def compact(spark: SparkSession, manifest: str, target: str) -> None:
+    """Write a log that holds the current entries only; runs may go on from ``target``."""
+    ingested(spark, manifest).write.parquet(f"{target}/{QUERY}=compacted/{BATCH}=0")

@@ -118,32 +118,35 @@ def test_entities_and_text(spark):
     texts = ["a &amp; b", "&#65;&#x42;&#128512;", "&eacute;&nope;&", "no", "&#0;", "&lt;b&gt;"]
     want = ["a & b", "AB\U0001f600", "é&nope;&", "no", "�", "<b>"]
     assert evaluate(spark, [(t,) for t in texts], "t string", decode_entities(F.col("t"))) == want
+    assert evaluate(spark, [("&#0000000065;&#x00000041;&#99999999999;&#xFFFFFFFFFFFFFFFFFFFF;",)], "t string", decode_entities(F.col("t"))) == ["AA\ufffd\ufffd"]
     html = [f"<b> Congress </b>&nbsp; of<i> x</i>", "a\n b"]
     assert evaluate(spark, [(h,) for h in html], "h string", html_text(F.col("h"))) == ["Congressofx", "a\n b"]
 
 
 def test_amounts(spark):
     cases = {
-        "5,213,397 ": (5213397, False),
-        "(20,631)": (-20631, False),
-        "-5,197": (-5197, False),
-        "-1,860,408": (-1860408, False),
+        "4,321,098 ": (4321098, False),
+        "(30,742)": (-30742, False),
+        "-6,208": (-6208, False),
+        "-2,971,519": (-2971519, False),
         "-": (0, False),
         "": (0, False),
         f"-{NBSP}-": (0, False),
         f"{NBSP}7{NBSP}": (7, False),
         "1234": (1234, False),
-        "35,569,747,": (None, True),
-        "1,68,563": (None, True),
-        "2,,527,036": (None, True),
-        "(780, 807)": (None, True),
-        "139,218-": (None, True),
-        "161.326,586": (None, True),
-        "< 327,261": (None, True),
+        "46,670,858,": (None, True),
+        "2,79,674": (None, True),
+        "3,,638,147": (None, True),
+        "(891, 918)": (None, True),
+        "240,329-": (None, True),
+        "272.437,697": (None, True),
+        "< 438,372": (None, True),
         "`": (None, True),
         "(12": (None, True),
-        "9,441.975": (None, True),
+        "8,552.086": (None, True),
         None: (None, True),
+        "9" * 30: (int("9" * 30), False),
+        "9" * 31: (None, True),
     }
     amounts = evaluate(spark, [(c,) for c in cases], "c string", clean_amount(F.col("c")))
     assert amounts == [None if v is None else Decimal(v) for v, _ in cases.values()]
@@ -152,7 +155,7 @@ def test_amounts(spark):
 
 
 def test_rates(spark):
-    cases = {"94.65%": "94.65", "84,40%": "84.40", "1,234.50 %": "1234.50", "-3.1%": "-3.10", "n/a": None, "": None}
+    cases = {"94.65%": "94.65", "84,40%": "84.40", "1,234.50 %": "1234.50", "-3.1%": "-3.10", "12345678901%": "12345678901.00", "n/a": None, "": None}
     got = evaluate(spark, [(c,) for c in cases], "c string", clean_rate(F.col("c")))
     assert [None if v is None else str(v) for v in got] == list(cases.values())
 
@@ -166,9 +169,13 @@ def test_signatures(spark):
     parquet = [(b"PAR1....PAR1",), (b"PAR1....PA",), (b"XXXX....PAR1",), (b"PA",), (b"",)]
     status = parquet_status(F.col("c"), F.col("c"))
     assert evaluate(spark, parquet, "c binary", status) == ["ok", "truncated", "bad_header", "bad_header", "bad_header"]
-    books = [(b"PK\x03\x04..." + ZIP_END_OF_DIRECTORY + b"\0" * 18,), (b"PK\x03\x04...",), (b"<html>",), (b"PK\x03\x04\x05\x04\xb0\x50\x60",)]
+    end = ZIP_END_OF_DIRECTORY + b"\0" * 16
+    good = b"PK\x03\x04..." + end + b"\0\0"
+    commented = b"PK\x03\x04..." + end + b"\x2c\x01" + b"PK\x05\x06" * 75
+    embedded = good + b"more content that was cut off"
+    books = [(good,), (commented,), (embedded,), (commented[:-1],), (b"PK\x03\x04...",), (b"<html>",), (b"PK\x03\x04\x05\x04\xb0\x50\x60",), (None,)]
     got = evaluate(spark, books, "c binary", workbook_status(F.col("c"), F.col("c")))
-    assert got == ["valid", "no_end_of_directory", "not_a_zip", "no_end_of_directory"]
+    assert got == ["valid", "valid", *["no_end_of_directory"] * 3, "not_a_zip", "no_end_of_directory", "not_a_zip"]
 
 
 def test_requested_sources():

@@ -15,7 +15,7 @@ from civicledger.operators import links as L
 from civicledger.operators import manifest as M
 from civicledger.operators import periods as P
 from civicledger.operators import segments as G
-from civicledger.operators.columns import add_once, broadcast_if_small
+from civicledger.operators.columns import add_once
 from civicledger.session import scratch_dir
 from civicledger.sources import manifest as store
 from civicledger.sources.files import file_ends, file_inventory, read_files
@@ -23,7 +23,7 @@ from civicledger.sources.processed import read_processed, write_processed
 from civicledger.sources.registry import SourceRegistry
 from civicledger.sources.tables import read_appropriations, read_collections
 from civicledger.functions.files import ZIP_TAIL_BYTES, parquet_status, workbook_status
-from civicledger.streaming.ingest import file_stream, ingest, ingested
+from civicledger.streaming.ingest import compact, file_stream, ingest, ingested
 
 
 def plan(df) -> str:
@@ -142,6 +142,33 @@ def test_upsert_is_idempotent_and_widens(spark):
     assert sorted(map(str, M.upsert(once, new).collect())) == sorted(map(str, once.collect()))
 
 
+def test_arrival_decides_then_the_point_in_time(spark):
+    schema = "relative_path string, checksum string, timestamp string, size_bytes int"
+    old = spark.createDataFrame([("a", "9", "2024-05-01T00:00:00Z", 900), ("b", "1", "2024-01-01T00:00:00Z", 1)], schema)
+    tie = spark.createDataFrame([("a", "1", "2024-05-01T00:00:00Z", 1)], schema)
+    assert {(r.relative_path, r.checksum) for r in M.upsert(old, tie).collect()} == {("a", "1"), ("b", "1")}
+    earlier = spark.createDataFrame([("a", "2", "2020-01-01T00:00:00Z", 1)], schema)
+    assert {r.checksum for r in M.upsert(old, earlier).where("relative_path = 'a'").collect()} == {"2"}
+    zones = spark.createDataFrame([("a", "late", "2024-01-01T00:00:00-05:00", 1), ("a", "early", "2024-01-01T03:00:00+00:00", 1)], schema)
+    assert M.latest_entries(zones).first().checksum == "late"
+
+
+def test_validation_counts_every_source(spark):
+    files = spark.createDataFrame([("gaa/1", "gaa"), ("x/1", "new"), ("y/1", None)], "relative_path string, source string")
+    entries = spark.createDataFrame([("gaa/1",), ("gone/1",)], "relative_path string")
+    books = spark.createDataFrame([("b", "no_end_of_directory")], "relative_path string, status string")
+    tables = spark.createDataFrame([("t", "truncated"), ("u", "ok")], "relative_path string, status string")
+    got = M.validation_summary(files, entries.limit(0), books, tables, manifest_exists=True).first()
+    assert (got.gaa_files, got.tax_files, got.other_files, got.manifest_entries, got.manifest_exists) == (1, 0, 2, 0, True)
+    full = M.validation_summary(files, entries, books, tables, manifest_exists=False).first()
+    assert (full.manifest_entries, full.manifest_orphans, full.parquet_errors, full.saaodb_xlsx_corrupt, full.manifest_exists) == (2, 1, 1, 1, False)
+    kinds = {(r.file, r.error) for r in M.validation_details(files, entries, books, tables).collect()}
+    assert kinds == {("gone/1", "orphan"), ("b", "corrupt_workbook"), ("t", "corrupt_table")}
+    runs = spark.createDataFrame([(1, "a", True, 1, 0, 2.5, None)], "run_id int, name string, success boolean, files_downloaded int, files_skipped int, duration_seconds double, error string")
+    report = json.loads(M.ingest_report(runs, M.validation_summary(files, entries, books, tables), "2024-02-01T00:00:00Z").first().report)
+    assert report["timestamp"] == "2024-02-01T00:00:00Z" and report["validation"]["other_files"] == 2 and report["overall_success"] is True
+
+
 def test_manifest_files(spark, tmp_path):
     entry = {"source": "s", "relative_path": "x/a.pdf", "size_bytes": 3, "checksum": "c", "timestamp": "2024-01-01T00:00:00Z", "extra": 1}
     (tmp_path / "one.json").write_text(json.dumps({"x/a.pdf": entry, "x/b.pdf": {**entry, "relative_path": "x/b.pdf", "year": "2013"}}, indent=4))
@@ -174,19 +201,27 @@ def test_files_below_a_folder(spark, tmp_path):
     (root / "gaa" / "cut.parquet").write_bytes(b"PAR1" + b"x" * 50)
     (root / "gaa" / "empty.parquet").write_bytes(b"")
     (root / ".gitkeep").write_bytes(b"")
+    (root / "_odd").write_bytes(b"x")
+    below = root / "nested" / str(root)[1:]
+    below.mkdir(parents=True)
+    (below / "f.txt").write_bytes(b"PAR1")
     with zipfile.ZipFile(root / "book.xlsx", "w") as book:
         book.writestr("a", "b" * 1000)
         book.comment = b"c" * 60000
     (root / "bad.xlsx").write_bytes((root / "book.xlsx").read_bytes()[:500])
     listing = {r.relative_path: r.size_bytes for r in file_inventory(spark, str(root)).collect()}
-    assert set(listing) == {"gaa/good.parquet", "gaa/cut.parquet", "book.xlsx", "bad.xlsx"}
-    assert listing["gaa/good.parquet"] == 58
-    assert "content" not in plan(file_inventory(spark, str(root))).split("ReadSchema")[-1]
+    assert set(listing) == {"gaa/good.parquet", "gaa/cut.parquet", "gaa/empty.parquet", "book.xlsx", "bad.xlsx", "_odd", f"nested{root}/f.txt"}
+    assert listing["gaa/good.parquet"] == 58 and listing["gaa/empty.parquet"] == 0
     status = parquet_status(F.col("head"), F.col("tail"))
     checked = file_ends(spark, str(root), "*.parquet").select("relative_path", status.alias("s"))
     assert {r.relative_path: r.s for r in checked.collect()} == {
-        "gaa/good.parquet": "ok", "gaa/cut.parquet": "truncated",
+        "gaa/good.parquet": "ok", "gaa/cut.parquet": "truncated", "gaa/empty.parquet": "bad_header",
     }
+    assert {r.relative_path for r in read_files(spark, str(root), "f.txt").collect()} == {f"nested{root}/f.txt"}
+    ends = file_ends(spark, str(root), "*.parquet")
+    (root / "gaa" / "cut.parquet").unlink()
+    errors = {r.relative_path: r.error for r in ends.collect()}
+    assert errors["gaa/cut.parquet"].startswith("unreadable") and errors["gaa/good.parquet"] is None
     books = file_ends(spark, str(root), "*.xlsx", ZIP_TAIL_BYTES).select("relative_path", workbook_status(F.col("head"), F.col("tail")).alias("s"))
     assert {r.relative_path: r.s for r in books.collect()} == {"book.xlsx": "valid", "bad.xlsx": "no_end_of_directory"}
     assert {r.size_bytes for r in read_files(spark, str(root), "*.xlsx").collect()} == {listing["book.xlsx"], 500}
@@ -250,6 +285,12 @@ def test_stream_handles_only_new_files(spark, tmp_path):
     before = spark.read.parquet(log).count()
     run()
     assert spark.read.parquet(log).count() == before
+    # A fresh checkpoint on the same log keeps what is there and adds nothing that is known.
+    ingest(file_stream(spark, folder, schema, "*.parquet"), lambda batch: batch, log, str(tmp_path / "cp2"))
+    assert {(r.relative_path, r.checksum) for r in ingested(spark, log).collect()} >= {("a", "1"), ("c", "1")}
+    assert spark.read.parquet(log).where("relative_path = 'c'").count() == 1
+    compact(spark, log, str(tmp_path / "compacted"))
+    assert spark.read.parquet(str(tmp_path / "compacted")).count() == 3
 
 
 # ---------------------------------------------------------------- periods, segments, crosswalk
@@ -290,8 +331,9 @@ def test_reconcile(spark):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_ranks_like_a_window(spark, seed):
     rng = random.Random(seed)
-    values = [rng.choice([0, 1, 5, -3, rng.randint(-10**9, 10**9), rng.randint(0, 50)]) for _ in range(400)]
-    df = spark.createDataFrame([(i, Decimal(v)) for i, v in enumerate(values)], "id int, v decimal(20,2)")
+    values = [rng.choice([0, 1, 5, -3, None, rng.randint(-10**9, 10**9), rng.randint(0, 50)]) for _ in range(400)]
+    df = spark.createDataFrame([(i, v if v is None else Decimal(v)) for i, v in enumerate(values)], "id int, v decimal(20,2)")
+    values = [-(10**12) if v is None else v for v in values]  # nulls come last
     ranked = {r.id: (r["rank"], r.dense_rank, r.percent_rank) for r in G.rank_segments(df, "v").collect()}
     distinct = sorted(set(values), reverse=True)
     want = {
@@ -337,6 +379,43 @@ def test_crosswalk_validity_and_suggestions(spark):
     assert [(r.name, r.canonical, r.edits) for r in C.suggest_matches(unknown, crosswalk).collect()] == [("automous region", "R15", 2)]
 
 
+def test_money_is_not_multiplied(spark):
+    facts = spark.createDataFrame([("Region IV-A", 2012, "kept", 10), ("two", 2012, "kept", 5)], "name string, year int, valid_from string, amount int")
+    crosswalk = spark.createDataFrame(
+        [("Region IV-A", "R4", 2000, 2015), ("REGION IV A", "R4", 2010, 2020), ("two", "A", None, 2012), ("two", "B", 2012, None), ("three", "A", None, 2011), ("three", "B", 2012, None)],
+        "alias string, canonical string, valid_from int, valid_to int",
+    )
+    for year in ("year", None):
+        got = C.apply_crosswalk(facts, crosswalk, "name", year)
+        assert got.columns == [*facts.columns, "canonical"]
+        assert {(r.name, r.valid_from, r.amount, r.canonical) for r in got.collect()} == {("Region IV-A", "kept", 10, "R4"), ("two", "kept", 5, None)} and got.count() == 2
+    assert [(r.alias, r.canonical_keys) for r in C.ambiguous_aliases(crosswalk).collect()] == [("two", "A,B")]
+    rates = spark.createDataFrame([("X", 2), ("X", 2), ("Y", 1), ("Y", 3)], "currency string, rate int")
+    money = spark.createDataFrame([("X", 10), ("Y", 10), ("Z", 10)], "currency string, amount int")
+    assert sorted((r.currency, r.amount_common and int(r.amount_common)) for r in C.align_currency(money, rates).collect()) == [("X", 20), ("Y", None), ("Z", None)]
+
+
+def test_short_names_meet_too(spark):
+    names = spark.createDataFrame([("a",), ("bc",), ("xyz",)], "name string")
+    crosswalk = spark.createDataFrame([("d", "d"), ("ef", "ef"), ("xy", "xy")], "alias string, canonical string")
+    got = {(r.name, r.alias) for r in C.suggest_matches(names, crosswalk).collect()}
+    pairs = names.crossJoin(crosswalk).where(F.levenshtein("name", "alias") <= 2)
+    assert got == {(r.name, r.alias) for r in pairs.collect()}
+
+
+def test_json_that_the_parser_rejects(spark):
+    def page(body):
+        return f"<script id='__NEXT_DATA__'>{body}</script>"
+
+    deep = "[" * 1200 + '"/d.xlsx"' + "]" * 1200
+    bodies = ['{"k":"/a.xlsx","k":"/b.xlsx"}', deep, '{"k": "/c.xlsx"', '["/e.xlsx"]', '"/f.xlsx"', "", '{"k":"' + "x" * (17 << 20) + '","l":"/g.xlsx"}']
+    pages = spark.createDataFrame([(i, "https://e.org/p", page(b)) for i, b in enumerate(bodies)], "page_id int, url string, html string")
+    got = {r.page_id: (r.s, r.u) for r in pages.select("page_id", L.json_status(F.col("html")).alias("s"), L.json_urls(F.col("html"), F.col("url")).alias("u")).collect()}
+    urls = lambda *names: [f"https://e.org/{n}.xlsx" for n in names]
+    assert got[0] == ("json", urls("a", "b")) and got[1] == ("unjudged", urls("d")) and got[2] == ("not_json", [])
+    assert got[3] == ("json", urls("e")) and got[5] == ("none", []) and got[6][1] == urls("g") and got[6][0] in ("json", "unjudged")
+
+
 def test_suggestions_find_every_close_pair(spark):
     rng = random.Random(11)
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(60)})
@@ -359,9 +438,3 @@ def test_add_once_blocks_substitution(spark):
     df = add_once(spark.range(3), x=F.col("id") * 2).where("x > 1 AND x < 9").select((F.col("x") + F.col("x")).alias("y"))
     assert plan(df).count("* 2") == 1
     assert sorted(r.y for r in df.collect()) == [4, 8]
-
-
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(10), spark.range(2000)
-    assert "BroadcastHashJoin" in plan(large.join(broadcast_if_small(small, 100), "id"))
-    assert broadcast_if_small(large, 100) is large

@@ -11,7 +11,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-PYTHON_ALLOWED = {"parquet_magic"}
+PYTHON_ALLOWED = {"parquet_magic", "xlsx_files"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
