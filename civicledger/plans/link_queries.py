@@ -237,6 +237,12 @@ def json_walk_urls(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", F.explode(urls).alias("url"))
 
 
+@query("json_status", "SELECT event_id AS page_id, CASE event_type WHEN 'click' THEN 'json' ELSE 'none' END AS status FROM events")
+def json_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Bodies with repeated keys count as JSON."""
+    return S.event_pages(spark, folder).select("page_id", L.json_status(F.col("html")).alias("status"))
+
+
 @query(
     "script_url_scan",
     """

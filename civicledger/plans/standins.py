@@ -86,6 +86,7 @@ links AS (
         FROM orders)
 )"""
 
+# The clue words, patterns and ranks in these rules must equal those of `functions/links.py`.
 LINK_RULES_SQL = """
 ruled AS (
   SELECT *,
@@ -154,7 +155,9 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
     data = F.concat(
         F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"items":[{"file":"\\/api\\/f'),
         number,
-        F.lit('.xls","note":"plain"},{"deep":{"k":[1,{"alt":"https://files.example.org/a'),
+        F.lit('.xls","note":"plain"'),
+        F.when(F.col("event_id") % 2 == 0, ',"note":"a repeated key"').otherwise(""),
+        F.lit('},{"deep":{"k":[1,{"alt":"https://files.example.org/a'),
         number,
         F.lit('.XLSX"}]}}],"key'),
         number,

@@ -9,6 +9,7 @@ from civicledger.functions.money import MONEY, parse_amount
 from civicledger.functions.text import strip_ws
 from civicledger.operators import statements as T
 from civicledger.operators.columns import add_once
+from civicledger.plans.quarter_pages import QUARTER_SQL, quarter_pages
 from civicledger.plans.registry import query
 from civicledger.plans.statement_pages import STATEMENT_SQL, statement_pages
 from civicledger.sources.tables import table
@@ -199,3 +200,41 @@ def numeric_clean(spark: SparkSession, folder: str) -> DataFrame:
     raw = F.get(F.array(*styles), (F.col("l_orderkey") % _STYLES).cast("int"))
     read = add_once(add_once(items, cell=strip_ws(raw)), amount=parse_amount(F.col("cell"), "decimal(20,0)"))
     return read.select("l_orderkey", "l_linenumber", "cents", "amount", F.col("amount").isNull().alias("quarantined"))
+
+
+# ---------------------------------------------------------------- all layouts, quarter by quarter
+
+
+@query(
+    "statement_sections",
+    f"""WITH {QUARTER_SQL}, doc AS (SELECT DISTINCT agency, year, quarter FROM ytd),
+defs(row_no, label, section, level, parent_row) AS (VALUES (4, NULL, 'A', 0, NULL), (5, 'Agency Specific Budget', 'A', 1, 4),
+  (6, 'Continuing Appropriation', 'A', 1, 4), (7, 'SUB-TOTAL, NGAs', 'subtotal', 0, NULL), (8, 'B. Corporations', 'B', 0, NULL), (9, 'GRAND TOTAL', 'grand_total', 0, NULL)),
+al AS (SELECT agency, year, quarter, sum(CAST(f AS BIGINT)) AS f, sum(CAST(o AS BIGINT)) AS o FROM ytd GROUP BY ALL)
+SELECT year || '_Q' || quarter || '_' || agency || '.htm' AS file, row_no, coalesce(label, 'Office ' || agency) AS label, section, level, parent_row,
+  (row_no = 6 AND agency = 7) AS irregular, make_date(year, quarter * 3, CASE WHEN quarter IN (1, 4) THEN 31 ELSE 30 END) AS as_of,
+  CASE WHEN row_no = 6 THEN CASE WHEN agency <> 7 THEN CAST(0 AS DECIMAL(20, 2)) END WHEN row_no < 8 THEN CAST(f * 1000 AS DECIMAL(20, 2))
+    WHEN row_no = 8 THEN CAST(o * 1000 AS DECIMAL(20, 2)) ELSE CAST((f + o) * 1000 AS DECIMAL(20, 2)) END AS allotment
+FROM doc JOIN al USING (agency, year, quarter), defs""",
+)
+def statement_sections(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of all layouts with their sections, parents and total allotment."""
+    lines = T.with_amounts(T.statement_lines(quarter_pages(spark, folder)))
+    total = (F.get("amounts", F.lit(3)) * F.col("unit")).cast(MONEY)
+    return lines.select("file", "row_no", "label", "section", "level", "parent_row", "irregular", "as_of", total.alias("allotment"))
+
+
+@query(
+    "statement_trend",
+    f"""WITH {QUARTER_SQL}, b AS (
+  SELECT agency, year, quarter, c AS expense_class, CAST(f AS BIGINT) AS al, CAST(f AS BIGINT) * 9 // 10 AS ob FROM ytd
+), t AS (SELECT * FROM b UNION ALL SELECT agency, year, quarter, 'total', CAST(sum(al) AS BIGINT), CAST(sum(ob) AS BIGINT) FROM b GROUP BY ALL),
+m AS (SELECT agency, year, quarter, expense_class, 'allotment' AS measure, al AS n FROM t UNION ALL SELECT agency, year, quarter, expense_class, 'obligations', ob FROM t
+  UNION ALL SELECT agency, year, quarter, expense_class, 'unobligated', al - ob FROM t)
+SELECT agency, measure, expense_class, year, quarter, CAST(1000 * (n - lag(n, 1, 0) OVER (PARTITION BY agency, measure, expense_class, year ORDER BY quarter)) AS DECIMAL(20, 2)) AS flow FROM m""",
+)
+def statement_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """What each quarter added to the comparable total, from statements that accumulate over the year."""
+    lines = T.with_amounts(T.statement_lines(quarter_pages(spark, folder)))
+    flows = T.quarterly_flows(T.long_facts(T.trend_scope(lines)), ["agency"])
+    return flows.select("agency", "measure", "expense_class", "year", "quarter", F.col("flow").cast(MONEY).alias("flow"))
