@@ -10,7 +10,10 @@ cell is a signature.
 
 Sets that share a signature are compared in two steps, so that a group of near copies isn't compared pair by pair:
 each with the first of its bucket, then, in buckets that still hold several components, those outside the largest
-component with the others. Every comparison is exact on 64-bit shingle hashes.
+component with the others. The second step first compares parities: each feature flips one bit of its set's sketch, so
+two sets differ in at least as many features as their sketches in bits; only pairs that may be similar leave the
+bucket. Large buckets are cut into blocks, and pairs of blocks are compared apart. What remains is compared exactly, on
+64-bit shingle hashes.
 
 Null and empty texts, and texts without words, have no shingles and no links. Rows that share an id are one document
 with the links of each. A row without an id has no links and no component. Ties don't arise. An empty table gives an
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,13 @@ from civicledger.llm.components import components
 from civicledger.session import scratch_dir
 
 WORDS = 5
+SLOT_BITS = 22
+SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
+#: Sizes of sets and the bits of their sketches; beyond the last size the last number of bits.
+SKETCHES = [(256, 512), (1024, 2048), (4096, 8192)]
+BLOCK = 4096
+#: Share of a task's documents, and their number, from which a slot of features is counted.
+OFTEN, LEAST_OFTEN = 0.002, 8
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,12 +73,13 @@ def band(size: int) -> int:
     return level
 
 
-def signatures(features: np.ndarray) -> np.ndarray:
-    """Signatures of one set: in each of its bands, the cells it enumerates."""
+def signatures(features: np.ndarray, rarity: np.ndarray | None = None) -> np.ndarray:
+    """Signatures of one set: in each of its bands, the cells it enumerates. ``rarity``: of each slot of features."""
     size, out = len(features), []
     if not size:
         return np.empty(0, np.uint64)
     partner = size * 5 // 4
+    weight = np.ones(size, np.int64) if rarity is None else rarity[(features >> SLOT_SHIFT).astype(np.int64)].astype(np.int64)
     for level in sorted({band(size), band(partner)}):
         top = 4**level
         differ = (size + min(partner, top)) // 9
@@ -79,29 +91,123 @@ def signatures(features: np.ndarray) -> np.ndarray:
         filled = cell[order][starts]
         count = np.diff(np.r_[starts, size])
         content = np.add.reduceat(tb.mix(spread)[order], starts)
+        score = np.add.reduceat(weight[order], starts)
         if len(filled) <= differ:
             empty = np.setdiff1d(np.arange(cells), filled)
             filled, count, content = np.r_[filled, empty], np.r_[count, np.zeros(len(empty), np.int64)], np.r_[content, np.zeros(len(empty), np.uint64)]
+            score = np.r_[score, np.zeros(len(empty), np.int64)]
         name = tb.mix(content + tb.mix((filled * 64 + level).astype(np.uint64)) + count.astype(np.uint64))
-        chosen = np.lexsort((name, -count))[: differ + 1]
+        chosen = np.lexsort((name, -score))[: differ + 1]
         out.append(name[chosen])
     return np.concatenate(out)
 
 
-def _signed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parities(features: np.ndarray) -> bytes:
+    """A sketch in which every feature flips one bit; larger sets have longer ones."""
+    bits = next((b for most, b in SKETCHES if len(features) <= most), SKETCHES[-1][1])
+    set_ = np.bincount((tb.mix(features) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(set_.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """The same parities with fewer bits."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
+
+
+def near_pairs(doc: np.ndarray, n: np.ndarray, c: np.ndarray, minor: np.ndarray, side: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket that may be similar, of two components, not both of the largest, and of different sides."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    width = np.array([len(x) // 8 for x in sketches])
+    for low in np.unique(width):
+        for high in np.unique(width[width >= low]):
+            one, two = np.flatnonzero(width == low), np.flatnonzero(width == high)
+            a, b = (_folded(np.frombuffer(b"".join([sketches[i] for i in rows]), np.uint64).reshape(len(rows), -1), int(low)) for rows in (one, two))
+            step = max(1, (1 << 21) // max(1, len(two) * int(low)))
+            for at in range(0, len(one), step):
+                i, j = one[at : at + step, None], two[None, :]
+                fits = (c[i] != c[j]) & (minor[i] | minor[j]) & ((side[i] != side[j]) | (side[i] < 0)) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+                if low == high:
+                    fits &= i < j
+                x, y = np.nonzero(fits)
+                for k in range(0, len(x), 1 << 17):
+                    p, q = x[k : k + (1 << 17)], y[k : k + (1 << 17)]
+                    differ = np.bitwise_count(a[at + p] ^ b[q]).sum(axis=1, dtype=np.int64)
+                    good = 9 * differ <= n[one[at + p]] + n[two[q]]
+                    out.append((doc[one[at + p[good]]], doc[two[q[good]]]))
+    none = np.empty(0, np.int64)
+    return (np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])) if out else (none, none)
+
+
+def _compare(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows in order of bucket and pair of blocks; a bucket and pair of blocks has a bounded number of rows."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(batches).combine_chunks()
+        keys = np.stack([t.column(x).to_numpy() for x in ("s", "i", "j")])
+        doc, n, c, major, block = (t.column(x).to_numpy() for x in ("doc_id", "n", "c", "major", "block"))
+        sketches = t.column("sketch").to_pylist()
+        starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        found = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
+            side = block[a:b] if keys[1, a] != keys[2, a] else np.full(b - a, -1)
+            found.append(near_pairs(doc[a:b], n[a:b], c[a:b], c[a:b] != major[a:b], side, sketches[a:b]))
+        u, v = (np.concatenate([f[k] for f in found]) for k in range(2))
+        distinct = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(distinct[0]), pa.array(distinct[1])], names=["u", "v"])
+
+    for batch in stream:
+        held.append(batch)
+        t = pa.Table.from_batches(held).combine_chunks()
+        keys = np.stack([t.column(x).to_numpy() for x in ("s", "i", "j")])
+        last = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])[-1]
+        if last:
+            yield pairs(t.slice(0, last).to_batches())
+        held = t.slice(last).to_batches()
+    if held:
+        yield pairs(held)
+
+
+def _often(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slots of features that many documents of this task have, and (slot -1) the number of its documents."""
+    counts, n = np.zeros(1 << SLOT_BITS, np.int32), 0
     for batch in tb.batches(stream):
-        sizes, same, lists, seen = [], [], [], {}
-        for doc, features in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text")), strict=True):
-            sizes.append(len(features))
-            print_ = (len(features), int(features.sum()), int(np.bitwise_xor.reduce(features))) if len(features) else None
-            first = None if doc is None or print_ is None else seen.setdefault(print_, doc)
-            same.append(None if first == doc else first)
-            lists.append(signatures(features) if first is not None and first == doc else np.empty(0, np.uint64))
-        ends = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
-        flat = np.concatenate(lists).view(np.int64) if lists else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(same, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "n", "same", "signatures"]
-        )
+        for features in shingle_sets(batch.column("text")):
+            slot = (features >> SLOT_SHIFT).astype(np.int64)
+            counts[slot] += 1  # a repeated slot of one document counts once
+        n += batch.num_rows
+    slots = np.flatnonzero(counts >= max(LEAST_OFTEN, OFTEN * n))
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[slots, -1]), pa.array(np.r_[counts[slots], n].astype(np.int64))], names=["slot", "n"])
+
+
+def rarities(docs: DataFrame) -> np.ndarray:
+    """For each slot of features minus the binary logarithm of the share of documents that have one, 16 if few do."""
+    found = docs.select("text").mapInArrow(_often, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slot, n = (found.column(c).to_numpy() for c in ("slot", "n"))
+    rarity = np.full(1 << SLOT_BITS, 16, np.uint8)
+    total = max(1, int(n[slot == -1].sum()))
+    rarity[slot[slot >= 0]] = np.clip(np.round(-np.log2(n[slot >= 0] / total)), 0, 15)
+    return rarity
+
+
+def _signed(rarity: Broadcast):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tb.batches(stream):
+            sizes, same, lists, sketches, seen = [], [], [], [], {}
+            for doc, features in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+                sizes.append(len(features))
+                print_ = (len(features), int(features.sum()), int(np.bitwise_xor.reduce(features))) if len(features) else None
+                first = None if doc is None or print_ is None else seen.setdefault(print_, doc)
+                same.append(None if first == doc else first)
+                sketches.append(parities(features))
+                lists.append(signatures(features, rarity.value) if first is not None and first == doc else np.empty(0, np.uint64))
+            ends = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
+            flat = np.concatenate(lists).view(np.int64) if lists else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(same, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(sketches, pa.binary())], names=["doc_id", "n", "same", "signatures", "sketch"]
+            )
+
+    return run
 
 
 def _sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +241,8 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     docs = docs.select("doc_id", "text")
-    signed = kept(docs.mapInArrow(_signed, "doc_id bigint, n bigint, same bigint, signatures array<bigint>"), "signed")
+    rarity = spark.sparkContext.broadcast(rarities(docs))
+    signed = kept(docs.mapInArrow(_signed(rarity), "doc_id bigint, n bigint, same bigint, signatures array<bigint>, sketch binary"), "signed")
     bucket = Window.partitionBy("s")
     rows = signed.select("doc_id", "n", F.explode("signatures").alias("s"))
     full = rows.withColumn("first", F.min(F.struct("doc_id", "n")).over(bucket)).withColumn("last", F.max("doc_id").over(bucket))
@@ -147,12 +254,14 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     placed = live.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("s", "doc_id", "n", F.coalesce("root", "doc_id").alias("c"))
     open_ = placed.withColumn("a", F.min("c").over(bucket)).withColumn("b", F.max("c").over(bucket)).filter("a < b").select("s", "doc_id", "n", "c")
-    sized = open_.groupBy("s", "c").agg(F.count("*").alias("k")).groupBy("s").agg(F.max(F.struct("k", "c")).alias("most"))
-    open_ = kept(open_.join(sized.select("s", F.col("most.c").alias("major")), "s"), "open")
-    minor = open_.filter("c != major").select("s", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    others = open_.select("s", F.col("doc_id").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"))
-    cross = minor.join(others, (minor.s == others.s) & (F.col("xc") != F.col("yc")) & _close("xn", "yn"))
-    pairs = cross.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+    sized = open_.groupBy("s", "c").agg(F.count("*").alias("k")).groupBy("s").agg(F.max(F.struct("k", "c")).alias("most"), F.sum("k").alias("rows"))
+    open_ = kept(open_.join(sized.select("s", F.col("most.c").alias("major"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "s"), "open")
+    sketches = signed.filter("size(signatures) > 0").select("doc_id", "sketch")
+    own = open_.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    each = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sketches, "doc_id")
+    placed = each.select("s", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "doc_id", "n", "c", "major", "sketch")
+    dealt = placed.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
+    pairs = dealt.mapInArrow(_compare, "u bigint, v bigint").distinct()
     more = kept(verified(docs, kept(pairs.join(tried, ["u", "v"], "left_anti"), "cross")), "more")
     root = (components(spark, found.toDF("u", "v").union(more)) if more.head(1) else found).withColumnRenamed("node", "doc_id")
     return signed.select("doc_id", "n").join(root, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
