@@ -246,7 +246,11 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     bucket = Window.partitionBy("s")
     rows = signed.select("doc_id", "n", F.explode("signatures").alias("s"))
     full = rows.withColumn("first", F.min(F.struct("doc_id", "n")).over(bucket)).withColumn("last", F.max("doc_id").over(bucket))
-    live = kept(full.filter("first.doc_id < last").select("s", "doc_id", "n", F.col("first.doc_id").alias("head"), F.col("first.n").alias("head_n")), "live")
+    # Similar sets share many signatures. Buckets with the same members become one, named by a hash of them; should
+    # two others get one name, they are compared together, which only adds comparisons.
+    members = F.xxhash64(F.expr("bit_xor(xxhash64(doc_id))").over(bucket), F.count("*").over(bucket))
+    shared = full.withColumn("members", members).filter("first.doc_id < last")
+    live = kept(shared.select(F.col("members").alias("s"), "doc_id", "n", F.col("first.doc_id").alias("head"), F.col("first.n").alias("head_n")).distinct(), "live")
     equal = signed.filter("same is not null").select(F.col("doc_id").alias("u"), F.col("same").alias("v"))
     tried = kept(live.filter("doc_id != head").filter(_close("n", "head_n")).select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct(), "tried")
     links = kept(verified(docs, tried).union(equal).distinct(), "links")
