@@ -32,7 +32,7 @@ from civicledger.llm import textbytes as tb
 
 SAMPLE_ROWS = 30_000
 MOST_WORDS = 50_000
-LEAST_GAIN = 25.0
+LEAST_GAIN = 18.0
 LEAST_ODDS = 1.0
 PRIOR_TEXTS = 2.0
 DRIFT = 0.05
