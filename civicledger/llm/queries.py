@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from civicledger.llm import credential_links, fmindex, grammar, oracles, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
 from civicledger.session import scratch_dir
 
+ARROW_ROWS = 1000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op3_partenum_groups": oracles.OP3, "op7_fm_index": oracles.OP7, "op10_radix_dedup": oracles.OP10}
 
@@ -20,9 +22,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder. Python workers on this machine find the package where the driver found it."""
+    """A table of the folder.
+
+    Python workers on this machine find the package where the driver found it, and get texts in batches of rows that
+    long texts don't make too large for them.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
