@@ -15,8 +15,8 @@ import pyarrow as pa
 
 from civicledger.llm import textbytes as tb
 
-MOST_PIECES = 2_500_000
-SLOT_BITS = 21
+MOST_PIECES = 1_000_000
+SLOT_BITS = 20
 
 _SPACE = ~tb.NOT_SPACE
 #: Bytes that white space may begin with outside ASCII, or that are white space: nothing is cut before these.

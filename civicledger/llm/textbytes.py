@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.Generator(np.random.PCG64(20240)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: list[np.ndarray] = []
