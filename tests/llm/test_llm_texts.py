@@ -291,6 +291,13 @@ def test_collisions_estimate_weighted_jaccard(spark):
         assert abs((f[2 * k] == f[2 * k + 1]).mean() - true) < 0.11
 
 
+def test_long_texts_without_a_common_word_share_no_sample(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(20_000)) for c in "ab"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    one, two = (r.f for r in weighted_fingerprint.fingerprints(spark, frame, ["id"]).collect())
+    assert not any(x == y for x, y in zip(one, two, strict=True))
+
+
 def test_repeats(spark, docs, rows, empty, nulls):
     want = brute.without_repeats(brute.by_id(rows))
     for hot in (radix_dedup.HOT, 1):
