@@ -12,7 +12,7 @@ Anchors with more than ``hot`` different stretches, which a common passage has a
 once through a hash aggregation, which combines before the shuffle; results are the same.
 
 Order is that of ``doc_id`` (null first), then of the start. Null texts are empty; texts shorter than ``depth`` lose
-nothing. Rows that share an id are told apart, and ordered, by a 15-bit hash of their text; rows equal in both are one
+nothing. Rows that share an id are told apart, and ordered, by a 64-bit hash of their text; rows equal in both are one
 document and get equal results, one each. Other columns are ignored; an empty table gives an empty result.
 """
 
@@ -36,7 +36,7 @@ BLOCK = 25
 HOT = 50_000
 GROUP_ROWS = 20_000
 
-_STRETCH = "anchor bigint, whole bigint, d bigint, pos bigint"
+_STRETCH = "anchor bigint, whole bigint, d bigint, h bigint, pos bigint"
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -72,9 +72,18 @@ def stretches(data: np.ndarray, offsets: np.ndarray, depth: int, gram: int) -> t
     return text, a, b, p, grams[p], whole
 
 
-def _packed(a: np.ndarray, b: np.ndarray, p: np.ndarray, salt: np.ndarray) -> np.ndarray:
-    """Hash of the text (15 bits), first start (32), anchor and last start behind it (8 each): ordered by start."""
-    return (salt << 48) | (a << 16) | ((p - a) << 8) | (b - a)
+def _packed(a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """First start, anchor and last start behind it (8 bits each): ordered by start."""
+    return (a << 16) | ((p - a) << 8) | (b - a)
+
+
+def _same(*columns: np.ndarray) -> np.ndarray:
+    """Whether each row equals the one before it."""
+    same = np.ones(len(columns[0]), bool)
+    same[:1] = False
+    for x in columns:
+        same[1:] &= x[1:] == x[:-1]
+    return same
 
 
 def _stretch(depth: int, gram: int):
@@ -83,16 +92,19 @@ def _stretch(depth: int, gram: int):
             data, offsets = tb.buffer(batch.column("text"))
             text, a, b, p, anchor, whole = stretches(data, offsets, depth, gram)
             d = batch.column("d").to_numpy(zero_copy_only=False)[text]
-            salt = batch.column("salt").to_numpy(zero_copy_only=False).astype(np.int64)[text]
+            h = batch.column("h").to_numpy(zero_copy_only=False)[text]
             base = offsets[text]
-            pos = _packed(a - base, b - base, p - base, salt)
+            pos = _packed(a - base, b - base, p - base)
             # Of equal stretches in one batch only the first can be the first of all.
-            order = np.lexsort((pos, d, whole, anchor))
-            anchor, whole, d, pos = (x[order] for x in (anchor, whole, d, pos))
-            again = np.r_[False, (anchor[1:] == anchor[:-1]) & (whole[1:] == whole[:-1])] if len(order) else np.empty(0, bool)
+            order = np.lexsort((pos, h, d, whole, anchor))
+            anchor, whole, d, h, pos = (x[order] for x in (anchor, whole, d, h, pos))
+            # Rows equal in id and text are one document, whose stretches don't repeat each other.
+            once = ~_same(anchor, whole, d, h, pos)
+            anchor, whole, d, h, pos = (x[once] for x in (anchor, whole, d, h, pos))
+            again = _same(anchor, whole)
             # Odd anchors: known to be repeated, each on its own.
-            anchor = np.where(again, tb.mix(d.view(np.uint64) * tb._PRIME + pos.view(np.uint64)) | np.uint64(1), anchor & ~np.uint64(1))
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(d), pa.array(pos)], names=["anchor", "whole", "d", "pos"])
+            anchor = np.where(again, tb.mix(tb.mix(d.view(np.uint64) * tb._PRIME + h.view(np.uint64)) + pos.view(np.uint64)) | np.uint64(1), anchor & ~np.uint64(1))
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(d), pa.array(h), pa.array(pos)], names=["anchor", "whole", "d", "h", "pos"])
 
     return run
 
@@ -103,16 +115,17 @@ def _fetch(depth: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tb.batches(stream):
             data, offsets = tb.buffer(batch.column("text"))
-            raw, out = data.tobytes(), {"anchor": [], "d": [], "pos": [], "bytes": []}
-            for k, (d, listed) in enumerate(zip(batch.column("d").to_pylist(), batch.column("listed").to_pylist(), strict=True)):
+            raw, out = data.tobytes(), {"anchor": [], "d": [], "h": [], "pos": [], "bytes": []}
+            for k, (d, h, listed) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("d", "h", "listed")), strict=True)):
                 for one in listed:
                     pos = one["pos"]
-                    start = int(offsets[k]) + ((pos >> 16) & 0xFFFFFFFF)
+                    start = int(offsets[k]) + (pos >> 16)
                     out["anchor"].append(one["anchor"])
                     out["d"].append(d)
+                    out["h"].append(h)
                     out["pos"].append(pos)
                     out["bytes"].append(raw[start : start + (pos & 0xFF) + depth])
-            yield pa.RecordBatch.from_arrays([pa.array(out["anchor"], pa.int64()), pa.array(out["d"], pa.int64()), pa.array(out["pos"], pa.int64()), pa.array(out["bytes"], pa.binary())], names=list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(out["anchor"], pa.int64()), pa.array(out["d"], pa.int64()), pa.array(out["h"], pa.int64()), pa.array(out["pos"], pa.int64()), pa.array(out["bytes"], pa.binary())], names=list(out))
 
     return run
 
@@ -144,15 +157,15 @@ def repeated(groups: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
     return live[np.r_[False, groups[1:] == groups[:-1]]] if len(live) else live
 
 
-def _spans(row: np.ndarray, place: np.ndarray, d: np.ndarray, pos: np.ndarray, depth: int) -> pa.RecordBatch:
+def _spans(row: np.ndarray, place: np.ndarray, d: np.ndarray, h: np.ndarray, pos: np.ndarray, depth: int) -> pa.RecordBatch:
     """The repeated windows of a stretch overlap: one span from the first to the end of the last."""
     order = np.lexsort((place, row))
     row, place = row[order], place[order]
     first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
     last = np.r_[first[1:], len(row)] - 1 if len(row) else first
     own = row[first]
-    a = (pos[own] >> 16) & 0xFFFFFFFF
-    return pa.RecordBatch.from_arrays([pa.array(d[own]), pa.array((pos[own] >> 48) & 0xFFFF), pa.array(a + place[first]), pa.array(a + place[last] + depth)], names=["d", "salt", "s", "e"])
+    a = pos[own] >> 16
+    return pa.RecordBatch.from_arrays([pa.array(d[own]), pa.array(h[own]), pa.array(a + place[first]), pa.array(a + place[last] + depth)], names=["d", "h", "s", "e"])
 
 
 def _radix(depth: int, most: int):
@@ -164,12 +177,16 @@ def _radix(depth: int, most: int):
         cut = len(anchor) if end is None else int(np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])[-1])
         own = table.slice(0, cut).combine_chunks()
         rest = table.slice(cut).combine_chunks().to_batches()
-        d, pos = own.column("d").to_numpy(), own.column("pos").to_numpy()
+        # Rows equal in id and text bring the same stretches, next to each other.
+        again = _same(*(own.column(c).to_numpy() for c in ("anchor", "d", "h", "pos")))
+        if again.any():
+            own, anchor = own.filter(pa.array(~again)).combine_chunks(), anchor[:cut][~again]
+        d, h, pos = (own.column(c).to_numpy() for c in ("d", "h", "pos"))
         column = own.column("bytes").combine_chunks() if own.num_rows else pa.array([], pa.binary())
         row, place, before, digits = _windows(column, pos, depth)
-        first = np.cumsum(np.r_[0, np.diff(anchor[:cut]) != 0]) if cut else np.empty(0, np.int64)
+        first = np.cumsum(np.r_[0, np.diff(anchor[: own.num_rows]) != 0]) if cut else np.empty(0, np.int64)
         found = repeated(first[row] * 256 + before, digits)
-        return _spans(row[found], place[found], d, pos, depth), rest
+        return _spans(row[found], place[found], d, h, pos, depth), rest
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -192,12 +209,12 @@ def _hot(depth: int):
         for whole in stream:
             for at in range(0, whole.num_rows, GROUP_ROWS):
                 batch = whole.slice(at, GROUP_ROWS)
-                pos, d = batch.column("pos").to_numpy(), batch.column("d").to_numpy()
+                d, h, pos = (batch.column(c).to_numpy() for c in ("d", "h", "pos"))
                 row, place, _, digits = _windows(batch.column("bytes"), pos, depth)
                 one, two = np.zeros(len(row), np.uint64), np.zeros(len(row), np.uint64)
                 for digit in digits:
                     one, two = tb.mix(one + digit), tb.mix(two * tb._PRIME + digit)
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(d[row]), pa.array((pos[row] >> 16) + place)], names=["one", "two", "d", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(d[row]), pa.array(h[row]), pa.array((pos[row] >> 16) + place)], names=["one", "two", "d", "h", "at"])
 
     return run
 
@@ -219,58 +236,57 @@ def _remove(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """Spans to remove: ``d``, ``salt`` (the row's key), ``s`` and ``e`` (bytes, end exclusive); they may overlap."""
+    """Spans to remove: ``d``, ``h`` (the row's key), ``s`` and ``e`` (bytes, end exclusive); they may overlap."""
     base = scratch_dir(spark, "radix")
-    rows = keyed(docs).select("d", "salt", "text")
+    rows = keyed(docs).select("d", "h", "text")
     found = rows.mapInArrow(_stretch(depth, gram), _STRETCH)
     same, any_ = Window.partitionBy("anchor", "whole"), Window.partitionBy("anchor")
     dealt = found.repartition("anchor")
     marked = (
-        dealt.withColumn("first", F.min(F.struct("d", "pos")).over(same))
-        .withColumn("again", (F.col("anchor").bitwiseAND(1) == 1) | (F.col("first.d") != F.col("d")) | (F.col("first.pos") != F.col("pos")))
+        dealt.withColumn("first", F.min(F.struct("d", "h", "pos")).over(same))
+        .withColumn("again", (F.col("anchor").bitwiseAND(1) == 1) | (F.col("first") != F.struct("d", "h", "pos")))
         .withColumn("low", F.min("whole").over(any_))
         .withColumn("high", F.max("whole").over(any_))
         .withColumn("many", F.sum(F.when(~F.col("again"), 1).otherwise(0)).over(any_))
         .filter("again or low != high")
-        .select("anchor", "d", "pos", "again", (F.col("many") > hot).alias("hot"))
+        .select("anchor", "d", "h", "pos", "again", (F.col("many") > hot).alias("hot"))
     )
     marked.write.parquet(f"{base}/marked")
-    marked = spark.read.schema("anchor bigint, d bigint, pos bigint, again boolean, hot boolean").parquet(f"{base}/marked")
-    salt, a = F.shiftrightunsigned("pos", 48), F.shiftright("pos", 16).bitwiseAND(0xFFFFFFFF)
-    whole = marked.filter("again").select("d", salt.alias("salt"), a.alias("s"), (a + F.col("pos").bitwiseAND(0xFF) + depth).alias("e"))
+    marked = spark.read.schema("anchor bigint, d bigint, h bigint, pos bigint, again boolean, hot boolean").parquet(f"{base}/marked")
+    a = F.shiftright("pos", 16)
+    whole = marked.filter("again").select("d", "h", a.alias("s"), (a + F.col("pos").bitwiseAND(0xFF) + depth).alias("e"))
 
     def fetched(of: DataFrame) -> DataFrame:
-        listed = of.groupBy("d", salt.alias("salt")).agg(F.collect_list(F.struct("anchor", "pos")).alias("listed"))
-        texts = prefilter.split(rows, "d", of.select("d"))[0].join(listed, ["d", "salt"]).select("d", "listed", "text")
-        return texts.mapInArrow(_fetch(depth), "anchor bigint, d bigint, pos bigint, bytes binary")
+        listed = of.groupBy("d", "h").agg(F.collect_list(F.struct("anchor", "pos")).alias("listed"))
+        texts = prefilter.split(rows, "d", of.select("d"))[0].join(listed, ["d", "h"]).select("d", "h", "listed", "text")
+        return texts.mapInArrow(_fetch(depth), "anchor bigint, d bigint, h bigint, pos bigint, bytes binary")
 
-    cold = fetched(marked.filter("not again and not hot")).repartition("anchor").sortWithinPartitions("anchor", "d", "pos")
-    out = whole.union(cold.mapInArrow(_radix(depth, GROUP_ROWS), "d bigint, salt bigint, s bigint, e bigint"))
+    cold = fetched(marked.filter("not again and not hot")).repartition("anchor").sortWithinPartitions("anchor", "d", "h", "pos")
+    out = whole.union(cold.mapInArrow(_radix(depth, GROUP_ROWS), "d bigint, h bigint, s bigint, e bigint"))
     of_hot = marked.filter("not again and hot")
     if not of_hot.head(1):
         return out
-    digits = "one bigint, two bigint, d bigint, at bigint"
+    digits = "one bigint, two bigint, d bigint, h bigint, at bigint"
     fetched(of_hot).mapInArrow(_hot(depth), digits).write.parquet(f"{base}/hot")
     windows = spark.read.schema(digits).parquet(f"{base}/hot")
-    firsts = windows.groupBy("one", "two").agg(F.min(F.struct("d", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = windows.join(firsts, ["one", "two"]).filter("first.d != d or first.at != at")
-    start = F.col("at").bitwiseAND(0xFFFFFFFF)
-    return out.union(later.select("d", F.shiftrightunsigned("at", 32).alias("salt"), start.alias("s"), (start + depth).alias("e")))
+    firsts = windows.groupBy("one", "two").agg(F.min(F.struct("d", "h", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = windows.join(firsts, ["one", "two"]).filter(F.col("first") != F.struct("d", "h", "at"))
+    return out.union(later.select("d", "h", F.col("at").alias("s"), (F.col("at") + depth).alias("e")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).bitwiseAND(0x7FFF).alias("salt"), text.alias("text"))
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
 def cleaned(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Per document ``kept`` (the remaining bytes) with ``n_bytes``, ``n_removed`` and ``n_spans``."""
     path = scratch_dir(spark, "spans")
     repeats(spark, docs, depth, gram, hot).write.parquet(path)
-    spans = spark.read.schema("d bigint, salt bigint, s bigint, e bigint").parquet(path)
+    spans = spark.read.schema("d bigint, h bigint, s bigint, e bigint").parquet(path)
     touched, others = prefilter.split(keyed(docs), "d", spans.select("d"))
-    listed = spans.groupBy("d", "salt").agg(F.collect_list(F.struct("s", "e")).alias("listed"))
-    out = touched.join(listed, ["d", "salt"], "left").select("doc_id", "text", "listed").mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    listed = spans.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("listed"))
+    out = touched.join(listed, ["d", "h"], "left").select("doc_id", "text", "listed").mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     zero = F.lit(0).cast("bigint")
     return out.union(others.select("doc_id", F.octet_length("text").cast("bigint"), zero, zero, F.col("text").cast("binary")))
 

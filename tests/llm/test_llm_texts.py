@@ -308,6 +308,21 @@ def test_repeats(spark, docs, rows, empty, nulls):
     assert [tuple(r)[1:4] for r in radix_dedup.digests(radix_dedup.cleaned(spark, nulls)).collect()] == [(0, 0, 0)] * 2
 
 
+def test_repeats_among_rows_that_share_an_id(spark):
+    """As if each distinct text had an id of its own, in the order of the keys; equal rows are one document."""
+    rng = np.random.default_rng(7)
+    prose = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passages = [prose(150) for _ in range(20)]
+    texts = [prose(int(rng.integers(0, 300))) + passages[k % 20] + prose(int(rng.integers(0, 300))) for k in range(1000)]
+    frame = spark.createDataFrame([(None, t) for t in [*texts, *texts[:50]]], "doc_id bigint, text string")
+    keys = {r.text: r.h for r in radix_dedup.keyed(frame).collect()}
+    want = brute.without_repeats({keys[t]: t for t in texts})
+    expected = sorted([want[keys[t]] for t in [*texts, *texts[:50]]])
+    for docs, hot in ((frame.coalesce(1), radix_dedup.HOT), (frame.repartition(3), 1)):
+        got = radix_dedup.digests(radix_dedup.cleaned(spark, docs, hot=hot)).collect()
+        assert sorted(tuple(r)[1:] for r in got) == expected
+
+
 def test_stretches_cover_every_window_once():
     rng = np.random.default_rng(6)
     data = rng.integers(0, 3, 3000).astype(np.uint8)
