@@ -1,8 +1,11 @@
 """Judges URLs by rules and, where none fits, by a tree of path templates per host.
 
-Below each host a path segment is kept literally if it holds at least 1/``children`` of its parent's pages, so a node
-has a bounded number of literal children; all other segments become wildcards by their shape (digits, digits with a
-suffix, anything). What lies below ``depth`` segments is one wildcard. Sibling templates whose labelled shares don't
+Below each host a path segment is kept literally if it holds at least 1/``children`` of its parent's pages, or
+``enough`` labelled ones, or if the share of good ones among its labelled pages differs significantly from that of its
+siblings (Chernoff's bound, divided by the number of labelled siblings); digits only by their labels, of more than one
+document. All other segments become wildcards by their shape (digits, digits with a suffix, anything). Below ``depth``
+segments a template goes on as long as its labelled pages are both good and bad; otherwise the rest is one wildcard.
+Sibling templates whose labelled shares don't
 differ significantly are merged. A template's purity is its share of good labelled pages, smoothed towards its host,
 which is smoothed towards all pages; templates below ``least`` are blocked.
 
@@ -29,6 +32,8 @@ DEPTH = 8
 SMOOTHING = 2.0
 LEAST = 0.5
 ALIKE_Z = 1.96
+ENOUGH = 32
+CHANCE = 0.05
 
 
 def parsed(url: Column) -> tuple[Column, Column]:
@@ -51,8 +56,16 @@ def shape(segment: Column) -> Column:
     return F.when(segment.rlike(r"^[0-9]+$"), "{n}").when(segment.rlike(r"^[0-9]+\."), "{n}.*").otherwise("*")
 
 
-def templates(spark: SparkSession, rows: DataFrame, children: int = CHILDREN, depth: int = DEPTH) -> DataFrame:
-    """``rows`` (with ``host`` and ``path``) and their ``template`` and its ``parent``."""
+def differs(chance: float = CHANCE) -> Column:
+    """Whether ``_l`` labels, ``_g`` of them good, differ from the others of ``_la`` and ``_ga``, one of ``_m`` siblings."""
+    good, bad = F.col("_g"), F.col("_l") - F.col("_g")
+    rest = (F.col("_ga") - good + 1) / (F.col("_la") - F.col("_l") + 2)
+    part = lambda n, share: F.when(n > 0, n * F.log(n / (F.col("_l") * share))).otherwise(0.0)
+    return (F.col("_l") > 0) & (F.col("_la") > F.col("_l")) & (part(good, rest) + part(bad, 1 - rest) >= F.log(2 * F.col("_m") / chance))
+
+
+def templates(spark: SparkSession, rows: DataFrame, children: int = CHILDREN, depth: int = DEPTH, enough: int = ENOUGH) -> DataFrame:
+    """``rows`` (with ``host``, ``path``, ``doc_id`` and ``good``) and their ``template`` and its ``parent``."""
     base = scratch_dir(spark, "templates")
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -61,23 +74,32 @@ def templates(spark: SparkSession, rows: DataFrame, children: int = CHILDREN, de
 
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     at = kept(rows.withColumn("_segments", segments).withColumn("template", F.col("host")).withColumn("parent", F.lit("")), "0")
-    levels = min(depth, at.agg(F.max(F.size("_segments"))).first()[0] or 0)
-    for k in range(levels):
+    labelled = lambda f: f(F.when(F.col("good").isNotNull(), F.col("doc_id")))
+    k = 0
+    while (at.agg(F.max(F.size("_segments"))).first()[0] or 0) > k:
         at = at.withColumn("_s", F.get("_segments", F.lit(k)))
-        counts = at.filter("_s is not null").groupBy("template", "_s").agg(F.count("*").alias("_n"))
-        wholes = counts.groupBy("template").agg(F.sum("_n").alias("_all"))
-        literal = counts.join(wholes, "template").filter(F.col("_n") * children >= F.col("_all")).filter(~F.col("_s").rlike(r"^[0-9]+(\.|$)")).select("template", "_s", F.col("_s").alias("_literal"))
+        if k >= depth:
+            # Only templates with good and bad pages go on.
+            mixed = at.filter("_s is not null").groupBy("template").agg(F.min("good").alias("_low"), F.max("good").alias("_high")).filter("_low < _high").select("template", F.lit(True).alias("_open"))
+            at = at.join(mixed, "template", "left")
+            closed = F.col("_s").isNotNull() & F.col("_open").isNull()
+            at = at.select(*rows.columns, F.when(closed, F.slice("_segments", 1, k)).otherwise(F.col("_segments")).alias("_segments"), F.when(closed, F.concat("template", F.lit("/**"))).otherwise(F.col("template")).alias("template"), "parent", F.when(~closed, F.col("_s")).alias("_s"))
+        counts = at.filter("_s is not null").groupBy("template", "_s").agg(F.count("*").alias("_n"), F.coalesce(F.sum("good"), F.lit(0)).alias("_g"), F.count("good").alias("_l"), (labelled(F.min) < labelled(F.max)).alias("_several"))
+        wholes = counts.groupBy("template").agg(F.sum("_n").alias("_all"), F.sum("_g").alias("_ga"), F.sum("_l").alias("_la"), F.sum(F.signum("_l")).alias("_m"))
+        many = (F.col("_n") * children >= F.col("_all")) & ~F.col("_s").rlike(r"^[0-9]+(\.|$)")
+        told = F.coalesce("_several", F.lit(False)) & ((F.col("_l") >= enough) | differs())
+        literal = counts.join(wholes, "template").filter(many | told).select("template", "_s", F.col("_s").alias("_literal"))
         step = at.join(literal, ["template", "_s"], "left")
         token = F.coalesce("_literal", shape(F.col("_s")))
         longer = F.col("_s").isNotNull()
         at = step.select(*rows.columns, "_segments", F.when(longer, F.concat_ws("/", "template", token)).otherwise(F.col("template")).alias("template"), F.when(longer, F.col("template")).otherwise(F.col("parent")).alias("parent"))
-        at = kept(at, str(k + 1))
-    rest = F.when(F.size("_segments") > levels, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return at.withColumn("template", rest).drop("_segments")
+        k += 1
+        at = kept(at, str(k))
+    return at.drop("_segments")
 
 
 def _merge(parent: pd.DataFrame) -> pd.DataFrame:
-    """Numbers the groups of siblings whose labelled shares are alike; the number of siblings is bounded."""
+    """Numbers the groups of siblings whose labelled shares are alike; the labels bound the number of siblings."""
     own = parent.assign(rate=(parent.good + 1) / (parent.labelled + 2)).sort_values(["rate", "template"])
     group, good, labelled, numbers = -1, 0.0, 0.0, []
     for row in own.itertuples():
@@ -112,8 +134,7 @@ def judged(spark: SparkSession, pages: DataFrame, labels: DataFrame, rules: list
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("good"))
     number = F.regexp_extract("path", r"([0-9]{1,18})(?:\.[A-Za-z]+)?/?$", 1)
-    tagged = templates(spark, rows.withColumn("doc_id", F.when(number != "", number).cast("bigint")))
-    tagged = tagged.join(known, "doc_id", "left")
+    tagged = templates(spark, rows.withColumn("doc_id", F.when(number != "", number).cast("bigint")).join(known, "doc_id", "left"))
     found = tagged.join(purities(tagged), ["host", "parent", "template"])
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     return found.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("purity") < least, "block").otherwise("allow")).alias("verdict"), "template", "purity")

@@ -57,6 +57,19 @@ def test_urls(spark):
     assert url_templates.judged(spark, pages.limit(0), labels).count() == 0
 
 
+def test_small_and_deep_bad_sections_are_told_apart(spark):
+    table(spark, SMALL, "region")
+    deep = "/".join(f"s{i}" for i in range(9))
+    sections = [f"wide.org/sec{i}" for i in range(20)] + [f"deep.org/{deep}/a", f"deep.org/{deep}/b"] + [f"year.org/{y}" for y in range(2000, 2020)]
+    bad = {"wide.org/sec3", f"deep.org/{deep}/b", "year.org/2007"}
+    of = {1000 * k + i: s for k, s in enumerate(sections) for i in range(20)}
+    pages = spark.createDataFrame([(n, f"http://{s}/{n}") for n, s in of.items()], "page_id bigint, url string")
+    labels = spark.createDataFrame([(n, int(s not in bad)) for n, s in of.items() if n % 2], "doc_id bigint, quality int")
+    got = url_templates.judged(spark, pages, labels).collect()
+    assert len(got) == len(of)
+    assert {r.page_id for r in got if r.verdict == "block"} == {n for n, s in of.items() if s in bad}
+
+
 def naive_segments(scores):
     """Ruzzo and Tompa's definition: the best segment, then the same on either side of it."""
     best = max(((sum(scores[a:b]), -(b - a), -a, a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0, 0, 0))
