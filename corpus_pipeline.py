@@ -24,12 +24,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id; documents without an id stay."""
-    path = scratch_dir(spark, "copies")
-    partenum.groups(spark, docs).filter("doc_id != component_id").select("doc_id").distinct().write.parquet(path)
-    copies = spark.read.schema("doc_id bigint").parquet(path)
-    maybe, others = prefilter.split(docs.select(*COLUMNS), "doc_id", copies)
-    return others.union(maybe.join(copies, "doc_id", "left_anti").select(*COLUMNS))
+    """Of each group of similar rows the one with the smallest id (null last), whether or not rows share an id.
+
+    Rows get numbers of their own, written once. Rows without words are like none and stay.
+    """
+    base = scratch_dir(spark, "copies")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    rows = kept(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
+    found = partenum.groups(spark, rows.select(F.col("_row").alias("doc_id"), "text"))
+    linked = kept(found.filter("doc_id != component_id").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "linked")
+    roots = linked.select("_group").distinct().select(F.col("_group").alias("_row"), "_group")
+    members = kept(linked.union(roots).join(rows.select("_row", "doc_id"), "_row").select("_row", "_group", "doc_id"), "members")
+    least = members.groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("least"))
+    copies = kept(members.select("_row").join(least.select(F.col("least._row").alias("_row")), "_row", "left_anti"), "drop")
+    maybe, others = prefilter.split(rows, "_row", copies)
+    return others.select(*COLUMNS).union(maybe.join(copies, "_row", "left_anti").select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

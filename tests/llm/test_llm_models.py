@@ -194,3 +194,13 @@ def test_pipeline_on_awkward_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, SMALL).cache()
             assert frame.count() >= least
+
+
+def test_near_copies_among_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(8)
+    one, two, three, four = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(7, one), (7, one), (None, one), (None, two), (None, two + " more"), (9, three), (3, three), (9, four), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(3), SMALL).collect()]
+    assert len(got) == 6 and {(7, one), (3, three), (9, four), (None, None), (None, "")} < set(got)
+    assert sum(t in (two, two + " more") for _, t in got) == 1
