@@ -7,13 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicledger.llm import credential_links, fmindex, grammar, oracles, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
+from civicledger.llm import centroids, conversation_trie, credential_links, fmindex, grammar, mixing, oracles, packing, partenum, radix_dedup, sharding, toxicity, url_templates, weighted_fingerprint
 from civicledger.session import scratch_dir
 
 ARROW_ROWS = 1000
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_partenum_groups": oracles.OP3, "op7_fm_index": oracles.OP7, "op10_radix_dedup": oracles.OP10}
+ORACLES: dict[str, str] = {"op3_partenum_groups": oracles.OP3, "op7_fm_index": oracles.OP7, "op10_radix_dedup": oracles.OP10, "op12_prefix_trie": oracles.OP12, "op13_sharded_lloyd": oracles.OP13}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -85,3 +85,18 @@ def op8_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.judged(spark, table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@query
+def op11_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.digests(spark, table(spark, folder, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.digests(spark, table(spark, folder, "conversations"))
+
+
+@query
+def op13_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.digests(spark, table(spark, folder, "embeddings"))
