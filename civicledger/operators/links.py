@@ -13,7 +13,8 @@ from civicledger.functions.links import (
     link_extension,
     score_text,
 )
-from civicledger.functions.text import decode_entities, from_index, html_text, strip_ws, without_hidden_markup
+from civicledger.functions.json_text import is_json, json_scalars, json_string
+from civicledger.functions.text import decode_entities, from_index, html_text, let, strip_ws, without_hidden_markup
 from civicledger.functions.urls import path_has_suffix, resolve_url
 from civicledger.operators.columns import add_once
 
@@ -80,40 +81,14 @@ def _script_body(script: Column) -> Column:
     return F.regexp_extract(script, _SCRIPT_BODY, 1)
 
 
-# The variant parser's limits: bytes of a body, and nesting well below what it allows.
-_VARIANT_BYTES = 16 << 20
-_VARIANT_DEPTH = 500
-
-
 def _json_body(html: Column) -> Column:
     return _script_body(F.get(F.filter(_scripts(html), lambda s: s.rlike(_DATA_SCRIPT)), F.lit(0)))
 
 
-def _body_status(body: Column) -> Column:
-    trimmed = strip_ws(body)
-    parsed = (
-        F.try_parse_json(body).isNotNull()
-        | F.from_json(body, "map<string,string>", {"mode": "PERMISSIVE"}).isNotNull()
-        | F.from_json(body, "array<string>", {"mode": "PERMISSIVE"}).isNotNull()
-    )
-    shaped = trimmed.rlike(r"(?s)^(?:\{.*\}|\[.*\])\z")
-    opened = F.length(F.regexp_replace(body, r"[^\[{]", ""))
-    too_large = (F.octet_length(body) >= _VARIANT_BYTES) | (opened > _VARIANT_DEPTH)
-    return (
-        F.when(F.coalesce(body == "", F.lit(True)), "none")
-        .when(F.coalesce(parsed & shaped, F.lit(False)), "json")
-        .when(too_large & shaped, "unjudged")
-        .otherwise("not_json")
-    )
-
-
 def json_status(html: Column) -> Column:
-    """What a page's embedded JSON is: ``none``, ``json`` (keys may repeat), ``not_json``, or ``unjudged``.
-
-    A body that is shaped like JSON but larger or nested deeper than the parser allows can't be judged; its
-    addresses are taken all the same.
-    """
-    return F.when(html.contains("__NEXT_DATA__"), _body_status(_json_body(html))).otherwise("none")
+    """What a page's embedded JSON is: ``none``, ``json`` (keys may repeat) or ``not_json``, whatever its size and depth."""
+    judged = let(_json_body(html), lambda body: F.when(F.coalesce(body == "", F.lit(True)), "none").when(is_json(body), "json").otherwise("not_json"))
+    return F.when(html.contains("__NEXT_DATA__"), judged).otherwise("none")
 
 
 def json_urls(html: Column, base: Column) -> Column:
@@ -121,14 +96,27 @@ def json_urls(html: Column, base: Column) -> Column:
 
     Object keys do not count and a body that is not JSON has no addresses; see :func:`json_status`.
     """
-    body = _json_body(html)
-    literals = F.regexp_extract_all(body, F.lit(_JSON_STRING), F.lit(0))
-    values = F.filter(literals, lambda s: ~s.endswith(":") & s.rlike(_MAY_NAME_WORKBOOK))
-    decoded = F.transform(values, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string"))
-    wanted = F.filter(decoded, lambda u: F.lower(u).rlike(r"\.xlsx?\z") | path_has_suffix(u))
-    resolved = F.transform(wanted, lambda u: resolve_url(base, u))
+
+    def found(body: Column) -> Column:
+        literals = F.regexp_extract_all(body, F.lit(_JSON_STRING), F.lit(0))
+        values = F.filter(literals, lambda s: ~s.endswith(":") & s.rlike(_MAY_NAME_WORKBOOK))
+        decoded = F.transform(values, lambda s: json_string(F.regexp_replace(s, r"\s+\z", "")))
+        wanted = F.filter(decoded, lambda u: F.lower(u).rlike(r"\.xlsx?\z") | path_has_suffix(u))
+        return F.when(is_json(body), F.transform(wanted, lambda u: resolve_url(base, u))).otherwise(_no_urls())
+
     worthwhile = html.contains("__NEXT_DATA__") & html.rlike(_MAY_NAME_WORKBOOK)
-    return F.when(worthwhile & _body_status(body).isin("json", "unjudged"), resolved).otherwise(_no_urls())
+    return F.when(worthwhile, let(F.coalesce(_json_body(html), F.lit("")), found)).otherwise(_no_urls())
+
+
+def json_values(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Every scalar of each page's embedded JSON: ``pos`` (order in the text), ``path`` and ``value``.
+
+    Pages without embedded JSON, or with a body that is not JSON, have none.
+    """
+    rest = [c for c in pages.columns if c != html]
+    body = _json_body(F.col(html))
+    values = F.when(F.col(html).contains("__NEXT_DATA__"), let(body, json_scalars))
+    return pages.select(*rest, F.posexplode(values).alias("pos", "v")).select(*rest, "pos", "v.path", "v.value")
 
 
 def stream_urls(html: Column, base: Column) -> Column:

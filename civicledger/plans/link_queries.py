@@ -237,10 +237,41 @@ def json_walk_urls(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", F.explode(urls).alias("url"))
 
 
-@query("json_status", "SELECT event_id AS page_id, CASE event_type WHEN 'click' THEN 'json' ELSE 'none' END AS status FROM events")
+_JSON_KINDS = "[" + ", ".join(f"'{status}'" for status, _ in S.JSON_BODIES) + "]"
+
+
+@query(
+    "json_status",
+    f"""SELECT event_id AS page_id, CASE event_type WHEN 'click' THEN 'json' ELSE 'none' END AS status FROM events
+UNION ALL SELECT -1 - event_id, {_JSON_KINDS}[event_id % {len(S.JSON_BODIES)} + 1] FROM events""",
+)
 def json_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Bodies with repeated keys count as JSON."""
-    return S.event_pages(spark, folder).select("page_id", L.json_status(F.col("html")).alias("status"))
+    """Bodies count as JSON by their grammar: keys may repeat, depth and size don't matter, errors anywhere do."""
+    pages = S.event_pages(spark, folder).select("page_id", "html")
+    forms = S.json_pages(spark, folder).select((-1 - F.col("page_id")).alias("page_id"), "html")
+    return pages.union(forms).select("page_id", L.json_status(F.col("html")).alias("status"))
+
+
+@query(
+    "json_values",
+    f"""WITH forms(kind, pos, form_path, form_value) AS (VALUES
+  (0, 0, '$["a"]', '1'), (0, 1, '$["a"]', 'two'), (0, 2, '$["list"][0]', 'true'), (0, 3, '$["list"][1]', 'null'), (0, 4, '$["list"][2]["n"]', '-1.5e3'),
+  (1, 0, NULL, NULL), (4, 0, '$[0]', 'x y'), (4, 1, '$[1]', 'A/b'))
+SELECT -1 - event_id AS page_id, pos, coalesce(form_path, '$' || repeat('[0]', CASE WHEN event_id % {S.JSON_FEW} < {len(S.JSON_BODIES)} THEN {S.JSON_FAR} ELSE {S.JSON_DEPTH} END)) AS path,
+  coalesce(form_value, '/d' || event_id || '.xls') AS value FROM events JOIN forms ON kind = event_id % {len(S.JSON_BODIES)}
+UNION ALL
+SELECT event_id, unnest(range(5 + n))::INTEGER, unnest(list_concat(['$["props"]["items"][0]["file"]', '$["props"]["items"][0]["note"]'], list_concat(
+    CASE n WHEN 1 THEN ['$["props"]["items"][0]["note"]'] ELSE [] END, ['$["props"]["items"][1]["deep"]["k"][0]', '$["props"]["items"][1]["deep"]["k"][1]["alt"]',
+    '$["props"]["key' || event_id || '.xlsx"]']))),
+  unnest(list_concat(['/api/f' || event_id || '.xls', 'plain'], list_concat(CASE n WHEN 1 THEN ['a repeated key'] ELSE [] END,
+    ['1', 'https://files.example.org/a' || event_id || '.XLSX', 'only a key'])))
+FROM (SELECT event_id, 1 - event_id % 2 AS n FROM events WHERE event_type = 'click')""",
+)
+def json_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths and values of embedded JSON, among them lists in lists hundreds deep and keys that repeat."""
+    pages = S.event_pages(spark, folder).select("page_id", "html")
+    forms = S.json_pages(spark, folder).select((-1 - F.col("page_id")).alias("page_id"), "html")
+    return L.json_values(pages.union(forms))
 
 
 @query(

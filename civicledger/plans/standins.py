@@ -179,6 +179,34 @@ def event_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select(F.col("event_id").alias("page_id"), "url", "html")
 
 
+# Bodies of embedded JSON by the remainder of the event's number: what grammar accepts and what it doesn't.
+JSON_BODIES = [
+    ("json", '{"a": 1, "a": "two", "list": [true, null, {"n": -1.5e3}]}'),
+    ("json", "DEEP"),
+    ("not_json", "HALF"),
+    ("not_json", '{"a": [1, 2,]}'),
+    ("json", ' ["x y", "\\u0041\\/b", [], {}] '),
+    ("not_json", '{"a": 01}'),
+    ("none", ""),
+    ("not_json", '{"file": "/a.xlsx"} {"more": 1}'),
+]
+# Lists in lists: usually so deep, and far deeper for a few events.
+JSON_DEPTH, JSON_FAR, JSON_FEW = 12, 2000, 8000
+
+
+def json_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages whose embedded JSON is well formed or not, in one way or another: (page_id, url, html)."""
+    e = table(spark, folder, "events")
+    number = F.col("event_id").cast("string")
+    depth = F.when(F.col("event_id") % JSON_FEW < len(JSON_BODIES), JSON_FAR).otherwise(JSON_DEPTH)
+    deep = F.concat(F.repeat(F.lit("["), depth), F.lit('"/d'), number, F.lit('.xls"'), F.repeat(F.lit("]"), depth))
+    half = F.concat(F.repeat(F.lit("["), depth), F.lit('"/h'), number, F.lit('.xls"'), F.repeat(F.lit("]"), depth - 1))
+    kinds = {"DEEP": deep, "HALF": half}
+    body = F.get(F.array(*[kinds.get(text, F.lit(text)) for _, text in JSON_BODIES]), (F.col("event_id") % len(JSON_BODIES)).cast("int"))
+    html = F.concat(F.lit('<main>list</main><script id="__NEXT_DATA__">'), body, F.lit("</script>"))
+    return e.select(F.col("event_id").alias("page_id"), F.lit(PORTAL).alias("url"), html.alias("html"))
+
+
 def rendered_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshots of the same pages after rendering."""
     e = table(spark, folder, "events")

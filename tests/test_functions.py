@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from decimal import Decimal
 from urllib.parse import urljoin
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicledger.functions.files import ZIP_END_OF_DIRECTORY, matches_allowed, parquet_status, workbook_status
+from civicledger.functions.json_text import is_json, json_scalars
 from civicledger.functions.links import detect_quarter, detect_year, link_extension, score_text, slug_name
 from civicledger.functions.money import clean_amount, clean_rate, is_quarantined
 from civicledger.functions.text import decode_entities, html_text
@@ -184,3 +186,34 @@ def test_requested_sources():
     assert requested_sources(" GAA,tax", valid) == ["gaa", "tax"]
     with pytest.raises(ValueError, match="nope"):
         requested_sources("gaa,nope", valid)
+
+
+class _Pairs(list):
+    """The members of an object, repeated keys included."""
+
+
+def _scalars(value, path="$"):
+    if isinstance(value, _Pairs):
+        for key, member in value:
+            yield from _scalars(member, f"{path}[{json.dumps(key, ensure_ascii=False)}]")
+    elif isinstance(value, list):
+        for i, item in enumerate(value):
+            yield from _scalars(item, f"{path}[{i}]")
+    else:
+        yield path, value
+
+
+def test_json_by_structure(spark):
+    many = json.dumps([{"i": i, "l": [i, [str(i)]]} for i in range(1500)])
+    good = ["{}", "[]", ' {"a":1}\n', '"x.xlsx"', "12", "-0.5e+3", '[1,2,[3,{"a":[],"b":{}}]]', '{"a":1,"a":"two"}', '{"k\\"1":"v\\u0041\\n","t":true,"n":null}']
+    good += ["[NaN,-Infinity]", '[" ,:{}[]\\\\"]', '["é☃", {"ü": ["x"]}]', many, json.dumps("y" * 300_000), "[" * 2000 + '"deep"' + "]" * 2000]
+    bad = ["", "  ", "{", "}", "{]", "[1,]", '{"a"}', '{"a":}', '{"a":1,}', "{1:2}", "[01]", "[1 2]", "[.5]", "[1.]", '["a" "b"]', "tru", "truefalse", "[tru e]", "{'a':1}", '["a\nb"]']
+    bad += ['["\\x"]', '["\\u12"]', '{"a":1}}', '{"a":1}{}', "[" * 2000 + "]" * 1999, "[\x01]", "\x01", '{"a":\x02}', "[1e]", "- 1", '["a]', '{"a":1 "b":2}', many[:-1], "[+1]", '{"a"::1}', "{:1}", "[,]", "[1,,2]"]
+    rows = spark.createDataFrame(list(enumerate(good + bad)), "i int, t string").repartition(4)
+    got = {r.i: (r.ok, r.found) for r in rows.select("i", is_json(F.col("t")).alias("ok"), json_scalars(F.col("t")).alias("found")).collect()}
+    for i, text in enumerate(good):
+        want = [("$" + "[0]" * 2000, "deep")] if i == len(good) - 1 else list(_scalars(json.loads(text, object_pairs_hook=_Pairs)))
+        assert got[i][0] and [r.path for r in got[i][1]] == [p for p, _ in want]
+        assert all(r.value == v for r, (_, v) in zip(got[i][1], want) if isinstance(v, str))
+    assert all(got[i] == (False, None) for i in range(len(good), len(good) + len(bad)))
+    assert spark.range(1).select(json_scalars(F.lit(None).cast("string")).alias("x")).first().x is None
