@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicledger.functions.money import SCALED, WHOLE, cell_is_blank, clean_amount, clean_rate
+from civicledger.functions.table_head import column_paths, header_rows
 from civicledger.functions.text import NBSP, decode_entities, first_match, from_index, strip_ws
-from civicledger.operators.columns import add_once
+from civicledger.operators.columns import add_once, scanned
 from civicledger.operators.periods import ytd_to_flow
 
 # Markers that stand for structure while a page is taken apart, and the tags that become them.
@@ -31,6 +32,11 @@ MEASURES = ["allotment", "obligations", "unobligated"]
 CLASSES = ["ps", "mooe", "co", "total"]
 N_AMOUNTS = 12
 
+# Header texts over the columns of a statement, one to a line.
+HEAD_LABEL, HEAD_CLASS = "PARTICULARS", "MOOE"
+HEAD_MEASURES = [r"(?im)^ALLOTMENTS?\b", r"(?im)^OBLIGATIONS?\b(?!\s+RATE)", r"(?im)^UNOBLIGATED\b"]
+HEAD_APPROPRIATION, HEAD_RATE = r"(?i)\bAPPRO", r"(?im)^OBLIGATION\s+RATE"
+
 # Headings that open a section, and the code of that section.
 SECTION_HEADS = [
     (r"(?i)^SUB-?TOTAL", "subtotal"),
@@ -89,32 +95,55 @@ def _is_line(cells: Column) -> Column:
     return (F.size(cells) > 1) & (label != "") & (others | ~label.rlike(_NOTE_START))
 
 
-def _below_header(rows: Column) -> Column:
-    """The rows after the one that names the expense classes."""
-    headers = F.filter(rows, lambda r: F.exists(r["cells"], lambda c: strip_ws(c) == "MOOE"))
-    last = F.coalesce(F.get(headers, F.lit(0))["row_no"], F.lit(-1))
-    return F.filter(rows, lambda r: r["row_no"] > last)
+def _header_row(rows: Column) -> Column:
+    """The number of the row that names the expense classes, -1 without one."""
+    headers = F.filter(rows, lambda r: F.exists(r["cells"], lambda c: strip_ws(c) == HEAD_CLASS))
+    return F.coalesce(F.get(headers, F.lit(0))["row_no"], F.lit(-1))
 
 
 def _with_parents(lines: Column) -> Column:
     """Lines with ``parent_row``, the nearest earlier line that is indented less, and ``level``, its depth.
 
-    One pass with the chain of open ancestors; nothing leaves the row and no depth is too large.
+    One pass with the chain of open ancestors; nothing leaves the row and no depth is too large. Lines bring their
+    canonical indent as ``depth``.
     """
-    indent = lambda r: _canonical_indent(r["cells"])
-    ancestor = "array<struct<row_no:int,indent:int>>"
-    start = F.struct(F.array().cast(ancestor).alias("open"), F.array().cast("array<struct<parent_row:int,level:int>>").alias("found"))
+    start = F.array().cast("array<struct<row_no:int,depth:int>>")
 
-    def step(state: Column, r: Column) -> Column:
-        above = F.filter(state["open"], lambda a: a["indent"] < indent(r))
+    def step(open_: Column, r: Column) -> tuple[Column, Column]:
+        above = F.filter(open_, lambda a: a["depth"] < r["depth"])
         own = F.struct(F.try_element_at(above, F.lit(-1))["row_no"].alias("parent_row"), F.size(above).alias("level"))
-        opened = F.array_append(above, F.struct(r["row_no"].alias("row_no"), indent(r).alias("indent")))
-        return F.struct(opened.alias("open"), F.array_append(state["found"], own).alias("found"))
+        return F.array_append(above, F.struct(r["row_no"].alias("row_no"), r["depth"].alias("depth"))), own
 
-    found = F.aggregate(lines, start, step)["found"]
+    found = scanned(lines, start, step, "struct<parent_row:int,level:int>")
     return F.zip_with(lines, found, lambda r, f: F.struct(r["row_no"].alias("row_no"), r["cells"].alias("cells"), f["parent_row"].alias("parent_row"), f["level"].alias("level")))
 
 
+def header_places(statements: DataFrame) -> DataFrame:
+    """Adds ``places``: where a statement's columns stand, by the texts over them in the grid of its header.
+
+    ``amounts`` has the column of each measure and class (in their usual order, whatever that of the page), ``appropriation``
+    and ``rate`` theirs or null, ``width`` the number of columns. A header that spans no proper grid (no label over the
+    first column, or not every measure and class named) gives null.
+    """
+    found = add_once(statements, _paths=column_paths(header_rows(F.col("html"), HEAD_LABEL, HEAD_CLASS)))
+    classes = F.array(*[F.lit(k) for k in CLASSES])
+
+    def role(path: Column) -> Column:
+        """What stands under a path: the number of a measure and class, or the name of another column."""
+        texts = F.array_join(path, "\n")
+        klass = F.array_position(classes, F.lower(F.element_at(path, -1)))
+        measure = first_match([(texts.rlike(pattern), i * len(CLASSES) - 1) for i, pattern in enumerate(HEAD_MEASURES)])
+        others = first_match([(texts.contains(HEAD_LABEL), "label"), (texts.rlike(HEAD_RATE), "rate"), (texts.rlike(HEAD_APPROPRIATION), "appropriation")])
+        return F.when(klass > 0, (measure + klass).cast("string")).otherwise(others)
+
+    roles = add_once(found, _roles=F.transform("_paths", lambda path: F.when(F.size(path) > 0, role(path)))).drop("_paths")
+    at = lambda name: F.nullif(F.array_position("_roles", name), F.lit(0).cast("bigint")).cast("int") - 1
+    amounts = F.transform(F.sequence(F.lit(0), F.lit(N_AMOUNTS - 1)), lambda i: at(i.cast("string")))
+    places = F.struct(amounts.alias("amounts"), at(F.lit("appropriation")).alias("appropriation"), at(F.lit("rate")).alias("rate"), F.size("_roles").alias("width"))
+    proper = (F.get("_roles", F.lit(0)) == "label") & ~F.exists("_places.amounts", lambda c: c.isNull())
+    return add_once(roles, _places=places).withColumn("places", F.when(proper, F.col("_places"))).drop("_places", "_roles")
+
+
 def table_rows(statements: DataFrame) -> DataFrame:
     """Every table row as (…, row_no, cells)."""
     rest = [c for c in statements.columns if c != "html"]
@@ -143,12 +172,17 @@ def statement_lines(statements: DataFrame) -> DataFrame:
     ``level`` (the number of ancestors, so that levels mean the same in every file), ``section``, ``raw`` (the
     twelve amount cells as printed), ``raw_appropriation``, ``raw_rate`` and ``irregular`` (more cells than the
     layout has, so columns have shifted).
+
+    Columns are found by the texts over them (:func:`header_places`); under a header that is no proper grid they are
+    taken in the usual order: label, appropriation if named, amounts, rate if named.
     """
     carried = [c for c in statements.columns if c != "html"]
     numbered = F.transform(_rows(F.col("html")), lambda cells, i: F.struct(i.alias("row_no"), cells.alias("cells")))
-    numbered_rows = add_once(title_facts(statements), rows=numbered).drop("html")
-    lines = F.filter(_below_header(F.col("rows")), lambda r: _is_line(r["cells"]))
-    parsed = add_once(numbered_rows, lines=_with_parents(lines))
+    numbered_rows = add_once(header_places(title_facts(statements)), rows=numbered).drop("html")
+    headed = add_once(numbered_rows, last=_header_row(F.col("rows")))
+    below = F.filter("rows", lambda r: (r["row_no"] > F.col("last")) & _is_line(r["cells"]))
+    lines = F.transform(below, lambda r: F.struct(r["row_no"].alias("row_no"), r["cells"].alias("cells"), _canonical_indent(r["cells"]).alias("depth")))
+    parsed = add_once(add_once(headed, lines=lines).drop("rows", "last"), lines=_with_parents(F.col("lines")))
     label = strip_ws(F.get(F.col("cells"), F.lit(0)))
     head_of = first_match([(label.rlike(pattern), code) for pattern, code in SECTION_HEADS])
 
@@ -161,17 +195,24 @@ def statement_lines(statements: DataFrame) -> DataFrame:
 
     headings = F.filter("lines", lambda r: strip_ws(F.get(r["cells"], F.lit(0))).rlike(any_head))
     heads = F.transform(headings, head_struct)
-    facts = ["as_of", "unit", "has_appropriation", "has_rate"]
+    facts = ["as_of", "unit", "has_appropriation", "has_rate", "places"]
     exploded = (
-        parsed.withColumn("heads", heads)
+        add_once(parsed, heads=heads)
         .select(*carried, *facts, "heads", F.explode("lines").alias("line"))
         .select(*carried, *facts, "heads", "line.*")
     )
     offset = F.when(F.col("has_appropriation"), 1).otherwise(0)
-    width = F.lit(1 + N_AMOUNTS) + offset + F.col("has_rate").cast("int")
+    gridded = F.col("places").isNotNull()
+    usual = F.transform(F.sequence(F.lit(0), F.lit(N_AMOUNTS - 1)), lambda i: i + 1 + offset)
+    place = F.struct(
+        F.when(gridded, F.col("places.amounts")).otherwise(usual).alias("amounts"),
+        F.when(gridded, F.col("places.appropriation")).when(F.col("has_appropriation"), 1).alias("appropriation"),
+        F.when(gridded, F.col("places.rate")).when(F.col("has_rate"), offset + 1 + N_AMOUNTS).alias("rate"),
+        F.when(gridded, F.col("places.width")).otherwise(F.lit(1 + N_AMOUNTS) + offset + F.col("has_rate").cast("int")).alias("width"),
+    )
     opened = F.filter("heads", lambda h: h["row_no"] <= F.col("row_no"))
     section = F.when(F.size(opened) > 0, F.element_at(opened, -1)["section"]).otherwise(FIRST_SECTION)
-    return exploded.select(
+    return add_once(exploded, place=place).select(
         *carried,
         "as_of",
         "unit",
@@ -182,10 +223,10 @@ def statement_lines(statements: DataFrame) -> DataFrame:
         "level",
         section.alias("section"),
         head_of.isNotNull().alias("is_head"),
-        F.transform(F.sequence(F.lit(0), F.lit(N_AMOUNTS - 1)), lambda i: F.get("cells", i + 1 + offset)).alias("raw"),
-        F.when(F.col("has_appropriation"), F.get("cells", F.lit(1))).alias("raw_appropriation"),
-        F.when(F.col("has_rate"), F.get("cells", offset + 1 + N_AMOUNTS)).alias("raw_rate"),
-        (F.size("cells") > width).alias("irregular"),
+        F.transform("place.amounts", lambda at: F.get("cells", at)).alias("raw"),
+        F.get("cells", F.col("place.appropriation")).alias("raw_appropriation"),
+        F.get("cells", F.col("place.rate")).alias("raw_rate"),
+        (F.size("cells") > F.col("place.width")).alias("irregular"),
     )
 
 

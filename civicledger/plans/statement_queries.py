@@ -9,6 +9,7 @@ from civicledger.functions.money import MONEY, parse_amount
 from civicledger.functions.text import strip_ws
 from civicledger.operators import statements as T
 from civicledger.operators.columns import add_once
+from civicledger.plans.long_pages import LONG_SQL, ORDERS, long_pages, places_sql
 from civicledger.plans.quarter_pages import QUARTER_SQL, quarter_pages
 from civicledger.plans.registry import query
 from civicledger.plans.statement_pages import STATEMENT_SQL, statement_pages
@@ -238,3 +239,38 @@ def statement_trend(spark: SparkSession, folder: str) -> DataFrame:
     lines = T.with_amounts(T.statement_lines(quarter_pages(spark, folder)))
     flows = T.quarterly_flows(T.long_facts(T.trend_scope(lines)), ["agency"])
     return flows.select("agency", "measure", "expense_class", "year", "quarter", F.col("flow").cast(MONEY).alias("flow"))
+
+
+# ---------------------------------------------------------------- long pages, columns in any order
+
+
+@query(
+    "header_columns",
+    f"""WITH {LONG_SQL}, places(layout, measure, expense_class, place) AS (VALUES {places_sql()}),
+doc AS (SELECT DISTINCT file, year FROM printed)
+SELECT file, measure, nullif(expense_class, '') AS expense_class, CAST(place AS INTEGER) AS place FROM doc JOIN places ON layout = year % {len(ORDERS)}""",
+)
+def header_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each measure and class, the appropriation and the rate stand, by the grid of the header."""
+    places = T.header_places(long_pages(spark, folder).select("file", "html")).select("file", "places")
+    name = lambda values: F.array(*[F.lit(v) for v in values])
+    own = lambda m: F.struct(F.lit(m).alias("measure"), F.lit(None).cast("string").alias("expense_class"), F.col(f"places.{m}").alias("place"))
+    amounts = F.transform("places.amounts", lambda at, i: F.struct(F.get(name(T.MEASURES), F.floor(i / 4).cast("int")).alias("measure"), F.get(name(T.CLASSES), i % 4).alias("expense_class"), at.alias("place")))
+    return places.select("file", F.inline(F.concat(amounts, F.array(own("appropriation"), own("rate"))))).where("place IS NOT NULL")
+
+
+@query(
+    "long_statements",
+    f"""WITH {LONG_SQL}, a AS (SELECT *, ps + mooe + co AS total, ps * 9 // 10 AS ob_ps, mooe * 9 // 10 AS ob_mooe, co * 9 // 10 AS ob_co, year % {len(ORDERS)} AS layout FROM printed)
+SELECT file, row_no, label, level, parent_row, CAST(total AS DECIMAL(20, 0)) AS allotment, CAST(ob_mooe AS DECIMAL(20, 0)) AS spent_mooe,
+  CAST(total - ob_ps - ob_mooe - ob_co AS DECIMAL(20, 0)) AS unobligated, CAST(CASE WHEN layout IN (1, 3) THEN ps END AS DECIMAL(20, 0)) AS appropriation,
+  CAST(CASE WHEN layout > 0 THEN k % 100 + 0.5 END AS DECIMAL(9, 2)) AS published_rate FROM a""",
+)
+def long_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of hundreds of lines, with columns in any order."""
+    lines = T.with_amounts(T.statement_lines(long_pages(spark, folder).select("file", "html")))
+    amount = lambda i: F.get("amounts", F.lit(i)).cast("decimal(20,0)")
+    return lines.select(
+        "file", "row_no", "label", "level", "parent_row", amount(3).alias("allotment"), amount(5).alias("spent_mooe"), amount(11).alias("unobligated"),
+        F.col("appropriation").cast("decimal(20,0)").alias("appropriation"), F.col("published_rate").cast("decimal(9,2)").alias("published_rate"),
+    )
