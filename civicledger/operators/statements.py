@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from civicledger.functions.money import SCALED, WHOLE, cell_is_blank, clean_amount, clean_rate
 from civicledger.functions.table_head import column_paths, header_rows
-from civicledger.functions.text import NBSP, decode_entities, first_match, from_index, strip_ws
+from civicledger.functions.text import NBSP, decode_entities, first_match, from_index, let, strip_ws
 from civicledger.operators.columns import add_once, scanned
 from civicledger.operators.periods import ytd_to_flow
 
@@ -370,6 +370,104 @@ def repaired_amounts(lines: DataFrame) -> DataFrame:
     return add_once(lines, repaired=F.array_compact(F.array(*flags)), amounts=F.array(*filled))
 
 
+_TERM = "struct<sign:int,at:int>"
+
+
+def _equations(x: Column, parents: Column) -> Column:
+    """The equations that an amount of a page stands in, each as signed places that add up to zero.
+
+    Amounts are numbered through the page, twelve a line: classes add up to their total, allotment less obligations is
+    what is left, children add up to their parent; the latter once as a parent and once as a child.
+    """
+    term = lambda sign, at: F.struct(F.lit(sign).alias("sign"), at.cast("int").alias("at"))
+    line, cell = F.floor(x / N_AMOUNTS).cast("int"), x % N_AMOUNTS
+    first = x - cell
+    measure, klass = cell - cell % len(CLASSES), cell % len(CLASSES)
+    classes = F.array(*[term(-1 if k == len(CLASSES) - 1 else 1, first + measure + k) for k in range(len(CLASSES))])
+    balance = F.array(*[term(1 if m == 0 else -1, first + m * len(CLASSES) + klass) for m in range(len(MEASURES))])
+
+    def family(parent: Column) -> Column:
+        children = F.filter(F.transform(parents, lambda p, i: F.when(p == parent, i)), lambda i: i.isNotNull())
+        terms = F.concat(F.transform(children, lambda i: term(1, i * N_AMOUNTS + cell)), F.array(term(-1, parent * N_AMOUNTS + cell)))
+        return F.when((parent >= 0) & (F.size(children) > 0), terms)
+
+    return F.filter(F.array(classes, balance, family(line), family(F.get(parents, line))), lambda e: e.isNotNull())
+
+
+def _rest(equation: Column, cells: Column) -> Column:
+    """What the terms of an equation add up to; null if one is unknown."""
+    amount = lambda t: F.when(t["sign"] > 0, F.get(cells, t["at"])).otherwise(-F.get(cells, t["at"])).cast(WHOLE)
+    return F.aggregate(equation, F.lit(0).cast(WHOLE), lambda total, t: (total + amount(t)).try_cast(WHOLE))
+
+
+def _until_steady(start: Column, rounds: Column, step: Callable[[Column], Column]) -> Column:
+    """``step`` applied to an array of amounts until the number of unknown ones stays the same."""
+    unknown = lambda cells: F.size(F.filter(cells, lambda c: c.isNull()))
+    state = lambda cells, goes_on: F.struct(cells.alias("cells"), goes_on.alias("goes_on"))
+
+    def once(held: Column, _: Column) -> Column:
+        moved = let(step(held["cells"]), lambda cells: state(cells, unknown(cells) != unknown(held["cells"])))
+        return F.when(held["goes_on"], moved).otherwise(held)
+
+    return F.aggregate(F.sequence(F.lit(1), rounds), state(start, F.lit(True)), once)["cells"]
+
+
+def solved_amounts(lines: DataFrame, file: str = "file") -> DataFrame:
+    """Fills unreadable amounts that the equations of their page determine; adds ``solved`` and ``conflicts``, cell names.
+
+    Needs ``amounts`` and ``parent_row``. Equations of a line, of its parent and of its children are solved one unknown
+    at a time until nothing more follows, so an amount may rest on others that were found before. An amount is kept only
+    if at least two equations hold whose other amounts are printed or kept themselves, and none is broken; one with a
+    broken equation is a conflict and stays null. Lines whose cells have shifted are left alone. The lines of a page come
+    together in one row, which a page bounds.
+    """
+    rest = [c for c in lines.columns if c not in (file, "row_no", "amounts")]
+    packed = lines.groupBy(file).agg(F.collect_list(F.struct("row_no", "amounts", *rest)).alias("found"))
+    ordered = F.array_sort("found", lambda a, b: a["row_no"].cast("int") - b["row_no"].cast("int"))
+    pages = add_once(packed, rows=ordered).drop("found")
+    place = lambda r: F.coalesce(F.array_position("numbers", r["parent_row"]).cast("int") - 1, F.lit(-1))
+    none = F.array().cast("array<int>")
+    cells = F.flatten(F.transform("rows", lambda r: r["amounts"]))
+    pages = add_once(pages, cells=cells, numbers=F.transform("rows", lambda r: r["row_no"]))
+    open_ = F.filter(F.transform("cells", lambda c, i: F.when(c.isNull(), i)), lambda i: i.isNotNull())
+    regular = F.filter(open_, lambda i: ~F.get("rows", F.floor(i / N_AMOUNTS).cast("int"))["irregular"])
+    pages = add_once(pages, open=F.when(F.exists("cells", lambda c: c.isNull()), regular).otherwise(none))
+    pages = add_once(pages, parents=F.when(F.size("open") > 0, F.transform("rows", place)).otherwise(none))
+    pages = add_once(pages, unknown=F.transform("open", lambda x: F.struct(x.alias("x"), _equations(x, F.col("parents")).alias("equations"))))
+
+    def follows(u: Column, cells: Column) -> Column:
+        """The amount by the first equation that has no other unknown."""
+        sign = lambda e: F.get(F.filter(e, lambda t: t["at"] == u["x"]), F.lit(0))["sign"]
+        value = lambda e: let(_rest(F.filter(e, lambda t: t["at"] != u["x"]), cells), lambda r: F.when(sign(e) > 0, -r).otherwise(r).cast(WHOLE))
+        return F.get(F.filter(F.transform(u["equations"], value), lambda v: v.isNotNull()), F.lit(0))
+
+    def filled(cells: Column) -> Column:
+        values = F.transform("unknown", lambda u: F.when(F.get(cells, u["x"]).isNull(), follows(u, cells)))
+        return let(values, lambda found: F.transform(cells, lambda c, i: F.coalesce(c, F.get(found, F.array_position("open", i).cast("int") - 1))))
+
+    def doubted(u: Column, cells: Column) -> Column:
+        rests = F.transform(u["equations"], lambda e: _rest(e, cells))
+        holds = F.size(F.filter(rests, lambda r: r == 0))
+        return (holds < 2) | F.exists(rests, lambda r: F.coalesce(r != 0, F.lit(False)))
+
+    def pruned(cells: Column) -> Column:
+        doubts = F.transform(F.filter("unknown", lambda u: doubted(u, cells)), lambda u: u["x"])
+        return let(doubts, lambda out: F.transform(cells, lambda c, i: F.when(~F.array_contains(out, i), c)))
+
+    some, rounds = F.size("open") > 0, F.greatest(F.size("open"), F.lit(1))
+    pages = add_once(pages, tried=F.when(some, _until_steady(F.col("cells"), rounds, filled)).otherwise(F.col("cells")))
+    broken = F.filter("unknown", lambda u: F.exists(u["equations"], lambda e: F.coalesce(_rest(e, F.col("tried")) != 0, F.lit(False))))
+    pages = add_once(pages, kept=F.when(some, _until_steady(F.col("tried"), rounds, pruned)).otherwise(F.col("cells")), broken=F.transform(broken, lambda u: u["x"]))
+    names = F.array(*[F.lit(f"{m}.{k}") for m in MEASURES for k in CLASSES])
+    own = lambda places, i: F.transform(F.filter(places, lambda x: F.floor(x / N_AMOUNTS) == i), lambda x: F.get(names, x % N_AMOUNTS))
+    solved = F.filter("open", lambda x: F.get("kept", x).isNotNull())
+    held = add_once(pages, held=solved).select(file, "rows", "kept", "held", "broken")
+    amounts = lambda i: F.slice("kept", i * N_AMOUNTS + 1, N_AMOUNTS)
+    line = lambda r, i: F.struct(r.alias("r"), amounts(i).alias("amounts"), own(F.col("held"), i).alias("solved"), own(F.col("broken"), i).alias("conflicts"))
+    out = held.select(file, F.inline(F.transform("rows", line)))
+    return out.select(*[F.col(c) if c in (file, "amounts") else F.col(f"r.{c}") for c in lines.columns], "solved", "conflicts")
+
+
 def footnotes(statements: DataFrame) -> DataFrame:
     """Notes of each statement: ``note_no`` (null if it has no number), ``row_no`` of its first row and ``text``.
 

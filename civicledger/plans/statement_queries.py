@@ -9,7 +9,7 @@ from civicledger.functions.money import MONEY, parse_amount
 from civicledger.functions.text import strip_ws
 from civicledger.operators import statements as T
 from civicledger.operators.columns import add_once
-from civicledger.plans.long_pages import LONG_SQL, ORDERS, long_pages, places_sql
+from civicledger.plans.long_pages import KINDS, LONG_SQL, ORDERS, WRONG, long_pages, places_sql
 from civicledger.plans.quarter_pages import QUARTER_SQL, quarter_pages
 from civicledger.plans.registry import query
 from civicledger.plans.statement_pages import STATEMENT_SQL, statement_pages
@@ -261,7 +261,7 @@ def header_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "long_statements",
-    f"""WITH {LONG_SQL}, a AS (SELECT *, ps + mooe + co AS total, ps * 9 // 10 AS ob_ps, mooe * 9 // 10 AS ob_mooe, co * 9 // 10 AS ob_co, year % {len(ORDERS)} AS layout FROM printed)
+    f"""WITH {LONG_SQL}, a AS (SELECT *, ps + mooe + co AS total, year % {len(ORDERS)} AS layout FROM printed)
 SELECT file, row_no, label, level, parent_row, CAST(total AS DECIMAL(20, 0)) AS allotment, CAST(ob_mooe AS DECIMAL(20, 0)) AS spent_mooe,
   CAST(total - ob_ps - ob_mooe - ob_co AS DECIMAL(20, 0)) AS unobligated, CAST(CASE WHEN layout IN (1, 3) THEN ps END AS DECIMAL(20, 0)) AS appropriation,
   CAST(CASE WHEN layout > 0 THEN k % 100 + 0.5 END AS DECIMAL(9, 2)) AS published_rate FROM a""",
@@ -274,3 +274,26 @@ def long_statements(spark: SparkSession, folder: str) -> DataFrame:
         "file", "row_no", "label", "level", "parent_row", amount(3).alias("allotment"), amount(5).alias("spent_mooe"), amount(11).alias("unobligated"),
         F.col("appropriation").cast("decimal(20,0)").alias("appropriation"), F.col("published_rate").cast("decimal(9,2)").alias("published_rate"),
     )
+
+
+@query(
+    "solved_amounts",
+    f"""WITH {LONG_SQL}, a AS (SELECT *, ps + mooe + co AS total, k % {KINDS} AS kind FROM printed)
+SELECT file, row_no, CASE WHEN kind = 1 AND off = 1 THEN 'allotment.ps,allotment.mooe' WHEN kind = 2 AND off < 2 THEN 'allotment.total'
+    WHEN kind = 4 AND off = 2 THEN 'allotment.co,obligations.co,unobligated.co' ELSE '' END AS solved,
+  CASE WHEN kind = {WRONG} AND off = 2 THEN 'obligations.ps' ELSE '' END AS conflicts,
+  CAST(ps AS DECIMAL(20, 0)) AS ps, CAST(mooe AS DECIMAL(20, 0)) AS mooe, CAST(co AS DECIMAL(20, 0)) AS co, CAST(total AS DECIMAL(20, 0)) AS total,
+  CAST(CASE WHEN kind <> {WRONG} OR off < 2 THEN ob_ps END AS DECIMAL(20, 0)) AS spent_ps, CAST(ob_co AS DECIMAL(20, 0)) AS spent_co
+FROM a WHERE kind IN (1, 2, 3, 4)""",
+)
+def solved_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Unreadable amounts, several in one equation among them, that the equations of a page determine twice."""
+    lines = T.with_amounts(T.statement_lines(long_pages(spark, folder, spoilt=True).select("file", "html")))
+    kind = F.regexp_extract("office", "([0-9]+)$", 1).cast("int") % KINDS
+    parents = lines.where("level = 0").select("file", F.col("row_no").alias("parent"), F.col("label").alias("office"))
+    wanted = T.solved_amounts(lines).join(parents, ["file"]).where(F.coalesce("parent_row", "row_no") == F.col("parent")).where(kind.between(1, 4))
+    amount = lambda i: F.get("amounts", F.lit(i)).cast("decimal(20,0)")
+    return wanted.select(
+        "file", "row_no", F.array_join("solved", ",").alias("solved"), F.array_join("conflicts", ",").alias("conflicts"),
+        amount(0).alias("ps"), amount(1).alias("mooe"), amount(2).alias("co"), amount(3).alias("total"), amount(4).alias("spent_ps"), amount(6).alias("spent_co"),
+    )
