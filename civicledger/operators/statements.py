@@ -58,6 +58,21 @@ _NOTE_START = r"(?i)^(?:([0-9]+)\s*[)/.]|\*+|notes?\s*(?:[0-9]+)?\s*:)"
 _NOTE_NUMBER = r"(?i)^(?:notes?\s*)?([0-9]+)\s*[)/.:]"
 _LIST_LEAD = r"(?is)^.*?(?:\bexcept(?:\s+for)?\b\s*:?|\bas\s+follows\s*:|\bfollowing\s*(?:are)?\s*:?|\bwithout\b[^:]*\bsubmission\b[^:]*:)"
 _LIST_BREAK = r",\s*and\s+|,\s*|;\s*"
+_INNER_LEAD = r"(?i)\s*(?:,|;|\band\b)\s*(?:and\s+)?the\s+following\b[^:;,]*:\s*"
+
+# What an institution is called: a name that ends in such a word, or begins with one and "of", "on" or "for", is whole.
+_INSTITUTIONS = (
+    "Academy|Administration|Agency|Authority|Board|Bureau|Center|Centre|College|Commission|Committee|Corporation|Council|Court|Courts|Department|House|"
+    "Institute|Institution|Library|Ministry|Museum|Office|School|Secretariat|Senate|Service|System|Treasury|Tribunal|University"
+)
+_WHOLE_NAME = rf"(?i)(?:^|\W)(?:{_INSTITUTIONS})(?:\s*\([^)]*\))?$|^(?:\w+\s*-\s*)?(?:{_INSTITUTIONS})\s+(?:of|on|for)\b"
+_HAS_INSTITUTION = rf"(?i)\b(?:{_INSTITUTIONS})\b"
+_OWN_PREFIX = r"^[A-Z]{2,}\s*-\s*\S"
+
+# How a note words the share of units that complied: the word before the figure, or the deed right after it.
+_SHARE = r"([0-9]+(?:\.[0-9]+)?)\s*%"
+_COMPLIANCE = rf"(?i)\bcomplian\w*\b[^.;%]*?{_SHARE}"
+_DEED = rf"(?i){_SHARE}\s+(?:of\s+(?:all\s+)?(?:the\s+)?(?:agencies|units|offices)\s+)?(?:(?:have|has|had)\s+)?(?:reported|submitted|complied)\b"
 
 
 def _rows(html: Column) -> Column:
@@ -503,23 +518,53 @@ def footnotes(statements: DataFrame) -> DataFrame:
     return notes.select(*rest, "row_no", number.alias("note_no"), body.alias("text")).where("text <> ''")
 
 
-def listed_names(notes: DataFrame, lead: str = _LIST_LEAD) -> DataFrame:
+def _single_names(item: Column, known: Column) -> Column:
+    """The names in one list item: "and" parts two names if both are whole, or known, or the second has its own prefix.
+
+    It never parts a name that is known as it stands.
+    """
+    parts = F.split(item, r"\s+and\s+")
+    is_known = lambda name: F.array_contains(known, F.lower(name))
+
+    def step(names: Column, i: Column) -> Column:
+        left, right = F.element_at(names, -1), F.array_join(F.slice(parts, i + 1, F.size(parts)), " and ")
+        joined = F.concat(left, F.lit(" and "), F.get(parts, i))
+        whole = left.rlike(_WHOLE_NAME) & right.rlike(_HAS_INSTITUTION) & ~right.rlike(r"^the\b")
+        apart = (is_known(left) | is_known(right) | whole | right.rlike(_OWN_PREFIX)) & ~is_known(F.concat(left, F.lit(" and "), right)) & ~is_known(joined)
+        longer = F.array_append(F.slice(names, F.lit(1), F.size(names) - 1), joined)
+        return F.when(apart, F.array_append(names, F.get(parts, i))).otherwise(longer)
+
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), F.slice(parts, F.lit(1), F.lit(1)), lambda names, i: F.when(i < F.size(parts), step(names, i)).otherwise(names))
+
+
+def listed_names(notes: DataFrame, lead: str = _LIST_LEAD, known: str | None = None) -> DataFrame:
     """Names that a note lists after its lead-in, e.g. agencies that did not report.
 
-    Names are separated by commas or semicolons; an inner "and" belongs to a name unless the list has no comma.
+    Names are separated by commas or semicolons, and by further lead-ins inside the list ("and the following ...:").
+    Whether an "and" inside an item parts two names is told by the names themselves and by ``known``, a column with an
+    array of names in small letters (e.g. those of the statement's own lines). A list without commas is parted at every
+    "and" that doesn't stand inside a known name.
     """
-    rest = [c for c in notes.columns if c != "text"]
-    listing = F.regexp_replace(F.regexp_replace("text", lead, ""), r"[.\s]+$", "")
+    rest = [c for c in notes.columns if c not in ("text", known)]
+    listing = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", lead, ""), _INNER_LEAD, ", "), r"[.\s]+$", "")
+    names = F.coalesce(F.col(known), F.array().cast("array<string>")) if known else F.array().cast("array<string>")
     several = listing.rlike(r"[,;]")
-    names = F.split(F.when(several, listing).otherwise(F.regexp_replace(listing, r"\s+and\s+", ", ")), _LIST_BREAK)
-    exploded = notes.where(F.col("text").rlike(lead)).select(*rest, F.explode(names).alias("name"))
-    return exploded.withColumn("name", strip_ws(F.regexp_replace("name", r"(?i)^(?:and|the following)\s+", ""))).where("name <> ''")
+    plain = F.when(several | F.array_contains(names, F.lower(listing)), listing).otherwise(F.regexp_replace(listing, r"\s+and\s+", ", "))
+    bare = lambda n: strip_ws(F.regexp_replace(strip_ws(n), r"(?i)^(?:and|the following|SUCs?\s*\()\s*", ""))
+    closed = lambda n: F.when(n.contains("("), n).otherwise(F.regexp_replace(n, r"\)$", ""))
+    listed = F.flatten(F.transform(F.split(plain, _LIST_BREAK), lambda n: _single_names(closed(bare(n)), names)))
+    exploded = notes.where(F.col("text").rlike(lead)).select(*rest, F.explode(listed).alias("name"))
+    return exploded.withColumn("name", strip_ws(F.col("name"))).where("name <> ''")
 
 
 def reported_share(notes: DataFrame) -> DataFrame:
-    """The share of agencies that a note says have reported, in percent, where it names one."""
+    """The share of agencies that a note says have reported, in percent, where it names one.
+
+    Only a percentage whose sentence speaks of compliance before it, or says right after it that they reported or
+    submitted, is such a share; rates and shares of other things are not.
+    """
     rest = [c for c in notes.columns if c != "text"]
-    share = F.regexp_extract("text", r"([0-9]+(?:\.[0-9]+)?)\s*%", 1)
+    share = F.coalesce(F.nullif(F.regexp_extract("text", _COMPLIANCE, 1), F.lit("")), F.regexp_extract("text", _DEED, 1))
     return notes.where(share != "").select(*rest, share.try_cast("decimal(9,2)").alias("reported_pct"))
 
 

@@ -94,6 +94,39 @@ def footnote_explode(spark: SparkSession, folder: str) -> DataFrame:
     return T.listed_names(notes).select("file", "note_no", "name")
 
 
+# Notes by the supplier's remainder, with the names they list and the share they report. Names that statements use.
+_NOTE_FORMS = [
+    ("EXCEPT {n} COMMISSION and the following SUCs: {n} University, {n} Academy and {n} College of Arts and Trades", ["{n} COMMISSION", "{n} University", "{n} Academy", "{n} College of Arts and Trades"], None),
+    ("For units without a report, as follows: Bureau of {n} and Securities and Exchange Commission, News and {n} Bureau and {n} Agency", ["Bureau of {n}", "Securities and Exchange Commission", "News and {n} Bureau", "{n} Agency"], None),
+    ("Compliance on the requirement is 97.5%. Those without submission are the following : SUCs (A-{n}, B-{n} and CD-{n})", ["A-{n}", "B-{n}", "CD-{n}"], "97.5"),
+    ("The average rate is 25% of the releases; 57% have been used by units that submitted.", [], None),
+    ("Except Supreme Court of {n} and the Lower Courts, Office of {n} and Press, {n} Tribunal.", ["Supreme Court of {n} and the Lower Courts", "Office of {n} and Press", "{n} Tribunal"], None),
+    ("So far 80 % of the agencies have submitted.", [], "80"),
+]
+
+
+def _form_notes(spark: SparkSession, folder: str) -> DataFrame:
+    supplier = table(spark, folder, "supplier")
+    form = F.get(F.array(*[F.lit(text) for text, _, _ in _NOTE_FORMS]), (F.col("s_suppkey") % len(_NOTE_FORMS)).cast("int"))
+    known = F.array(F.lower(F.concat(F.lit("Office of "), "s_name", F.lit(" and Press"))))
+    return supplier.select("s_suppkey", F.replace(form, F.lit("{n}"), F.col("s_name")).alias("text"), known.alias("known"))
+
+
+_FORM_NAMES_SQL = ", ".join(f"({i}, '{n}')" for i, (_, names, _) in enumerate(_NOTE_FORMS) for n in names)
+
+
+@query("note_names", f"SELECT s_suppkey, replace(name, '{{n}}', s_name) AS name FROM supplier JOIN (VALUES {_FORM_NAMES_SQL}) AS f(form, name) ON form = s_suppkey % {len(_NOTE_FORMS)}")
+def note_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names in lists that hold further lead-ins, prefixes, and "and" inside and between names."""
+    return T.listed_names(_form_notes(spark, folder), known="known")
+
+
+@query("note_shares", f"SELECT s_suppkey, CAST(CASE s_suppkey % {len(_NOTE_FORMS)} WHEN 2 THEN 97.5 ELSE 80 END AS DECIMAL(9, 2)) AS reported_pct FROM supplier WHERE s_suppkey % {len(_NOTE_FORMS)} IN (2, 5)")
+def note_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Only percentages of compliance, not rates or other shares."""
+    return T.reported_share(_form_notes(spark, folder).drop("known"))
+
+
 @query("reported_share", f"WITH {STATEMENT_SQL} SELECT DISTINCT file, 1 AS note_no, CAST(98 AS DECIMAL(9, 2)) AS reported_pct FROM printed")
 def reported_share(spark: SparkSession, folder: str) -> DataFrame:
     notes = T.footnotes(statement_pages(spark, folder).select("file", "html"))
