@@ -11,9 +11,10 @@ cell is a signature.
 Sets that share a signature are compared in two steps, so that a group of near copies isn't compared pair by pair:
 each with the first of its bucket, then, in buckets that still hold several components, those outside the largest
 component with the others. The second step first compares parities: each feature flips one bit of its set's sketch, so
-two sets differ in at least as many features as their sketches in bits; only pairs that may be similar leave the
-bucket. Large buckets are cut into blocks, and pairs of blocks are compared apart. What remains is compared exactly, on
-64-bit shingle hashes.
+two sets differ in at least as many features as their sketches in bits. Rows with a partner that may be similar leave
+the bucket, in groups; the sets of a group then come together and are compared exactly, on 64-bit shingle hashes,
+unless links already join them, and only the links that joined two parts are passed on: fewer than rows. Large buckets
+and groups are cut into blocks, and pairs of blocks are compared apart.
 
 Null and empty texts, and texts without words, have no shingles and no links. Rows that share an id are one document
 with the links of each. A row without an id has no links and no component. Ties don't arise. An empty table gives an
@@ -41,6 +42,8 @@ SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
 #: Sizes of sets and the bits of their sketches; beyond the last size the last number of bits.
 SKETCHES = [(256, 512), (1024, 2048), (4096, 8192)]
 BLOCK = 4096
+#: Features that a block of rows to be compared exactly has at most, but for one row with more.
+BLOCK_FEATURES = 1 << 20
 #: Share of a task's documents, and their number, from which a slot of features is counted.
 OFTEN, LEAST_OFTEN = 0.002, 8
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -114,9 +117,11 @@ def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
 
 
-def near_pairs(doc: np.ndarray, n: np.ndarray, c: np.ndarray, minor: np.ndarray, side: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket that may be similar, of two components, not both of the largest, and of different sides."""
-    out: list[tuple[np.ndarray, np.ndarray]] = []
+def near_pairs(n: np.ndarray, c: np.ndarray, minor: np.ndarray, side: np.ndarray, sketches: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of a bucket that may be similar, of two components, not both of the largest, and of different sides.
+
+    They come in portions of bounded size.
+    """
     width = np.array([len(x) // 8 for x in sketches])
     for low in np.unique(width):
         for high in np.unique(width[width >= low]):
@@ -133,39 +138,108 @@ def near_pairs(doc: np.ndarray, n: np.ndarray, c: np.ndarray, minor: np.ndarray,
                     p, q = x[k : k + (1 << 17)], y[k : k + (1 << 17)]
                     differ = np.bitwise_count(a[at + p] ^ b[q]).sum(axis=1, dtype=np.int64)
                     good = 9 * differ <= n[one[at + p]] + n[two[q]]
-                    out.append((doc[one[at + p[good]]], doc[two[q[good]]]))
-    none = np.empty(0, np.int64)
-    return (np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])) if out else (none, none)
+                    if good.any():
+                        yield one[at + p[good]], two[q[good]]
 
 
-def _compare(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows in order of bucket and pair of blocks; a bucket and pair of blocks has a bounded number of rows."""
-    held: list[pa.RecordBatch] = []
+def united(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Smallest place that each place is joined with, given what it was so far and further pairs."""
+    while True:
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            return root
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
 
-    def pairs(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(batches).combine_chunks()
-        keys = np.stack([t.column(x).to_numpy() for x in ("s", "i", "j")])
-        doc, n, c, major, block = (t.column(x).to_numpy() for x in ("doc_id", "n", "c", "major", "block"))
-        sketches = t.column("sketch").to_pylist()
-        starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-        found = []
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
-            side = block[a:b] if keys[1, a] != keys[2, a] else np.full(b - a, -1)
-            found.append(near_pairs(doc[a:b], n[a:b], c[a:b], c[a:b] != major[a:b], side, sketches[a:b]))
-        u, v = (np.concatenate([f[k] for f in found]) for k in range(2))
-        distinct = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(distinct[0]), pa.array(distinct[1])], names=["u", "v"])
 
+def _stretches(stream: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Sorted rows as tables that hold whole groups of equal keys."""
+    held: list[pa.RecordBatch] = []
     for batch in stream:
+        if not batch.num_rows:
+            continue
         held.append(batch)
         t = pa.Table.from_batches(held).combine_chunks()
-        keys = np.stack([t.column(x).to_numpy() for x in ("s", "i", "j")])
-        last = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])[-1]
+        last = _starts(t, keys)[-1]
         if last:
-            yield pairs(t.slice(0, last).to_batches())
+            yield t.slice(0, last).combine_chunks()
         held = t.slice(last).to_batches()
     if held:
-        yield pairs(held)
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _starts(t: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    columns = np.stack([t.column(x).to_numpy() for x in keys])
+    return np.flatnonzero(np.r_[True, (columns[:, 1:] != columns[:, :-1]).any(axis=0)])
+
+
+_DEALT = ("s", "i", "j")
+
+
+def _near_groups(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of bucket and pair of blocks, those with a partner that may be similar.
+
+    They come once each, with a group: rows of the part that such partners connect. A group is named by its members, so
+    that one that several buckets find is one; its size is bounded by that of a pair of blocks.
+    """
+    for t in _stretches(stream, _DEALT):
+        keys = np.stack([t.column(x).to_numpy() for x in _DEALT])
+        doc, n, c, major, block = (t.column(x).to_numpy() for x in ("doc_id", "n", "c", "major", "block"))
+        sketches = t.column("sketch").to_pylist()
+        starts = _starts(t, _DEALT)
+        found = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
+            side = block[a:b] if keys[1, a] != keys[2, a] else np.full(b - a, -1)
+            root, paired = np.arange(b - a), np.zeros(b - a, bool)
+            for u, v in near_pairs(n[a:b], c[a:b], c[a:b] != major[a:b], side, sketches[a:b]):
+                paired[u] = paired[v] = True
+                root = united(root, u, v)
+            at = np.flatnonzero(paired)
+            name, size = np.zeros(b - a, np.uint64), np.bincount(root[at], minlength=b - a)
+            np.bitwise_xor.at(name, root[at], tb.mix(doc[a:b][at].astype(np.uint64)))
+            group = tb.mix(name + tb.mix(size.astype(np.uint64)))[root[at]]
+            found.append(np.stack([group.view(np.int64), doc[a:b][at], n[a:b][at], c[a:b][at]]))
+        rows = np.concatenate(found, axis=1)
+        rows = np.unique(rows, axis=1) if rows.size else rows
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["s", "doc_id", "n", "c"])
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= 80 * (len(a) + len(b) - shared)
+
+
+def _links(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of similar rows that connect all that are linked, over rows in order of group and pair of blocks.
+
+    Every pair of two components that may be similar is compared exactly unless links found before have joined them; so
+    fewer pairs come out than rows went in, and none is missing from what they connect.
+    """
+    for t in _stretches(stream, _DEALT):
+        keys = np.stack([t.column(x).to_numpy() for x in _DEALT])
+        doc, c, block = (t.column(x).to_numpy() for x in ("doc_id", "c", "block"))
+        starts, out = _starts(t, _DEALT), []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
+            sets = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in t.column("features").slice(a, b - a)]
+            side = block[a:b] if keys[1, a] != keys[2, a] else np.full(b - a, -1)
+            _, own = np.unique(c[a:b], return_inverse=True)
+            first = np.full(own.max() + 1, b - a)
+            np.minimum.at(first, own, np.arange(b - a))
+            root = first[own]  # rows of one component are joined from the start
+            sizes = np.array([len(x) for x in sets])
+            for u, v in near_pairs(sizes, own, np.ones(b - a, bool), side, [parities(x) for x in sets]):
+                while len(u):
+                    for x, y in zip(u[:32].tolist(), v[:32].tolist(), strict=True):
+                        if root[x] != root[y] and _similar(sets[x], sets[y]):
+                            out.append((max(doc[a + x], doc[a + y]), min(doc[a + x], doc[a + y])))
+                            root[root == max(root[x], root[y])] = min(root[x], root[y])
+                    apart = root[u[32:]] != root[v[32:]]
+                    u, v = u[32:][apart], v[32:][apart]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
 def _often(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +335,19 @@ def groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sized = open_.groupBy("s", "c").agg(F.count("*").alias("k")).groupBy("s").agg(F.max(F.struct("k", "c")).alias("most"), F.sum("k").alias("rows"))
     open_ = kept(open_.join(sized.select("s", F.col("most.c").alias("major"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "s"), "open")
     sketches = signed.filter("size(signatures) > 0").select("doc_id", "sketch")
-    own = open_.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-    each = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sketches, "doc_id")
-    placed = each.select("s", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "doc_id", "n", "c", "major", "sketch")
-    dealt = placed.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
-    pairs = dealt.mapInArrow(_compare, "u bigint, v bigint").distinct()
-    more = kept(verified(docs, kept(pairs.join(tried, ["u", "v"], "left_anti"), "cross")), "more")
+
+    def dealt(rows: DataFrame, each: DataFrame, columns: list[str]) -> DataFrame:
+        """Rows of a bucket or group, in blocks, once for each pair of blocks, with what is known of each document."""
+        own = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+        pairs = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = pairs.select("*", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")).join(each, "doc_id")
+        return placed.select(*columns).repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
+
+    near = dealt(open_, sketches, ["s", "i", "j", "block", "doc_id", "n", "c", "major", "sketch"]).mapInArrow(_near_groups, "s bigint, doc_id bigint, n bigint, c bigint")
+    near = kept(near.distinct(), "near")
+    large = near.groupBy("s").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_FEATURES)).cast("int").alias("blocks"))
+    sets = prefilter.split(docs.filter("doc_id is not null"), "doc_id", near.select("doc_id").distinct())[0].mapInArrow(_sets, "doc_id bigint, features array<bigint>")
+    checked = dealt(near.join(large, "s"), sets, ["s", "i", "j", "block", "doc_id", "c", "features"]).mapInArrow(_links, "u bigint, v bigint")
+    more = kept(checked.distinct(), "more")
     root = (components(spark, found.toDF("u", "v").union(more)) if more.head(1) else found).withColumnRenamed("node", "doc_id")
     return signed.select("doc_id", "n").join(root, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))

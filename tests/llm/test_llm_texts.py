@@ -185,6 +185,41 @@ def test_near_copies(spark, docs, rows, empty, nulls):
     assert [tuple(r) for r in partenum.groups(spark, nulls).collect()] == [(None, 0, None)] * 2
 
 
+def test_unlike_texts_in_one_bucket(spark, monkeypatch):
+    """Hundreds of texts with a common passage aren't alike; chains of like ones among them are still found, in blocks of any size."""
+    rng = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(160)]
+    rows = []
+    for k in range(240):
+        rows.append((k, " ".join(common + [f"k{k}x{i}" for i in range(60)])))
+    chain = rows[0][1].split(" ")
+    for k in range(240, 300):  # each is like the one before, the ends aren't
+        for at in rng.choice(220, 2, replace=False):
+            chain[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(chain)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = brute.groups(dict(rows))
+    assert len({c for _, c in want.values()}) > 200
+    for block, features in ((partenum.BLOCK, partenum.BLOCK_FEATURES), (32, 4000)):
+        monkeypatch.setattr(partenum, "BLOCK", block)
+        monkeypatch.setattr(partenum, "BLOCK_FEATURES", features)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in partenum.groups(spark, frame).collect()} == want
+
+
+def test_links_of_a_group_are_a_forest():
+    """However many pairs are alike, fewer links come out than rows went in, and they connect the same rows."""
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64))
+    sets = [np.unique(np.r_[base[: 300 - k % 20], rng.integers(0, 1 << 62, 5).astype(np.uint64)]) for k in range(200)]
+    sets += [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(100)]
+    n = len(sets)
+    table = pa.table({"s": [7] * n, "i": pa.array([0] * n, pa.int32()), "j": pa.array([0] * n, pa.int32()), "block": pa.array([0] * n, pa.int32()), "doc_id": list(range(n)), "c": list(range(n)), "features": [x.view(np.int64).tolist() for x in sets]})
+    out = pa.Table.from_batches(partenum._links(iter(table.to_batches(max_chunksize=50))))
+    u, v = (out.column(c).to_numpy() for c in "uv")
+    root = partenum.united(np.arange(n), u, v)
+    assert len(u) == 199 and (root[:200] == 0).all() and (root[200:] == np.arange(200, 300)).all()
+
+
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     """Copies with edits of their own: no two are as like each other as each is to the first."""
     rows = []
