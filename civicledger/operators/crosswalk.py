@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicledger.functions.money import MONEY
+from civicledger.operators.asof import as_of
+from civicledger.session import scratch_dir
 
 
 def normalise_name(name: Column) -> Column:
@@ -50,6 +52,71 @@ def ambiguous_aliases(crosswalk: DataFrame) -> DataFrame:
     return _mapping(crosswalk).where(overlap).select(F.col("_alias").alias("alias"), F.array_join(keys, ",").alias("canonical_keys"))
 
 
+def crosswalk_spans(crosswalk: DataFrame) -> DataFrame:
+    """The validity of aliases cut into disjoint spans: ``alias``, ``valid_from``, ``valid_to``, ``canonical``, ``n_keys``.
+
+    A sweep over the years where an entry of the alias begins or has ended: between two of them the same entries hold.
+    Neighbouring spans with the same keys become one. ``canonical`` is null where several keys hold (``n_keys``); spans
+    without any are left out.
+    """
+    entries = F.col("_entries")
+    edges = F.array_sort(F.array_distinct(F.concat(F.transform(entries, lambda e: e["valid_from"]), F.transform(entries, lambda e: e["valid_to"] + 1))))
+    cut = _mapping(crosswalk).select("_alias", "_entries", edges.alias("_edges"))
+    keys = lambda year: F.array_sort(F.array_distinct(F.transform(F.filter(entries, lambda e: year.between(e["valid_from"], e["valid_to"])), lambda e: e["canonical"])))
+    pieces = F.transform(
+        F.slice("_edges", F.lit(1), F.size("_edges") - 1),
+        lambda year, i: F.struct(year.alias("valid_from"), (F.get("_edges", i + 1) - 1).alias("valid_to"), keys(year).alias("keys")),
+    )
+
+    def joined(spans: Column, piece: Column) -> Column:
+        last = F.try_element_at(spans, F.lit(-1))
+        goes_on = F.coalesce((last["keys"] == piece["keys"]) & (last["valid_to"] + 1 == piece["valid_from"]), F.lit(False))
+        longer = F.struct(last["valid_from"].alias("valid_from"), piece["valid_to"].alias("valid_to"), piece["keys"].alias("keys"))
+        return F.when(goes_on, F.array_append(F.slice(spans, F.lit(1), F.size(spans) - 1), longer)).otherwise(F.array_append(spans, piece))
+
+    swept = cut.select("_alias", F.filter(pieces, lambda p: F.size(p["keys"]) > 0).alias("_pieces"))
+    none = F.array().cast("array<struct<valid_from:int,valid_to:int,keys:array<string>>>")
+    spans = swept.select("_alias", F.inline(F.aggregate("_pieces", none, joined)))
+    single = F.when(F.size("keys") == 1, F.get("keys", F.lit(0)))
+    return spans.select(F.col("_alias").alias("alias"), "valid_from", "valid_to", single.alias("canonical"), F.size("keys").alias("n_keys"))
+
+
+def apply_spans(facts: DataFrame, spans: DataFrame, name: str, year: str) -> DataFrame:
+    """Adds ``canonical`` by disjoint spans: the last one that begins by the fact's year, if it hasn't ended by then."""
+    step = F.struct(F.col("valid_to").alias("until"), "canonical").alias("_span")
+    steps = spans.select(F.col("alias").alias("_alias"), F.col("valid_from").alias("_since"), step)
+    named = facts.withColumns({"_alias": normalise_name(F.col(name)), "_year": F.col(year).cast("int")})
+    found = as_of(named, steps, "_alias", "_year", "_since", "_span")
+    return found.withColumn("canonical", F.when(F.col("_span.until") >= F.col("_year"), F.col("_span.canonical"))).select(*facts.columns, "canonical")
+
+
+def assign_matches(spark: SparkSession, pairs: DataFrame, left: str = "name", right: str = "canonical", cost: str = "edits") -> DataFrame:
+    """One-to-one choice among candidate pairs, cheapest first; ties by the names.
+
+    A pair that is the best of both its sides is chosen, then everything else of either side is dropped, until no
+    candidate is left; that is the choice of going through all pairs in order of cost. Rounds are written; minima
+    combine before they move, so a name with very many candidates is no large group.
+    """
+    base = scratch_dir(spark, "matches")
+    rank = F.struct(F.col(cost).alias("cost"), F.col(left).alias("l"), F.col(right).alias("r"))
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    open_ = kept(pairs.where(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(left, right).agg(F.min(cost).alias(cost)), "open-0")
+    chosen, round_ = open_.limit(0), 0
+    while open_.head(1):
+        round_ += 1
+        ranked = open_.withColumn("_rank", rank)
+        first, second = (ranked.groupBy(c).agg(F.min("_rank").alias("_best")) for c in (left, right))
+        best = first.select("_best").intersect(second.select("_best")).select("_best.*")
+        new = kept(best.select(F.col("l").alias(left), F.col("r").alias(right), F.col("cost").alias(cost)), f"chosen-{round_}")
+        chosen = chosen.union(new)
+        open_ = kept(open_.join(new.select(left), left, "left_anti").join(new.select(right), right, "left_anti").select(left, right, cost), f"open-{round_}")
+    return chosen
+
+
 def unmatched_names(facts: DataFrame, crosswalk: DataFrame, name: str) -> DataFrame:
     """Names that the crosswalk does not know, with how often they occur."""
     counted = facts.groupBy(normalise_name(F.col(name)).alias("name")).agg(F.count("*").alias("n_rows"))
@@ -101,6 +168,15 @@ def align_currency(facts: DataFrame, rates: DataFrame, amount: str = "amount") -
     return joined.withColumn("amount_common", (F.col(amount) * F.col("rate")).cast(MONEY))
 
 
+def align_currency_as_of(facts: DataFrame, rates: DataFrame, at: str, amount: str = "amount") -> DataFrame:
+    """Amounts in a common currency by the rate that held on the fact's day; adds ``rate``, ``valid_since``, ``amount_common``.
+
+    ``rates``: currency, valid_since, rate. Before the first rate, and while rates contradict each other, all are null.
+    """
+    found = as_of(facts, rates, "currency", at, "valid_since", "rate")
+    return found.withColumn("amount_common", (F.col(amount) * F.col("rate")).cast(MONEY))
+
+
 def clean_columns(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Snake-case column names; rows that lack a required value are dropped."""
     import re

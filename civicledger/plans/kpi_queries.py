@@ -608,6 +608,77 @@ def currency_align(spark: SparkSession, folder: str) -> DataFrame:
     return C.align_currency(facts, rates).select("o_orderkey", "currency", "amount", "amount_common")
 
 
+RATES_SQL = """
+rates AS (
+  SELECT currency, valid_since, CASE WHEN min(rate) = max(rate) THEN min(rate) END AS rate FROM (
+    SELECT 'C' || o_custkey % 7 AS currency, date_trunc('day', o_orderdate) AS valid_since, CAST(1 + (o_orderkey % 1000) / 1000.0 AS DECIMAL(10, 4)) AS rate
+    FROM orders WHERE o_orderkey % 37 = 0) GROUP BY ALL
+), facts AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 2 = 0 THEN 'C0' WHEN l_orderkey % 97 = 1 THEN NULL ELSE 'C' || l_suppkey % 9 END AS currency, l_shipdate AS day,
+    CAST(round(l_extendedprice, 2) AS DECIMAL(20, 2)) AS amount
+  FROM lineitem
+)"""
+
+
+@query(
+    "currency_as_of",
+    f"""WITH {RATES_SQL}
+SELECT l_orderkey, l_linenumber, f.currency, CAST(valid_since AS DATE) AS valid_since, rate, CAST(amount * rate AS DECIMAL(20, 2)) AS amount_common
+FROM facts f ASOF LEFT JOIN rates r ON f.currency = r.currency AND f.day >= r.valid_since""",
+)
+def currency_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Items at the rate of their day; half of them have one currency, some none or one without rates."""
+    orders = table(spark, folder, "orders").where(F.col("o_orderkey") % 37 == 0)
+    name = lambda key, n: F.concat(F.lit("C"), (F.col(key) % n).cast("string"))
+    rate = (1 + (F.col("o_orderkey") % 1000).cast("decimal(10,4)") / 1000).cast("decimal(10,4)")
+    rates = orders.select(name("o_custkey", 7).alias("currency"), F.date_trunc("day", "o_orderdate").cast("timestamp").alias("valid_since"), rate.alias("rate"))
+    currency = F.when(F.col("l_orderkey") % 2 == 0, "C0").when(F.col("l_orderkey") % 97 == 1, F.lit(None)).otherwise(name("l_suppkey", 9))
+    facts = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", currency.alias("currency"), F.col("l_shipdate").cast("timestamp").alias("day"), F.round("l_extendedprice", 2).cast("decimal(20,2)").alias("amount")
+    )
+    found = C.align_currency_as_of(facts, rates, "day")
+    return found.select("l_orderkey", "l_linenumber", "currency", F.col("valid_since").cast("date").alias("valid_since"), "rate", "amount_common")
+
+
+SPANS_SQL = """
+entries AS (
+  SELECT lower(p_brand) AS alias, 'K' || p_size % 3 AS canonical, CAST(1990 + p_partkey % 7 AS INTEGER) AS valid_from, CAST(1990 + p_partkey % 7 + p_size % 3 AS INTEGER) AS valid_to
+  FROM part WHERE p_partkey % 5 = 0
+), years AS (SELECT alias, canonical, unnest(range(valid_from, valid_to + 1)) AS year FROM entries),
+held AS (SELECT regexp_replace(alias, '[^a-z0-9]+', ' ', 'g') AS alias, year, count(DISTINCT canonical) AS n, string_agg(DISTINCT canonical, ',' ORDER BY canonical) AS keys FROM years GROUP BY ALL),
+runs AS (SELECT *, year - row_number() OVER (PARTITION BY alias, keys ORDER BY year) AS run FROM held)"""
+
+
+def _validity(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part").where(F.col("p_partkey") % 5 == 0)
+    begin = (1990 + F.col("p_partkey") % 7).cast("int")
+    key = F.concat(F.lit("K"), (F.col("p_size") % 3).cast("string"))
+    return part.select(F.lower("p_brand").alias("alias"), key.alias("canonical"), begin.alias("valid_from"), (begin + F.col("p_size") % 3).cast("int").alias("valid_to"))
+
+
+@query(
+    "crosswalk_spans",
+    f"""WITH {SPANS_SQL} SELECT alias, CAST(min(year) AS INTEGER) AS valid_from, CAST(max(year) AS INTEGER) AS valid_to, CASE WHEN n = 1 THEN keys END AS canonical, CAST(n AS INTEGER) AS n_keys
+FROM runs GROUP BY alias, keys, n, run""",
+)
+def crosswalk_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping validities cut into disjoint spans."""
+    return C.crosswalk_spans(_validity(spark, folder))
+
+
+@query(
+    "crosswalk_by_span",
+    f"""WITH {SPANS_SQL}
+SELECT l_orderkey, l_linenumber, CASE WHEN n = 1 THEN keys END AS canonical FROM lineitem JOIN part ON p_partkey = l_partkey
+LEFT JOIN held ON held.alias = trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AND held.year = year(l_shipdate)""",
+)
+def crosswalk_by_span(spark: SparkSession, folder: str) -> DataFrame:
+    """Items find the span of their year."""
+    items = table(spark, folder, "lineitem").join(table(spark, folder, "part").select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
+    facts = items.select("l_orderkey", "l_linenumber", F.upper("p_brand").alias("brand"), F.year("l_shipdate").alias("year"))
+    return C.apply_spans(facts, C.crosswalk_spans(_validity(spark, folder)), "brand", "year").select("l_orderkey", "l_linenumber", "canonical")
+
+
 @query(
     "clean_columns",
     """SELECT doc_id AS document_id, source AS source_name, lang AS lang_2, quality AS quality_label

@@ -20,6 +20,7 @@ from civicledger.plans.registry import query
 from civicledger.session import scratch_dir
 from civicledger.sources import manifest as store
 from civicledger.sources.files import file_ends, file_inventory
+from civicledger.sources.manifest_versions import VersionedManifest
 from civicledger.sources.tables import table
 
 FILES_SQL = """
@@ -198,6 +199,28 @@ def manifest_write(spark: SparkSession, folder: str) -> DataFrame:
     return store.current_manifest(spark, log)
 
 
+_CUTS = ["2024-01-10", "2024-01-20"]
+
+
+@query(
+    "manifest_versions",
+    f"""WITH {S.EVENT_ENTRIES_SQL}, v AS (SELECT unnest([1, 2, 3, 4]) AS version),
+upto AS (SELECT v.version, e.*, row_number() OVER (PARTITION BY v.version, relative_path ORDER BY timestamp DESC, size_bytes DESC) AS rn
+  FROM entries e JOIN v ON (timestamp < '{_CUTS[0]}' OR (timestamp < '{_CUTS[1]}' AND version >= 2) OR version >= 3))
+SELECT CAST(version AS INTEGER) AS version, relative_path, timestamp, size_bytes, checksum FROM upto WHERE rn = 1""",
+)
+def manifest_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Three commits and a compaction; every version reads back."""
+    store_ = VersionedManifest(spark, scratch_dir(spark, "manifest-versions"))
+    entries = S.event_entries(spark, folder)
+    early, middle = F.col("timestamp") < _CUTS[0], F.col("timestamp") < _CUTS[1]
+    for run in (early, middle & ~early, ~middle):
+        store_.commit(entries.where(run))
+    store_.compact()
+    read = [store_.read(v).select(F.lit(v).alias("version"), "relative_path", "timestamp", "size_bytes", "checksum") for v in store_.versions()]
+    return read[0].union(read[1]).union(read[2]).union(read[3])
+
+
 @query("manifest_upsert", LATEST_SQL)
 def manifest_upsert(spark: SparkSession, folder: str) -> DataFrame:
     entries = S.event_entries(spark, folder)
