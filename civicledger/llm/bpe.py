@@ -2,7 +2,8 @@
 
 Byte-level pre-tokenisation never joins a letter with a following full stop or comma, nor anything with a single space
 that another character follows. Texts are cut there, every different piece is encoded once per Python worker, and the
-ids are put together again; the result is that of encoding the whole text.
+ids are put together again; the result is that of encoding the whole text. A text that spells one of the tokenizer's
+added tokens is encoded as a whole, since these are found before any pre-tokenisation.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from civicledger.llm import textbytes as tb
 
@@ -40,7 +42,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
@@ -69,6 +71,20 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's ids start (and the last end)."""
+        whole = np.zeros(len(column), bool)
+        for name in self.added:
+            whole |= pc.fill_null(pc.match_substring(column, name), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_pieces(column)
+        ids, at = self._by_pieces(pc.if_else(pa.array(whole), pa.scalar("", column.type), column))
+        rows = np.flatnonzero(whole)
+        own = [np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32) for i in rows.tolist()]
+        lengths = np.diff(at)
+        lengths[rows] = [len(x) for x in own]
+        parts = [part for k, i in enumerate(rows.tolist()) for part in (ids[at[rows[k - 1]] if k else 0 : at[i]], own[k])]
+        return np.concatenate([*parts, ids[at[rows[-1]] :]]), np.r_[0, np.cumsum(lengths)]
+
+    def _by_pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = tb.buffer(column)
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)

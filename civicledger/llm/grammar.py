@@ -9,8 +9,8 @@ front of the block), ``n_tokens``, ``doc_ids`` and ``doc_tokens`` (ids per docum
 (the smallest rule symbol), ``rules`` (two uint32 per rule), ``lengths`` (uint32 per rule), ``symbols`` (the rewritten
 sequence, uint16 if all symbols fit, else uint32).
 
-Null or empty texts are documents of the end id alone. Null ids come first. Repeated rows are kept, next to each
-other. An empty table gives an empty folder of the same schema. Other columns are ignored.
+Null or empty texts are documents of the end id alone. Null ids come first. Rows that share an id are in the order
+of a hash of their texts; repeated rows are kept, next to each other. An empty table gives an empty folder of the same schema. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -179,7 +179,8 @@ def _encode_shard(tokenizer: str, end_id: int, block_tokens: int):
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, block_tokens: int = BLOCK_TOKENS) -> None:
     """Writes the ids of all texts in ascending ``doc_id`` order as shards of Re-Pair blocks below ``path``."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("order"))
+    ordered = keyed.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order")
     run = _encode_shard(tokenizer or bpe.default_path(), end_id, block_tokens)
     ordered.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
 

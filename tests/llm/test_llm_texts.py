@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import zlib
 
@@ -10,6 +11,7 @@ import llm_brute as brute
 import numpy as np
 import pyarrow as pa
 import pytest
+import tokenizers
 
 from civicledger.llm import bpe, components, credential_links, fmindex, grammar, packing, partenum, queries, radix_dedup, sharding, weighted_fingerprint
 from civicledger.session import scratch_dir
@@ -37,8 +39,13 @@ def nulls(spark):
     return spark.createDataFrame([(None,) * 10] * 2, brute.SCHEMA)
 
 
+@functools.cache
+def untouched():
+    return tokenizers.Tokenizer.from_file(bpe.default_path())
+
+
 def encoded(text, end):
-    return bpe.encoder(bpe.default_path()).tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+    return untouched().encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def crc(ids) -> int:
@@ -46,10 +53,24 @@ def crc(ids) -> int:
 
 
 def test_pieces_encode_like_whole_texts():
-    texts = ["a  b.\n\nC,d 'll I'm\n x", ".a .b..,c\r\n\r\n", "x y   z　　q", "\x1c a\x85\x85 b", "n1,2.5 é.é, end ", " \n a", "<|endoftext|> x", None, ""]
-    ids, at = bpe.encoder(bpe.default_path()).encode(pa.array(texts))
-    for k, text in enumerate(texts):
-        assert ids[at[k] : at[k + 1]].tolist() + [9] == encoded(text, 9)
+    texts = ["a  b.\n\nC,d 'll I'm\n x", ".a .b..,c\r\n\r\n", "x y   z　　q", "\x1c a\x85\x85 b", "n1,2.5 é.é, end ", " \n a", "<|endoftext|> x", None, "", "a  \n\n<|endoftext|>\n\n b. <|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext", "z"]
+    for kind in (pa.string(), pa.large_string()):
+        ids, at = bpe.encoder(bpe.default_path()).encode(pa.array(texts, kind))
+        assert len(at) == len(texts) + 1 and at[-1] == len(ids)
+        for k, text in enumerate(texts):
+            assert ids[at[k] : at[k + 1]].tolist() + [9] == encoded(text, 9)
+    assert encoded("<|endoftext|> x", 9) == [50256, 2124, 9]
+
+
+def test_tokens_of_rows_that_share_an_id_have_one_order(spark):
+    rows = [(None, f"text {k}", "x") for k in range(60)] + [(5, f"other {k % 7}", "y") for k in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, order string")
+    got = []
+    for parts in (1, 7):
+        path = scratch_dir(spark, "t")
+        grammar.write(frame.repartition(parts, "text"), path)
+        got.append(sorted(map(str, grammar.read_digests(spark, path).collect())))
+    assert got[0] == got[1]
 
 
 def test_grammar_round_trip_and_random_access():
