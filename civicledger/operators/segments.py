@@ -31,6 +31,35 @@ def cube_totals(df: DataFrame, dimensions: list[str], value: str) -> DataFrame:
     )
 
 
+def _signed_totals(df: DataFrame, dimensions: list[str], amount: Column, sign: Column, cube: bool) -> DataFrame:
+    known = F.when(amount.isNotNull(), sign).otherwise(0)
+    finest = df.groupBy(*dimensions).agg(F.sum(amount * sign).alias("_amount"), F.sum(sign).alias("_n"), F.sum(known).alias("_known"))
+    expanded = finest.cube(*dimensions) if cube else finest.rollup(*dimensions)
+    sums = [F.sum(f"_{c}").alias(c) for c in ("amount", "n", "known")]
+    return expanded.agg(*sums, F.grouping_id().cast("int").alias("grouping"))
+
+
+def kept_subtotals(df: DataFrame, dimensions: list[str], value: str, cube: bool = False) -> DataFrame:
+    """Subtotals that can be kept up: ``amount``, ``n`` (facts), ``known`` (facts with an amount), ``grouping``.
+
+    Over the levels of a hierarchy, or over every combination of dimensions. ``grouping`` tells a subtotal from a null.
+    """
+    return _signed_totals(df, dimensions, F.col(value), F.lit(1).cast("long"), cube)
+
+
+def changed_subtotals(stored: DataFrame, changes: DataFrame, dimensions: list[str], value: str, sign: str = "sign", cube: bool = False) -> DataFrame:
+    """Stored subtotals after facts were added (``sign`` 1) or deleted (-1); a replaced fact is both.
+
+    Only the changes are expanded over the levels; what they add up to is merged into the stored rows by one grouping.
+    A subtotal is dropped when its last fact is deleted, its amount is null when no fact with an amount is left.
+    """
+    delta = _signed_totals(changes, dimensions, F.col(value), F.col(sign).cast("long"), cube)
+    both = stored.select(*delta.columns).unionByName(delta)
+    sums = [F.sum(c).alias(c) for c in ("n", "known")]
+    merged = both.groupBy(*dimensions, "grouping").agg(F.sum("amount").alias("amount"), *sums).where("n <> 0")
+    return merged.select(*dimensions, F.when(F.col("known") > 0, F.col("amount")).alias("amount"), "n", "known", "grouping")
+
+
 def pivot_classes(df: DataFrame, by: list[str], column: str, values: list, value: str) -> DataFrame:
     """One column per expense class plus their total; the classes are given, so no scan looks for them."""
     wide = df.groupBy(*by).pivot(column, values).agg(F.sum(value))

@@ -13,7 +13,7 @@ from civicledger.operators import segments as G
 from civicledger.plans import standins as S
 from civicledger.plans.registry import query
 from civicledger.session import scratch_dir
-from civicledger.sources.processed import read_processed, write_processed
+from civicledger.sources.processed import read_processed, write_changed, write_processed
 from civicledger.sources.registry import SourceRegistry
 from civicledger.sources.tables import table
 
@@ -318,6 +318,30 @@ def segment_cube(spark: SparkSession, folder: str) -> DataFrame:
     return totals.withColumn("amount", F.col("amount").cast(MONEY))
 
 
+@query(
+    "subtotal_changes",
+    f"""
+WITH facts AS (
+  SELECT r_name AS region, s_suppkey, l_returnflag AS class, l_linestatus AS phase, l_orderkey % 15 AS k, sum({PRICE_SQL}) AS price
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL
+), now AS (SELECT region, class, phase, CASE WHEN k % 5 = 1 THEN price + 1 ELSE price END AS price FROM facts WHERE k % 3 <> 2 OR k % 5 = 1)
+SELECT region, class, phase, CAST(sum(price) AS DECIMAL(20, 2)) AS amount, count(*) AS n, CAST(grouping(region) * 4 + grouping(class) * 2 + grouping(phase) AS INTEGER) AS grouping
+FROM now GROUP BY CUBE (region, class, phase)""",
+)
+def subtotal_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A cube kept up while facts are replaced and deleted, in two rounds, equals that of the facts that are left."""
+    keys = [F.col("l_returnflag").alias("class"), F.col("l_linestatus").alias("phase"), (F.col("l_orderkey") % 15).alias("k")]
+    facts = _spent(spark, folder, keys, price=price())
+    replaced, dropped = F.col("k") % 5 == 1, (F.col("k") % 3 == 2) & (F.col("k") % 5 != 1)
+    signed = lambda df, sign: df.withColumn("sign", F.lit(sign))
+    dearer = facts.where(replaced).withColumn("price", (F.col("price") + 1).cast(facts.schema["price"].dataType))
+    dimensions = ["region", "class", "phase"]
+    cube = G.kept_subtotals(facts, dimensions, "price", cube=True)
+    for changes in (signed(facts.where(replaced), -1).unionByName(signed(dearer, 1)), signed(facts.where(dropped), -1)):
+        cube = G.changed_subtotals(cube, changes, dimensions, "price", cube=True)
+    return cube.select(*dimensions, F.col("amount").cast(MONEY).alias("amount"), "n", "grouping")
+
+
 @query(
     "class_pivot",
     f"""
@@ -519,6 +543,25 @@ def processed_sink(spark: SparkSession, folder: str) -> DataFrame:
     return read_processed(spark, path)
 
 
+@query(
+    "processed_changes",
+    f"""
+WITH {SPENT_SQL}, p AS (SELECT DISTINCT CAST(year AS INTEGER) AS fiscal_year, CAST(quarter AS INTEGER) AS quarter FROM spent)
+SELECT 1 AS run, fiscal_year, quarter, 'written' AS action FROM p
+UNION ALL SELECT 3, fiscal_year, quarter, CASE WHEN fiscal_year = 1998 THEN 'written' ELSE 'removed' END FROM p WHERE (fiscal_year = 1998 AND quarter = 1) OR (fiscal_year = 1993 AND quarter = 2)""",
+)
+def processed_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts written, written again unchanged, and again with one period changed and one gone: what each run did."""
+    keys = [F.year("l_shipdate").alias("fiscal_year"), F.quarter("l_shipdate").alias("quarter"), F.col("l_returnflag").alias("expense_class")]
+    facts = _spent(spark, folder, keys, amount=price()).groupBy("fiscal_year", "quarter", "region", "expense_class").agg(F.sum("amount").cast(MONEY).alias("amount"))
+    changed = (F.col("fiscal_year") == 1998) & (F.col("quarter") == 1)
+    gone = (F.col("fiscal_year") == 1993) & (F.col("quarter") == 2)
+    later = facts.where(~gone).withColumn("amount", F.when(changed, F.col("amount") + 1).otherwise(F.col("amount")).cast(MONEY))
+    path = scratch_dir(spark, "processed-changes")
+    done = [(run, *action) for run, state in enumerate([facts, facts.repartition(3), later], 1) for action in write_changed(spark, state, path)]
+    return spark.createDataFrame(done, "run int, fiscal_year int, quarter int, action string")
+
+
 # ---------------------------------------------------------------- crosswalk and checks
 
 NAMED_SQL = """

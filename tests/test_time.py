@@ -1,18 +1,23 @@
-"""Values that hold at a time, validity spans, one-to-one choices and versions of the manifest."""
+"""Values that hold at a time, validity spans, one-to-one choices, and tables kept up while facts change."""
 
 from __future__ import annotations
 
+import glob
+import os
 import random
 import threading
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from civicledger.operators import crosswalk as C
+from civicledger.operators import segments as G
 from civicledger.operators.asof import as_of
 from civicledger.session import scratch_dir
 from civicledger.sources.manifest_versions import VersionedManifest
+from civicledger.sources.processed import read_processed, write_changed
 
 
 def plain_as_of(facts, steps):
@@ -124,3 +129,37 @@ def test_versions_stay_as_they_were(spark):
     stale.versions = lambda: [1]  # a writer that hasn't seen the others: its number is taken
     assert stale._put_if_absent(2, {"live": []}) is False
     assert manifest.read().where(F.col("relative_path") == "a").count() == 1
+
+
+def test_subtotals_kept_up_equal_full_ones(spark):
+    rng = random.Random(7)
+    fact = lambda: (rng.choice(["a", "b", None]), rng.choice(["x", "y", None]), rng.choice([None, Decimal(1), Decimal(rng.randint(-9, 9))]))
+    schema = "d string, e string, v decimal(20,2)"
+    for cube in (False, True):
+        held = [fact() for _ in range(40)]
+        stored = G.kept_subtotals(spark.createDataFrame(held, schema), ["d", "e"], "v", cube)
+        for _ in range(3):
+            gone = [held.pop(rng.randrange(len(held))) for _ in range(min(len(held), rng.randint(5, 18)))]
+            new = [fact() for _ in range(rng.randint(0, 6))]
+            held += new
+            changes = spark.createDataFrame([(*f, -1) for f in gone] + [(*f, 1) for f in new], schema + ", sign int")
+            stored = G.changed_subtotals(stored, changes, ["d", "e"], "v", cube=cube)
+            full = G.kept_subtotals(spark.createDataFrame(held, schema), ["d", "e"], "v", cube)
+            assert sorted(map(str, stored.collect())) == sorted(map(str, full.select(*stored.columns).collect()))
+        everything = spark.createDataFrame([(*f, -1) for f in held], schema + ", sign int")
+        assert G.changed_subtotals(stored, everything, ["d", "e"], "v", cube=cube).count() == 0
+
+
+def test_only_changed_periods_are_written(spark):
+    path = scratch_dir(spark, "changed")
+    rows = [(y, q, k, Decimal(k)) for y in (2011, 2012, None) for q in ("Q1", "Q2") for k in range(5)]
+    frame = lambda rows: spark.createDataFrame(rows, "fiscal_year int, quarter string, k int, amount decimal(20,2)").repartition(2)
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/fiscal_year=*/*/*.parquet")}
+    assert len(write_changed(spark, frame(rows), path)) == 6
+    before = files()
+    assert write_changed(spark, frame(rows[::-1]), path) == [] and files() == before
+    changed = [(y, q, k, a + 1 if (y, q, k) == (2012, "Q1", 3) else a) for y, q, k, a in rows if (y, q) != (None, "Q2")]
+    assert sorted(write_changed(spark, frame(changed), path), key=str) == [(2012, "Q1", "written"), (None, "Q2", "removed")]
+    assert {f.split("fiscal_year=")[1][:7] for f in set(files()) ^ set(before)} == {"2012/qu", "__HIVE_"}
+    assert sorted(map(str, read_processed(spark, path).select("fiscal_year", "quarter", "k", "amount").collect())) == sorted(map(str, frame(changed).collect()))
+    assert write_changed(spark, frame(rows), path) and write_changed(spark, frame([rows[0], rows[0]]).limit(0), path)
