@@ -40,6 +40,19 @@ def parquet_status(head: Column, tail: Column) -> Column:
     )
 
 
+def parquet_footer_status(head: Column, tail: Column, size: Column) -> Column:
+    """``ok``, the end that lacks the signature, or ``impossible_footer``: a length that the file has no room for.
+
+    ``tail`` are the last eight bytes at least; before the closing signature they state the length of the footer, which
+    lies between the opening signature and these eight.
+    """
+    digits = F.hex(F.substring(tail, -8, 4))
+    length = F.conv(F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)]), 16, 10).cast("bigint")
+    fits = (F.octet_length(tail) >= 8) & (length > 0) & (length + 12 <= size)
+    signed = parquet_status(head, tail)
+    return F.when(signed != "ok", signed).when(F.coalesce(fits, F.lit(False)), "ok").otherwise("impossible_footer")
+
+
 def workbook_status(head: Column, tail: Column) -> Column:
     """``valid``, or why the bytes cannot be a zip-based workbook.
 

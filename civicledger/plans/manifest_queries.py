@@ -11,6 +11,7 @@ from civicledger.functions.files import (
     ZIP_LOCAL_HEADER,
     ZIP_TAIL_BYTES,
     content_sha256,
+    parquet_footer_status,
     parquet_status,
     workbook_status,
 )
@@ -60,6 +61,25 @@ def parquet_magic(spark: SparkSession, folder: str) -> DataFrame:
     return ends.select(_source(), status.alias("status")).distinct()
 
 
+@query(
+    "parquet_footers",
+    """SELECT source, CASE doc_id % 5 WHEN 0 THEN 'ok' WHEN 3 THEN 'truncated' WHEN 4 THEN 'bad_header' ELSE 'impossible_footer' END AS status, count(*) AS n_files
+FROM documents GROUP BY ALL""",
+)
+def parquet_footers(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents between the marks of Parquet, whose stated footer fits or doesn't: files by status."""
+    kind = (F.col("doc_id") % 5).cast("int")
+    body = F.encode(F.concat(F.lit("."), F.coalesce("text", F.lit(""))), "UTF-8")
+    length = F.octet_length(body) + F.when(kind == 1, 1).otherwise(0)
+    digits = F.lpad(F.hex(F.when(kind == 2, 0).otherwise(length)), 8, "0")
+    stated = F.unhex(F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)]))
+    magic, other = F.lit(PARQUET_MAGIC), F.lit(b"none")
+    content = F.concat(F.when(kind == 4, other).otherwise(magic), body, stated, F.when(kind == 3, other).otherwise(magic))
+    files = table(spark, folder, "documents").select("source", content.alias("content"))
+    status = parquet_footer_status(F.substring("content", 1, 4), F.substring("content", -8, 8), F.octet_length("content"))
+    return files.groupBy("source", status.alias("status")).agg(F.count("*").alias("n_files"))
+
+
 # A zip's end record that states a comment of one byte: the line end that the text writer adds.
 _END_RECORD = ZIP_END_OF_DIRECTORY + b"\0" * 16 + b"\1\0"
 

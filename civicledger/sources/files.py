@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from civicledger.functions.files import is_hidden
 
 HIDDEN = ".git"
-# Schemes that tasks can open by themselves, and the name they go by there. Others are read by Spark.
+# Schemes that tasks can open by themselves, and the name they go by there.
 _OPENED = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
 
 
@@ -90,15 +90,16 @@ def _read_ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[["relative_path", "size_bytes"]].assign(head=heads, tail=tails, error=errors)
 
 
-def file_ends(spark: SparkSession, root: str, glob: str | None = None, tail_bytes: int = 4) -> DataFrame:
+def file_ends(spark: SparkSession, root: str, glob: str | None = None, tail_bytes: int = 4, direct: tuple[str, ...] = ("file",)) -> DataFrame:
     """First four and last ``tail_bytes`` bytes of each file, or the ``error`` that reading it met.
 
-    Spark has no reader for a byte range, and ``binaryFile`` would load whole files. The tasks seek instead, so
-    the bytes read per file are constant and files may exceed 2 GiB. In stores that only Spark's own readers
-    reach, whole files are read after all.
+    Spark has no reader for a byte range, and ``binaryFile`` would load whole files. In the schemes of ``direct`` the
+    tasks seek instead, so the bytes read per file are constant and files may exceed 2 GiB. An object store may be named
+    there if the workers' own credentials reach it; by default it is read through the session's file system, whole
+    files then.
     """
     listing = _listing(spark, root, glob)
-    if _base(spark, root)[1].split(":", 1)[0] in _OPENED:
+    if _base(spark, root)[1].split(":", 1)[0] in set(direct) & set(_OPENED):
         dealt = listing.withColumn("tail_bytes", F.lit(tail_bytes)).repartition("path")
         return dealt.mapInPandas(_read_ends, "relative_path string, size_bytes long, head binary, tail binary, error string")
     whole = read_files(spark, root, glob).select("relative_path", F.substring("content", 1, 4).alias("head"), F.substring("content", -tail_bytes, tail_bytes).alias("tail"))

@@ -9,7 +9,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from civicledger.functions.files import ZIP_END_OF_DIRECTORY, matches_allowed, parquet_status, workbook_status
+from civicledger.functions.files import ZIP_END_OF_DIRECTORY, matches_allowed, parquet_footer_status, parquet_status, workbook_status
 from civicledger.functions.json_text import is_json, json_scalars
 from civicledger.functions.links import detect_quarter, detect_year, link_extension, score_text, slug_name
 from civicledger.functions.money import clean_amount, clean_rate, is_quarantined
@@ -217,3 +217,19 @@ def test_json_by_structure(spark):
         assert all(r.value == v for r, (_, v) in zip(got[i][1], want) if isinstance(v, str))
     assert all(got[i] == (False, None) for i in range(len(good), len(good) + len(bad)))
     assert spark.range(1).select(json_scalars(F.lit(None).cast("string")).alias("x")).first().x is None
+
+
+def test_parquet_footers(spark):
+    size = lambda n: n.to_bytes(4, "little")
+    cases = {
+        b"PAR1" + b"x" * 300 + size(300) + b"PAR1": "ok",
+        b"PAR1" + b"x" * 300 + size(301) + b"PAR1": "impossible_footer",
+        b"PAR1" + b"x" * 300 + size(0) + b"PAR1": "impossible_footer",
+        b"PAR1" + b"x" * 300 + b"\xff\xff\xff\xffPAR1": "impossible_footer",
+        b"PAR1": "impossible_footer",
+        b"PAR1" + b"x" * 300: "truncated",
+        b"PAR2" + b"x" * 300 + size(300) + b"PAR1": "bad_header",
+        b"": "bad_header",
+    }
+    rows = [(bytearray(c[:4]), bytearray(c[-8:]), len(c)) for c in cases]
+    assert evaluate(spark, rows, "head binary, tail binary, size bigint", parquet_footer_status(F.col("head"), F.col("tail"), F.col("size"))) == list(cases.values())
