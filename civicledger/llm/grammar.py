@@ -1,7 +1,7 @@
 """Token-id files compressed by Re-Pair grammars, with random access to any document.
 
 Documents are ordered by id and dealt into shards by range. A shard holds blocks of whole documents. In each block
-frequent pairs of neighbouring ids are replaced by new symbols, round after round; the block keeps the rules and the
+frequent pairs of neighbouring ids are replaced by new symbols, round after round, until no pair is frequent; the block keeps the rules and the
 number of ids each rule expands to, so any range of ids is decoded without the rest.
 
 File format (Parquet, one row per block): ``shard``, ``block`` (order in the shard), ``before`` (ids of the shard in
@@ -28,7 +28,7 @@ from civicledger.llm import bpe
 from civicledger.llm import textbytes as tb
 
 BLOCK_TOKENS = 1 << 20
-ROUNDS = 4
+#: Rules made at once, before pairs are counted anew; rounds go on as long as a pair occurs ``LEAST_COUNT`` times.
 RULES_A_ROUND = 1024
 LEAST_COUNT = 16
 SYMBOLS = 1 << 24
@@ -67,10 +67,14 @@ def choose_pairs(sequence: np.ndarray, most: int, least: int) -> list[tuple[int,
     return chosen
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, a_round: int = RULES_A_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, rules (n x 2) and expansion lengths. Symbol ``base + i`` stands for rule i."""
+def compress(ids: np.ndarray, base: int, a_round: int = RULES_A_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, rules (n x 2) and expansion lengths. Symbol ``base + i`` stands for rule i.
+
+    Ends when no pair occurs ``least`` times: each round replaces every occurrence of its pairs but those that runs of
+    one symbol overlap.
+    """
     sequence, rules, lengths = ids.astype(np.int64), [], []
-    for _ in range(rounds):
+    while True:
         pairs = choose_pairs(sequence, min(a_round, SYMBOLS - base - len(rules)), least) if len(sequence) > 1 else []
         if not pairs:
             break

@@ -76,7 +76,7 @@ def test_tokens_of_rows_that_share_an_id_have_one_order(spark):
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     ids = np.r_[np.tile([5, 6, 7], 400), rng.integers(0, 9, 3000), np.zeros(500, int)].astype(np.uint32)
-    symbols, rules, lengths = grammar.compress(ids, 100, rounds=6, least=4)
+    symbols, rules, lengths = grammar.compress(ids, 100, least=4)
     assert len(symbols) < len(ids) / 2 and len(rules)
     assert (grammar.expand(symbols, rules, 100) == ids).all()
     for start, stop in [(0, 1), (17, 18), (1199, 1300), (4000, len(ids)), (5, 5)]:
@@ -84,6 +84,19 @@ def test_grammar_round_trip_and_random_access():
     assert not len(grammar.expand(np.empty(0, np.int64), rules, 100))
 
 
+def test_repeated_passages_become_one_symbol():
+    passage = np.random.default_rng(5).permutation(500) + 100
+    ids = np.concatenate([np.r_[k, passage] for k in range(40)]).astype(np.uint32)
+    symbols, rules, lengths = grammar.compress(ids, 1000)
+    assert len(symbols) == 80 and len(set(symbols[1::2].tolist())) == 1 and lengths[symbols[1] - 1000] == 500
+    assert (grammar.decode(symbols, rules, lengths, 1000, 507, 1100) == ids[507:1100]).all()
+    # Nothing frequent is left, however the pairs came about.
+    ids = np.random.default_rng(6).zipf(1.3, 60_000) % 50
+    symbols, rules, lengths = grammar.compress(ids, 50)
+    pairs = collections.Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    assert max(n for (a, b), n in pairs.items() if a != b) < grammar.LEAST_COUNT and (grammar.expand(symbols, rules, 50) == ids).all()
+
+
 def test_token_files(spark, docs, rows, empty, nulls):
     path = scratch_dir(spark, "t")
     grammar.write(docs, path, block_tokens=5000)
