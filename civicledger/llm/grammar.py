@@ -116,6 +116,34 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return symbols
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """The ids that the symbols stand for, by expanding every rule once; for whole blocks."""
+    ends = np.cumsum(lengths)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, symbols.dtype)
+    place = np.r_[0, ends].tolist()
+    for k, (a, b) in enumerate(rules.tolist()):
+        at = place[k]
+        for x in (a, b):
+            if x < base:
+                flat[at] = x
+                at += 1
+            else:
+                part = flat[place[x - base] : place[x - base + 1]]
+                flat[at : at + len(part)] = part
+                at += len(part)
+    is_rule = symbols >= base
+    which = symbols[is_rule].astype(np.int64) - base
+    sizes = np.ones(len(symbols), np.int64)
+    sizes[is_rule] = lengths[which]
+    before = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), symbols.dtype)
+    out[before[~is_rule]] = symbols[~is_rule]
+    own = sizes[is_rule]
+    steps = tb.ranges(own)
+    out[np.repeat(before[is_rule], own) + steps] = flat[np.repeat((ends - lengths)[which], own) + steps]
+    return out
+
+
 def decode(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, start: int = 0, stop: int | None = None) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a block; only the symbols that cover them are expanded."""
     sizes = np.r_[np.ones(base, np.int64), lengths][symbols] if len(lengths) else np.ones(len(symbols), np.int64)
@@ -195,7 +223,7 @@ def _decode_blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             base = row["base"]
             rules, lengths = np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["lengths"], "<u4").astype(np.int64)
             width = np.uint16 if base + len(rules) <= 1 << 16 else np.uint32
-            ids = decode(np.frombuffer(row["symbols"], width).astype(np.uint32), rules, lengths, base).astype("<u4")
+            ids = expand_all(np.frombuffer(row["symbols"], width).astype(np.uint32), rules, lengths, base).astype("<u4")
             counts = np.array(row["doc_tokens"], np.int64)
             ends = np.cumsum(counts)
             starts, view = ends - counts, memoryview(ids).cast("B")

@@ -78,10 +78,12 @@ def test_grammar_round_trip_and_random_access():
     ids = np.r_[np.tile([5, 6, 7], 400), rng.integers(0, 9, 3000), np.zeros(500, int)].astype(np.uint32)
     symbols, rules, lengths = grammar.compress(ids, 100, least=4)
     assert len(symbols) < len(ids) / 2 and len(rules)
-    assert (grammar.expand(symbols, rules, 100) == ids).all()
+    assert (grammar.expand(symbols, rules, 100) == ids).all() and (grammar.expand_all(symbols, rules, lengths, 100) == ids).all()
     for start, stop in [(0, 1), (17, 18), (1199, 1300), (4000, len(ids)), (5, 5)]:
         assert (grammar.decode(symbols, rules, lengths, 100, start, stop) == ids[start:stop]).all()
-    assert not len(grammar.expand(np.empty(0, np.int64), rules, 100))
+    assert not len(grammar.expand(np.empty(0, np.int64), rules, 100)) and not len(grammar.expand_all(np.empty(0, np.int64), rules, lengths, 100))
+    plain = np.arange(9, dtype=np.int64)
+    assert (grammar.expand_all(plain, np.empty((0, 2), np.int64), np.empty(0, np.int64), 100) == plain).all()
 
 
 def test_repeated_passages_become_one_symbol():
