@@ -238,7 +238,7 @@ def _remove(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Spans to remove: ``d``, ``h`` (the row's key), ``s`` and ``e`` (bytes, end exclusive); they may overlap."""
     base = scratch_dir(spark, "radix")
-    rows = keyed(docs).select("d", "h", "text")
+    rows = once(spark, keyed(docs).select("d", "h", "text"), base)
     found = rows.mapInArrow(_stretch(depth, gram), _STRETCH)
     same, any_ = Window.partitionBy("anchor", "whole"), Window.partitionBy("anchor")
     dealt = found.repartition("anchor")
@@ -274,6 +274,15 @@ def repeats(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, gram: int
     return out.union(later.select("d", "h", F.col("at").alias("s"), (F.col("at") + depth).alias("e")))
 
 
+def once(spark: SparkSession, rows: DataFrame, base: str) -> DataFrame:
+    """One of all rows that share ``d`` and ``h``; only texts whose key may occur again are shuffled."""
+    own = rows.withColumn("k", F.xxhash64("d", "h"))
+    own.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k").write.parquet(f"{base}/again")
+    again, others = prefilter.split(own, "k", spark.read.schema("k bigint").parquet(f"{base}/again"))
+    again.groupBy("d", "h").agg(F.first("text").alias("text")).write.parquet(f"{base}/once")
+    return others.select("d", "h", "text").union(spark.read.schema("d bigint, h bigint, text string").parquet(f"{base}/once"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))

@@ -1,20 +1,22 @@
 """Toxic passages: maximum-scoring segments over token log-odds, calibrated by extreme values.
 
 Words are runs of letters and digits, A-Z lower-cased. A word's score is its log-odds between toxic and other labelled
-texts with an informative Dirichlet prior (the pooled frequencies; a text counts a word once, and of near copies one
-counts); only words with a large likelihood ratio keep it, all others get a small negative score, so that the drift in
+texts with an informative Dirichlet prior (the pooled frequencies; a text counts a word once, and a near copy of another
+one doesn't count); only words with a large likelihood ratio keep it, all others get a small negative score, so that the drift in
 clean text is negative. In each
 text all maximal segments (those that no neighbour improves) are found in one pass. Under the clean word frequencies
 the best score of n words follows an extreme-value law with parameters lambda and K; it turns scores into expected
 numbers of such segments by chance. A logistic curve over the significant segments gives the document's score.
 
 Bounded, and documented as such: the model is fitted on at most ``sample_rows`` labelled rows (the smallest by a hash
-of their id) and keeps at most ``most_words`` words. Everything else covers all rows.
+of their id), which bound its words. Everything else covers all rows. Scores of words are multiples of 2^-20, so sums
+are exact and neither the model nor a score depends on how rows are dealt out.
 
 Only rows that may be learnt from are used: those for which crc32 of the id, as text, modulo 3 isn't 1. Labels are
 used in no other way. Null and empty texts have no segments and get the score of a text without any. Without usable
-labels, or with one class only, every score is 0. A null id counts as not held out. Repeated rows and other columns
-change nothing; an empty table gives an empty result.
+labels, or with one class only, every score is 0. A null id counts as not held out. Of texts that share an id one is
+learnt from. Repeated rows and other columns change nothing; an empty table gives an empty result. A text of any length
+is scored in one pass.
 """
 
 from __future__ import annotations
@@ -29,13 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicledger.llm import textbytes as tb
+from civicledger.session import scratch_dir
 
 SAMPLE_ROWS = 30_000
-MOST_WORDS = 50_000
 LEAST_GAIN = 18.0
 LEAST_ODDS = 1.0
 PRIOR_TEXTS = 2.0
-DRIFT = 0.05
+#: Scores are multiples of 1 / UNIT.
+UNIT = 1 << 20
+DRIFT = round(0.05 * UNIT) / UNIT
+ALIKE = 0.8
+SKETCHES = 4
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 
@@ -111,13 +117,33 @@ def features(model: Model, n_words: int, found: list[tuple[int, int, float]]) ->
     return float(np.log1p(max(0.0, value.max()))), float(np.log1p(good.sum())), float(np.log1p(1000 * len(good) / max(n_words, 1)))
 
 
-def _sketch(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The smallest hash of three consecutive words, which near copies mostly share."""
+def _triples(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The set of three consecutive words of each text (with fewer, all of them as one), and its smallest members by some hashes."""
     for batch in tb.batches(stream):
         hashed, first = tb.lowered_words(batch.column("text"), tb.ALNUM)
-        triples = tb.mix(hashed[2:] + np.uint64(3) * hashed[1:-1] + np.uint64(7) * hashed[:-2]) >> np.uint64(1)
-        least = [int(triples[a : b - 2].min()) if b - a > 2 else -a for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(least, pa.int64())], names=["doc_id", "toxic", "sketch"])
+        triples = tb.mix(hashed[2:] + np.uint64(3) * hashed[1:-1] + np.uint64(7) * hashed[:-2])
+        sets, sketches = [], []
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            few = tb.mix((hashed[a:b] * np.array([5, 11], np.uint64)[: b - a]).sum(keepdims=True) + np.uint64(b - a)) if b - a < 3 else None
+            sets.append(np.unique(triples[a : b - 2] if few is None else few).view(np.int64))
+            sketches.append([int(tb.mix(sets[-1].view(np.uint64) + np.uint64(k) * tb._PRIME).min() >> np.uint64(1)) for k in range(SKETCHES)])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(sets, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], names=["doc_id", "toxic", "triples", "sketches"])
+
+
+def copies(texts: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """(doc_id, toxic) of the texts that are near copies of one of their class with a smaller id.
+
+    Each is compared with the smallest id that has the same member of its set by one of ``SKETCHES`` hashes, and is a copy
+    if the Jaccard similarity of the whole sets is ``alike`` or more. Ids must be distinct within a class.
+    """
+    sets = texts.mapInArrow(_triples, "doc_id bigint, toxic int, triples array<bigint>, sketches array<bigint>")
+    keys = sets.select("doc_id", "toxic", F.posexplode("sketches").alias("k", "least"))
+    firsts = keys.groupBy("toxic", "k", "least").agg(F.min("doc_id").alias("first"))
+    pairs = keys.join(firsts, ["toxic", "k", "least"]).filter("first < doc_id").select("doc_id", "toxic", "first").distinct()
+    other = sets.select(F.col("doc_id").alias("first"), "toxic", F.col("triples").alias("others"))
+    both = pairs.join(sets.select("doc_id", "toxic", "triples"), ["doc_id", "toxic"]).join(other, ["first", "toxic"])
+    common = F.size(F.array_intersect("triples", "others"))
+    return both.filter(common >= alike * (F.size("triples") + F.size("others") - common)).select("doc_id", "toxic").distinct()
 
 
 def _count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,26 +190,27 @@ def _chance_rate(scores: np.ndarray, share: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = MOST_WORDS, least_gain: float = LEAST_GAIN) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, least_gain: float = LEAST_GAIN) -> Model:
     """Learns from the labelled rows that aren't held out."""
     usable = labels.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     few = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct().orderBy(F.xxhash64("doc_id", "toxic")).limit(sample_rows)
     known = [tuple(r) for r in few.collect()]
     if len({toxic for _, toxic in known}) < 2:
         return Model()
-    session = docs.sparkSession
-
-    def labelled(rows: list[tuple]) -> DataFrame:
-        return docs.select("doc_id", "text").join(F.broadcast(session.createDataFrame(rows, "doc_id bigint, toxic int")), "doc_id")
-
-    # One of several near copies is enough: a copied text would make all its words look telling.
-    sketches = labelled(known).mapInArrow(_sketch, "doc_id bigint, toxic int, sketch bigint")
-    known = [(r.doc_id, r.toxic) for r in sketches.groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").distinct().collect()]
-    n_yes = sum(toxic for _, toxic in known)
-    n_no = len(known) - n_yes
+    session, path = docs.sparkSession, scratch_dir(docs.sparkSession, "toxicity")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return session.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    labelled = docs.select("doc_id", "text").join(F.broadcast(session.createDataFrame(known, "doc_id bigint, toxic int")), "doc_id")
+    texts = kept(labelled.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "texts")
+    # A copied text would make all its words look telling.
+    sample = texts.join(F.broadcast(kept(copies(texts), "copies")), ["doc_id", "toxic"], "left_anti").select("text", "toxic")
+    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n_yes, n_no = sizes.get(1, 0), sizes.get(0, 0)
     if not n_yes or not n_no:
         return Model()
-    sample = labelled(known).select("text", "toxic")
     counts = sample.mapInArrow(_count, "word bigint, yes bigint, no bigint").groupBy("word").agg(F.sum("yes").cast("double").alias("yes"), F.sum("no").cast("double").alias("no"))
     pooled = F.lit(PRIOR_TEXTS) * (F.col("yes") + F.col("no")) / (n_yes + n_no)
     rate = lambda n, all_: (n + pooled) / (all_ + PRIOR_TEXTS)
@@ -193,15 +220,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, most
     term = lambda n, all_: F.when(n > 0, 2 * n * F.log(n * (n_yes + n_no) / ((F.col("yes") + F.col("no")) * all_))).otherwise(F.lit(0.0))
     gain = term(F.col("yes"), n_yes) + term(F.col("no"), n_no)
     rated = counts.select("word", no_rate.alias("no_rate"), delta.alias("delta"), gain.alias("gain")).filter((F.col("gain") >= least_gain) & (F.abs("delta") >= LEAST_ODDS))
-    kept = sorted(rated.orderBy(F.col("gain").desc(), "word").limit(most_words).collect(), key=lambda r: r.word & (1 << 64) - 1)
+    words = sorted(rated.collect(), key=lambda r: r.word & (1 << 64) - 1)
     words_a_text = counts.agg(F.sum("no")).first()[0] or n_no
-    model = Model(np.array([r.word for r in kept], np.int64).view(np.uint64), np.array([r.delta - DRIFT for r in kept]))
-    share = np.array([r.no_rate for r in kept]) * n_no / words_a_text
+    model = Model(np.array([r.word for r in words], np.int64).view(np.uint64), np.round(np.array([r.delta - DRIFT for r in words]) * UNIT) / UNIT)
+    share = np.array([r.no_rate for r in words]) * n_no / words_a_text
     model.rate = _chance_rate(np.r_[model.scores, -DRIFT], np.r_[share, max(0.0, 1 - share.sum())])
-    rows = np.array(_collect(sample, model))
+    rows = np.array(sorted(_collect(sample, model)))
     clean = rows[rows[:, 0] == 0]
     model.scale = float(len(clean) / max(1e-9, (np.maximum(clean[:, 1], 1) * np.exp(-model.rate * clean[:, 2])).sum()))
-    rows = np.array(_collect(sample, model))
+    rows = np.array(sorted(_collect(sample, model)))
     model.curve = _logistic(rows[:, 3:], rows[:, 0])
     return model
 

@@ -5,8 +5,8 @@ Below each host a path segment is kept literally if it holds at least 1/``childr
 siblings (Chernoff's bound, divided by the number of labelled siblings); digits only by their labels, of more than one
 document. All other segments become wildcards by their shape (digits, digits with a suffix, anything). Below ``depth``
 segments a template goes on as long as its labelled pages are both good and bad; otherwise the rest is one wildcard.
-Sibling templates whose labelled shares don't
-differ significantly are merged. A template's purity is its share of good labelled pages, smoothed towards its host,
+Sibling templates whose labelled shares don't differ
+significantly are merged; those without labels join none and keep the prior. A template's purity is its share of good labelled pages, smoothed towards its host,
 which is smoothed towards all pages; templates below ``least`` are blocked.
 
 Null URLs and those without "://" have an empty host and path and the template of no segments. Pages without a label
@@ -99,13 +99,13 @@ def templates(spark: SparkSession, rows: DataFrame, children: int = CHILDREN, de
 
 
 def _merge(parent: pd.DataFrame) -> pd.DataFrame:
-    """Numbers the groups of siblings whose labelled shares are alike; the labels bound the number of siblings."""
+    """Numbers the groups of labelled siblings whose shares are alike; the labels bound the number of siblings."""
     own = parent.assign(rate=(parent.good + 1) / (parent.labelled + 2)).sort_values(["rate", "template"])
     group, good, labelled, numbers = -1, 0.0, 0.0, []
     for row in own.itertuples():
         pooled = (good + row.good) / max(1.0, labelled + row.labelled)
-        spread = math.sqrt(max(1e-9, pooled * (1 - pooled)) * (1 / max(1e-9, labelled) + 1 / max(1e-9, row.labelled))) if labelled and row.labelled else math.inf
-        if group < 0 or abs(row.good / max(1.0, row.labelled) - good / max(1.0, labelled)) > ALIKE_Z * spread:
+        spread = math.sqrt(max(1e-9, pooled * (1 - pooled)) * (1 / max(1.0, labelled) + 1 / row.labelled))
+        if group < 0 or abs(row.good / row.labelled - good / max(1.0, labelled)) > ALIKE_Z * spread:
             group, good, labelled = group + 1, 0.0, 0.0
         good, labelled = good + row.good, labelled + row.labelled
         numbers.append(group)
@@ -115,7 +115,8 @@ def _merge(parent: pd.DataFrame) -> pd.DataFrame:
 def purities(tagged: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     """``host``, ``template`` and ``purity`` of its merged branch. ``tagged`` has ``good`` (0 or 1, null: unknown)."""
     one = tagged.groupBy("host", "parent", "template").agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"), F.count("good").cast("double").alias("labelled"))
-    merged = one.groupBy("host", "parent").applyInPandas(_merge, "host string, parent string, template string, good double, labelled double, branch int")
+    merged = one.filter("labelled > 0").groupBy("host", "parent").applyInPandas(_merge, "host string, parent string, template string, good double, labelled double, branch int")
+    merged = merged.union(one.filter("labelled = 0").select("host", "parent", "template", "good", "labelled", F.lit(-1)))
     total = tagged.agg(F.avg("good")).first()[0]
     overall = 1.0 if total is None else float(total)
     smooth = lambda good, all_, prior: (good + smoothing * prior) / (all_ + smoothing)

@@ -9,6 +9,7 @@ import zlib
 import llm_brute as brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -70,6 +71,19 @@ def test_small_and_deep_bad_sections_are_told_apart(spark):
     assert {r.page_id for r in got if r.verdict == "block"} == {n for n, s in of.items() if s in bad}
 
 
+def test_sections_without_labels_join_no_bad_ones(spark):
+    table(spark, SMALL, "region")
+    of = {100 * k + i: f"h.org/{s}" for k, s in enumerate(["bad", "new", "sure"]) for i in range(40)}
+    of |= {1000 + i: f"h.org/sure/{'fg'[i % 2]}x" for i in range(40)}
+    pages = spark.createDataFrame([(n, f"http://{s}/{n}") for n, s in of.items()], "page_id bigint, url string")
+    labels = spark.createDataFrame([(n, int(s != "h.org/bad")) for n, s in of.items() if n < 1000 and s != "h.org/new"], "doc_id bigint, quality int")
+    got = url_templates.judged(spark, pages, labels).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == {n for n, s in of.items() if s == "h.org/bad"}
+    purity = {of[r.page_id]: r.purity for r in got}
+    # 40 of 80 labelled pages of the host are good, of all pages too.
+    assert purity["h.org/bad"] == pytest.approx(1 / 42) and purity["h.org/sure"] == pytest.approx(41 / 42) and purity["h.org/new"] == pytest.approx(0.5)
+
+
 def naive_segments(scores):
     """Ruzzo and Tompa's definition: the best segment, then the same on either side of it."""
     best = max(((sum(scores[a:b]), -(b - a), -a, a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0, 0, 0))
@@ -144,6 +158,41 @@ def test_toxicity(spark, talk):
     assert sorted(map(key, again)) == sorted(map(key, got))
 
 
+def test_model_does_not_depend_on_how_rows_are_dealt(spark, talk):
+    rows, labels = talk
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, score double")
+    one, two = (toxicity.fit(d, known) for d in (docs.coalesce(1), docs.union(docs.filter("doc_id % 3 = 0")).orderBy(F.rand(1)).repartition(7)))
+    assert len(one.words) and np.array_equal(one.words, two.words) and np.array_equal(one.scores, two.scores)
+    assert (one.rate, one.scale) == (two.rate, two.scale) and np.array_equal(one.curve, two.curve)
+    scores = [sorted((r.doc_id or -1, r.score) for r in toxicity.scored(d, one).collect()) for d in (docs.coalesce(1), docs.repartition(5))]
+    assert scores[0] == scores[1]
+
+
+def test_only_copies_do_not_count(spark):
+    """Half a text of boilerplate, or a short text, makes no copy; a changed word in a long text does."""
+    rng = random.Random(11)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    boilerplate, long = prose(60), prose(100)
+    texts = [" ".join(boilerplate + prose(60)) for _ in range(40)] + [" ".join(prose(k % 3)) for k in range(30)]
+    first = len(texts)
+    texts += [" ".join(long), " ".join(long[:50] + ["changed"] + long[51:]), " ".join(long).upper()]
+
+    def triples(text):
+        words = re.findall("[a-z0-9]+", text.lower())
+        return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else {tuple(words)}
+
+    def alike(one, two):
+        return len(one & two) >= 0.8 * len(one | two)
+
+    sets = list(map(triples, texts))
+    want = {k for k in range(len(texts)) if any(alike(sets[k], sets[j]) for j in range(k))}
+    assert {first + 1, first + 2} <= want and not want & set(range(40))
+    for parts in (1, 5):
+        frame = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)] + [(first, " ".join(long), 1), (first + 9, None, 1)], "doc_id bigint, text string, toxic int").repartition(parts)
+        assert {(r.doc_id, r.toxic) for r in toxicity.copies(frame).collect()} == {(k, 0) for k in want}
+
+
 def test_toxicity_without_labels(spark, talk):
     docs = spark.createDataFrame(talk[0], "doc_id bigint, text string, source string, score double")
     none = spark.createDataFrame([], "doc_id bigint, toxic int")

@@ -394,6 +394,22 @@ def test_repeats_among_rows_that_share_an_id(spark):
         assert sorted(tuple(r)[1:] for r in got) == expected
 
 
+def test_equal_rows_are_one_document_from_the_start(spark):
+    """However often a text is repeated, its stretches are looked at once."""
+    rng = np.random.default_rng(9)
+    prose = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    shared = prose(400)
+    one, two = (5, prose(200) + shared), (6, shared[:250] + prose(300) + shared)
+    spans = {}
+    for n in (1, 300):
+        frame = spark.createDataFrame([one] * n + [two] * n + [(7, "")] * n, "doc_id bigint, text string").repartition(4)
+        spans[n] = sorted(map(tuple, radix_dedup.repeats(spark, frame).collect()))
+        got = radix_dedup.digests(radix_dedup.cleaned(spark, frame)).collect()
+        want = brute.without_repeats({5: one[1], 6: two[1], 7: ""})
+        assert len(got) == 3 * n and {(r.doc_id, *tuple(r)[1:]) for r in got} == {(k, *v) for k, v in want.items()}
+    assert spans[1] == spans[300] and spans[1]
+
+
 def test_stretches_cover_every_window_once():
     rng = np.random.default_rng(6)
     data = rng.integers(0, 3, 3000).astype(np.uint8)
