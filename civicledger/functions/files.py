@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from civicledger.functions.archive import ZIP_END_OF_DIRECTORY, ZIP_LOCAL_HEADER, ZIP_TAIL_BYTES, end_record  # noqa: F401
+
 # File kinds of the appropriation data set that are fetched.
 ALLOWED_SUFFIXES = ["parquet", "json", "csv", "md"]
 
 # File signatures.
 PARQUET_MAGIC = b"PAR1"
-ZIP_LOCAL_HEADER = b"PK\x03\x04"
-ZIP_END_OF_DIRECTORY = b"PK\x05\x06"
-
-# A zip's end record is 22 bytes, followed by a comment of at most 65,535 bytes.
-ZIP_TAIL_BYTES = 22 + 65535
-
 
 def matches_allowed(name: Column, suffixes: list[str] = ALLOWED_SUFFIXES) -> Column:
     """Case-insensitive ``*.suffix`` allow-list."""
@@ -56,23 +52,13 @@ def parquet_footer_status(head: Column, tail: Column, size: Column) -> Column:
 def workbook_status(head: Column, tail: Column) -> Column:
     """``valid``, or why the bytes cannot be a zip-based workbook.
 
-    Weaker than opening the workbook: it looks for the zip signature and for the end-of-directory record where
-    it must be, followed by exactly the comment whose length it states. ``tail`` are the last ``ZIP_TAIL_BYTES``
-    bytes, or all.
+    Weaker than a walk through its directory (``archive_checked``): it looks for the zip signature and for the
+    end-of-directory record where it must be, followed by exactly the comment whose length it states. ``tail`` are the
+    last ``ZIP_TAIL_BYTES`` bytes, or all.
     """
     signature = F.substring(head, 1, 4) == F.lit(ZIP_LOCAL_HEADER)
-    pieces = F.split(F.decode(tail, "ISO-8859-1"), ZIP_END_OF_DIRECTORY.decode("latin-1"))
-    byte = lambda at: F.conv(F.hex(F.substring(tail, at + 1, F.lit(1))), 16, 10).cast("int")
-
-    def step(state: Column, piece: Column) -> Column:
-        """``at``: place of the mark in front of the piece, below 0 for the first; ``ended``: whether one fits."""
-        at = state["at"]
-        fits = (at >= 0) & (at + 22 + byte(at + 20) + 256 * byte(at + 21) == F.octet_length(tail))
-        return F.struct((at + 4 + F.length(piece)).alias("at"), (state["ended"] | F.coalesce(fits, F.lit(False))).alias("ended"))
-
-    ended = F.aggregate(pieces, F.struct(F.lit(-4).alias("at"), F.lit(False).alias("ended")), step)["ended"]
     return (
         F.when(~F.coalesce(signature, F.lit(False)), "not_a_zip")
-        .when(~F.coalesce(ended, F.lit(False)), "no_end_of_directory")
+        .when(end_record(tail).isNull(), "no_end_of_directory")
         .otherwise("valid")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicledger.functions.archive import ZIP_DIRECTORY_ENTRY, archive_checked, directory_place, place_status
 from civicledger.functions.files import (
     PARQUET_MAGIC,
     ZIP_END_OF_DIRECTORY,
@@ -16,6 +17,7 @@ from civicledger.functions.files import (
     workbook_status,
 )
 from civicledger.operators import manifest as M
+from civicledger.operators.columns import add_once
 from civicledger.plans import standins as S
 from civicledger.plans.registry import query
 from civicledger.session import scratch_dir
@@ -100,6 +102,51 @@ def xlsx_files(spark: SparkSession, folder: str) -> DataFrame:
     return ends.select(_source(), status.alias("status")).distinct()
 
 
+def _little(value: Column, width: int) -> Column:
+    digits = F.lpad(F.hex(value), 2 * width, "0")
+    return F.unhex(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(width))]))
+
+
+def _archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as the second part of archives with two parts, most of them damaged; ``kind`` says how."""
+    zeros = lambda n: F.lit(b"\0" * n)
+    kind = (F.col("doc_id") % 7).cast("int")
+    named = [F.lit(b"[Content_Types].xml"), F.when(kind == 5, F.lit(b"xl/workbook.bin")).otherwise(F.lit(b"xl/workbook.xml"))]
+    bodies = [F.encode("source", "UTF-8"), F.encode(F.coalesce("text", F.lit("")), "UTF-8")]
+    both = [(name, body, F.octet_length(body)) for name, body in zip(named, bodies)]
+    locals_ = [F.concat(F.lit(ZIP_LOCAL_HEADER), zeros(14), _little(size, 4), _little(size, 4), _little(F.octet_length(name), 2), zeros(2), name, body) for name, body, size in both]
+    places = [F.lit(0), F.when(kind == 1, 0).otherwise(F.octet_length(locals_[0]))]
+    sizes = [both[0][2], both[1][2] + F.when(kind == 2, 1000).otherwise(0)]
+    entries = [
+        F.concat(F.lit(ZIP_DIRECTORY_ENTRY), zeros(16), _little(size, 4), _little(size, 4), _little(F.octet_length(name), 2), zeros(12), _little(place, 4), name)
+        for name, size, place in zip(named, sizes, places)
+    ]
+    parts, directory = F.concat(*locals_), F.concat(*entries)
+    count = _little(F.when(kind == 3, 1).otherwise(2), 2)
+    start = F.octet_length(parts) + F.when(kind == 4, 1).otherwise(0)
+    end = F.concat(F.lit(ZIP_END_OF_DIRECTORY), zeros(4), count, count, _little(F.octet_length(directory), 4), _little(start, 4), zeros(2))
+    content = F.concat(parts, directory, end, F.when(kind == 6, F.lit(b"x")).otherwise(F.lit(b"")))
+    return add_once(table(spark, folder, "documents").select("source", "doc_id", "text"), content=content).select("source", "content")
+
+
+@query(
+    "xlsx_directories",
+    """SELECT source, CASE doc_id % 7 WHEN 0 THEN 'valid' WHEN 1 THEN 'overlapping_entries' WHEN 2 THEN 'truncated_entries' WHEN 3 THEN 'broken_directory'
+  WHEN 4 THEN 'impossible_directory' WHEN 5 THEN 'missing_parts' ELSE 'no_end_of_directory' END AS status, count(*) AS n_files
+FROM documents GROUP BY ALL""",
+)
+def xlsx_directories(spark: SparkSession, folder: str) -> DataFrame:
+    """Files by what the walk through their directory shows."""
+    size = F.octet_length("content")
+    tail = F.substring("content", -ZIP_TAIL_BYTES, ZIP_TAIL_BYTES)
+    files = add_once(_archives(spark, folder), tail=tail, size_bytes=size)
+    files = add_once(files, place=directory_place(F.col("tail"), F.col("size_bytes")))
+    place = F.col("place")
+    directory = F.when(place_status(place).isNull(), F.substring("content", place["start"].cast("int") + 1, place["length"].cast("int")))
+    read = files.select("source", F.substring("content", 1, 4).alias("head"), "tail", "place", directory.alias("directory"), F.lit(None).cast("string").alias("error"))
+    return archive_checked(read).groupBy("source", "status").agg(F.count("*").alias("n_files"))
+
+
 _END = ZIP_END_OF_DIRECTORY + b"\0" * 18
 _WORKBOOK_BYTES = {0: (ZIP_LOCAL_HEADER, _END), 1: (ZIP_LOCAL_HEADER + _END, b"cut"), 2: (b"<!DO", _END), 3: (PARQUET_MAGIC, PARQUET_MAGIC)}
 
