@@ -111,22 +111,26 @@ def _archives(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as the second part of archives with two parts, most of them damaged; ``kind`` says how."""
     zeros = lambda n: F.lit(b"\0" * n)
     kind = (F.col("doc_id") % 7).cast("int")
-    named = [F.lit(b"[Content_Types].xml"), F.when(kind == 5, F.lit(b"xl/workbook.bin")).otherwise(F.lit(b"xl/workbook.xml"))]
-    bodies = [F.encode("source", "UTF-8"), F.encode(F.coalesce("text", F.lit("")), "UTF-8")]
-    both = [(name, body, F.octet_length(body)) for name, body in zip(named, bodies)]
-    locals_ = [F.concat(F.lit(ZIP_LOCAL_HEADER), zeros(14), _little(size, 4), _little(size, 4), _little(F.octet_length(name), 2), zeros(2), name, body) for name, body, size in both]
-    places = [F.lit(0), F.when(kind == 1, 0).otherwise(F.octet_length(locals_[0]))]
-    sizes = [both[0][2], both[1][2] + F.when(kind == 2, 1000).otherwise(0)]
-    entries = [
-        F.concat(F.lit(ZIP_DIRECTORY_ENTRY), zeros(16), _little(size, 4), _little(size, 4), _little(F.octet_length(name), 2), zeros(12), _little(place, 4), name)
-        for name, size, place in zip(named, sizes, places)
-    ]
-    parts, directory = F.concat(*locals_), F.concat(*entries)
+    name = F.when(kind == 5, F.lit(b"xl/workbook.bin")).otherwise(F.lit(b"xl/workbook.xml"))
+    size, named = (lambda k: F.octet_length(f"body{k}")), (lambda k: F.col(f"name{k}"))
+
+    def local(k: int) -> Column:
+        return F.concat(F.lit(ZIP_LOCAL_HEADER), zeros(14), _little(size(k), 4), _little(size(k), 4), _little(F.octet_length(named(k)), 2), zeros(2), named(k), f"body{k}")
+
+    def entry(k: int, packed: Column, place: Column) -> Column:
+        return F.concat(F.lit(ZIP_DIRECTORY_ENTRY), zeros(16), _little(packed, 4), _little(packed, 4), _little(F.octet_length(named(k)), 2), zeros(12), _little(place, 4), named(k))
+
+    docs = table(spark, folder, "documents").select("source", "doc_id", "text")
+    bodies = {"body0": F.encode("source", "UTF-8"), "body1": F.encode(F.coalesce("text", F.lit("")), "UTF-8")}
+    made = add_once(docs, name0=F.lit(b"[Content_Types].xml"), name1=name, **bodies)
+    made = add_once(made, local0=local(0), local1=local(1))
+    second = F.when(kind == 1, 0).otherwise(F.octet_length("local0"))
+    made = add_once(made, entry0=entry(0, size(0), F.lit(0)), entry1=entry(1, size(1) + F.when(kind == 2, 1000).otherwise(0), second))
     count = _little(F.when(kind == 3, 1).otherwise(2), 2)
-    start = F.octet_length(parts) + F.when(kind == 4, 1).otherwise(0)
-    end = F.concat(F.lit(ZIP_END_OF_DIRECTORY), zeros(4), count, count, _little(F.octet_length(directory), 4), _little(start, 4), zeros(2))
-    content = F.concat(parts, directory, end, F.when(kind == 6, F.lit(b"x")).otherwise(F.lit(b"")))
-    return add_once(table(spark, folder, "documents").select("source", "doc_id", "text"), content=content).select("source", "content")
+    length = F.octet_length("entry0") + F.octet_length("entry1")
+    start = F.octet_length("local0") + F.octet_length("local1") + F.when(kind == 4, 1).otherwise(0)
+    made = add_once(made, ending=F.concat(F.lit(ZIP_END_OF_DIRECTORY), zeros(4), count, count, _little(length, 4), _little(start, 4), zeros(2), F.when(kind == 6, F.lit(b"x")).otherwise(F.lit(b""))))
+    return add_once(made, content=F.concat("local0", "local1", "entry0", "entry1", "ending")).select("source", "content")
 
 
 @query(

@@ -68,7 +68,8 @@ def file_listing(spark: SparkSession, root: str, glob: str | None = None, direct
             folders.repartition("path").mapInPandas(_list, kind).write.parquet(f"{scratch}/{len(levels)}")
             levels.append(f"{scratch}/{len(levels)}")
             folders = spark.read.schema(kind).parquet(levels[-1]).where("is_folder").select("path")
-        files = spark.read.schema(kind).parquet(*levels).where("NOT is_folder")
+        # What Hadoop's local file system keeps beside its files are not files to it.
+        files = spark.read.schema(kind).parquet(*levels).where(~F.col("is_folder") & ~F.col("path").rlike(r"/\.[^/]*\.crc\z"))
     else:
         rows, found = [], system.listFiles(start, True)
         while found.hasNext():
