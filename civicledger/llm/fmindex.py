@@ -1,15 +1,20 @@
 """Finds benchmark passages in documents by an FM-index per shard of text.
 
 Words are runs of letters and digits (A-Z lower-cased; every character outside ASCII counts as a letter). A window is
-``width`` consecutive words of a benchmark item, or the whole item if it has fewer words (but some). Each task cuts
-its documents into shards of bounded size. A word outside the benchmark's vocabulary can't be part of a match, so a
-shard indexes only the runs of known words that are long enough. All windows are searched backwards at once through
-the ranks of a wavelet matrix; matches are located by sampled suffix positions, and the word spans of a document are
-merged.
+``width`` consecutive words of a benchmark item, or the whole item if it has fewer words (but some). Tasks cut the items
+into windows; distinct windows are a written table, dealt by hash into blocks of about ``BLOCK_WINDOWS``. Only one block
+at a time is sent to the tasks, and what it finds is written before the next one, so neither the driver nor a worker
+ever holds the whole benchmark. Which items a window belongs to is a join, done by Spark.
 
-The benchmark is searched in blocks of bounded size, each broadcast on its own; there is no limit on their number.
+Each task cuts its documents into shards of bounded size. A word outside the block's vocabulary can't be part of a
+match, so a shard indexes only the runs of known words that are long enough, and searches only the windows all of whose
+words it holds. These are searched backwards at once through the ranks of a wavelet matrix; matches are located by
+sampled suffix positions, and the word spans of a document are merged.
+
+Equal texts have equal hits: what is found is kept once per distinct text, under two 64-bit hashes, and joined back.
 Null or empty documents have no words. Items without words have no windows. Repeated documents and items are handled
-each on its own (an item id counts once). With an empty table of either kind nothing is hit.
+each on its own (an item id counts once). With an empty table of either kind nothing is hit. A very long text or item is
+a shard or a batch of its own.
 """
 
 from __future__ import annotations
@@ -18,14 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from civicledger.llm import prefilter
 from civicledger.llm import textbytes as tb
+from civicledger.session import scratch_dir
 
 WIDTH = 10
-BLOCK_CHARS = 8_000_000
+#: Windows in a block: what the driver and each worker hold of the benchmark, 80 bytes a window of ten words.
+BLOCK_WINDOWS = 1 << 19
+_CUT_WINDOWS = 1 << 16
+_SALTS = 16
+_FOUND = "a bigint, b bigint, spans array<bigint>, windows array<bigint>"
+# The complement of the bytes that ``textbytes.ALNUM`` leaves out, with capitals.
+_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 class WaveletMatrix:
@@ -111,23 +124,13 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a block of benchmark items as rows of vocabulary numbers (from 1)."""
-
-    def __init__(self, items: list[tuple[str, str]], width: int):
-        hashed, first = tb.lowered_words(pa.array([text for _, text in items], pa.large_string()), tb.ALNUM)
-        self.vocabulary, number = np.unique(hashed, return_inverse=True)
-        rows: dict[tuple[int, ...], set[int]] = {}
-        self.names = sorted({name for name, _ in items})
-        place = {name: k for k, name in enumerate(self.names)}
-        for (name, _), a, b in zip(items, first[:-1].tolist(), first[1:].tolist(), strict=True):
-            numbers = (number[a:b] + 1).tolist()
-            for at in range(max(1, len(numbers) - width + 1) if numbers else 0):
-                rows.setdefault(tuple(numbers[at : at + width]), set()).add(place[name])
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.patterns = np.zeros((len(rows), int(self.lengths.max(initial=1))), np.int64)
-        for k, row in enumerate(rows):
-            self.patterns[k, : len(row)] = row
-        self.items = list(rows.values())
+    """A block of windows as rows of vocabulary numbers (from 1), filled up with 0. ``ids`` names them."""
+
+    def __init__(self, ids: np.ndarray, words: np.ndarray, lengths: np.ndarray):
+        self.ids, self.lengths = ids, lengths.astype(np.int64)
+        self.vocabulary, number = np.unique(words, return_inverse=True)
+        self.patterns = np.zeros((len(ids), int(lengths.max(initial=1))), np.int32)
+        self.patterns[np.repeat(np.arange(len(ids)), self.lengths), tb.ranges(self.lengths)] = number + 1
 
     def numbers(self, hashed: np.ndarray) -> np.ndarray:
         """Vocabulary numbers of words, 0 for others."""
@@ -154,10 +157,13 @@ class Windows:
         last = np.cumsum(sizes) - 1
         text = sequence[np.minimum(place, len(sequence) - 1)]
         text[last] = 0
+        held = np.zeros(len(self.vocabulary) + 1, bool)
+        held[text] = held[0] = True
+        possible = np.flatnonzero(held[self.patterns].all(1))
         index = FMIndex(text)
-        low, high = index.search(self.patterns, self.lengths)
+        low, high = index.search(self.patterns[possible].astype(np.int64), self.lengths[possible])
         counts = np.maximum(high - low, 0)
-        window = np.repeat(np.arange(len(counts)), counts)
+        window = np.repeat(possible, counts)
         found = index.locate(np.repeat(low, counts) + tb.ranges(counts))
         return word[place[found]], window
 
@@ -172,54 +178,105 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _search(windows: Windows, text: str, names: list[str]):
+def _cut(width: int):
+    """Windows of items as arrays of word hashes."""
+
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tb.batches(stream, text):
-            hashed, first = tb.lowered_words(batch.column(text), tb.ALNUM)
-            spans: dict[int, list[tuple[int, int]]] = {}
-            items: dict[int, set[int]] = {}
+        for batch in tb.batches(stream):
+            hashed, first = tb.lowered_words(batch.column("text"), tb.ALNUM)
+            counts = np.diff(first)
+            size = np.minimum(counts, width)
+            number = np.where(counts > 0, counts - size + 1, 0)
+            row = np.repeat(np.arange(len(counts)), number)
+            start = first[:-1][row] + tb.ranges(number)
+            for at in range(0, len(row), _CUT_WINDOWS):
+                own, n = row[at : at + _CUT_WINDOWS], size[row[at : at + _CUT_WINDOWS]]
+                words = hashed[np.repeat(start[at : at + _CUT_WINDOWS], n) + tb.ranges(n)].view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(words))
+                yield pa.RecordBatch.from_arrays([lists, batch.column("name").take(pa.array(own))], names=["words", "name"])
+
+    return run
+
+
+def _search(block: Broadcast):
+    """Rows of texts that hold windows of the block: merged spans and the distinct windows found."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows: Windows = block.value
+        for batch in tb.batches(stream):
+            hashed, first = tb.lowered_words(batch.column("text"), tb.ALNUM)
             position, window = windows.matches(hashed, first)
+            if not len(position):
+                continue
             row = np.searchsorted(first, position, side="right") - 1
             within = position - first[row]
-            for k, at, w, n in zip(row.tolist(), within.tolist(), window.tolist(), windows.lengths[window].tolist(), strict=True):
+            spans: dict[int, list[tuple[int, int]]] = {}
+            found: dict[int, set[int]] = {}
+            for k, at, w, n in zip(row.tolist(), within.tolist(), windows.ids[window].tolist(), windows.lengths[window].tolist(), strict=True):
                 spans.setdefault(k, []).append((at, at + n))
-                items.setdefault(k, set()).update(windows.items[w])
-            old_spans, old_items = batch.column("_spans").to_pylist(), batch.column("_items").to_pylist()
-            for k in spans:
-                flat = old_spans[k]
-                merged = _merge(spans[k] + list(zip(flat[::2], flat[1::2], strict=True)))
-                old_spans[k] = [x for span in merged for x in span]
-                old_items[k] = sorted(set(old_items[k]) | {windows.names[i] for i in items[k]})
-            made = {"_n_words": pa.array(np.diff(first), pa.int64()), "_spans": pa.array(old_spans, pa.list_(pa.int64())), "_items": pa.array(old_items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([made[name] if name in made else batch.column(name) for name in names], names=names)
+                found.setdefault(k, set()).add(w)
+            rows = sorted(spans)
+            flat = [[x for span in _merge(spans[k]) for x in span] for k in rows]
+            made = [pa.array(flat, pa.list_(pa.int64())), pa.array([sorted(found[k]) for k in rows], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(rows)) for c in ("a", "b")] + made, names=["a", "b", "spans", "windows"])
 
     return run
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...] = ("doc_id",), width: int = WIDTH, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def _united(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merges what several blocks found in a text."""
+    for batch in stream:
+        flat = batch.column("spans").to_pylist()
+        merged = [[{"start": a, "end": b} for a, b in _merge(list(zip(f[::2], f[1::2], strict=True)))] for f in flat]
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(merged, kind)], names=["a", "b", "spans"])
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, width: int, block_windows: int) -> DataFrame:
+    """(a, b, spans, items) of each distinct text that is hit; ``a`` and ``b`` are its hashes."""
+    spark, base = docs.sparkSession, scratch_dir(docs.sparkSession, "windows")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), "text")
+    items.mapInArrow(_cut(width), "words array<bigint>, name string").distinct().write.parquet(f"{base}/names")
+    named = spark.read.schema("words array<bigint>, name string").parquet(f"{base}/names")
+    named.select("words").distinct().select(F.xxhash64("words").alias("id"), "words").write.parquet(f"{base}/windows")
+    windows = spark.read.schema("id bigint, words array<bigint>").parquet(f"{base}/windows")
+    blocks = -(-windows.count() // block_windows)
+    texts = docs.select(*_hashes(), "text").where("text != ''")
+    for k in range(blocks):
+        own = windows.where(F.pmod("id", F.lit(blocks)) == k).toArrow()
+        words = own.column("words").combine_chunks()
+        block = spark.sparkContext.broadcast(Windows(own.column("id").to_numpy(), words.flatten().to_numpy().view(np.uint64), words.value_lengths().to_numpy()))
+        texts.mapInArrow(_search(block), _FOUND).distinct().write.parquet(f"{base}/found/{k}")
+        block.destroy()
+    paths = [f"{base}/found/{k}" for k in range(blocks)]
+    found = spark.read.schema(_FOUND).parquet(*paths) if paths else spark.createDataFrame([], _FOUND)
+    spans = found.groupBy("a", "b").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.mapInArrow(_united, "a bigint, b bigint, spans array<struct<start:bigint,end:bigint>>")
+    # A window may lie in a third of the texts: its rows are dealt over salts.
+    salted = named.select(F.xxhash64("words").alias("id"), "name", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    held = found.select("a", "b", F.pmod("a", F.lit(_SALTS)).cast("int").alias("salt"), F.explode("windows").alias("id"))
+    names = held.join(salted, ["id", "salt"]).groupBy("a", "b").agg(F.collect_set("name").alias("items"))
+    spans.join(names, ["a", "b"]).write.parquet(f"{base}/hits")
+    return spark.read.schema("a bigint, b bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>").parquet(f"{base}/hits")
+
+
+def _hashes() -> list:
+    return [F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")]
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...] = ("doc_id",), width: int = WIDTH, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``columns`` of every document with ``n_words``, ``spans`` (merged, of words, ends exclusive) and ``items``.
 
     Other columns of either table are ignored. A null item id is named "null".
     """
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 1) // block_chars)
-    kept = [F.col(c).alias(f"_{k}") for k, c in enumerate(columns)]
-    text = f"_{columns.index('text')}" if "text" in columns else "_text"
-    kept += [F.col("text").alias("_text")] if text == "_text" else []
-    out = docs.select(*kept, F.lit(0).cast("bigint").alias("_n_words"), F.array().cast("array<bigint>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
-    for k in range(blocks):
-        own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k)
-        windows = Windows([(r.name, r.text) for r in own.select("name", "text").collect()], width)
-        schema = T.StructType([f for f in out.schema.fields if k < blocks - 1 or f.name != "_text"])
-        out = out.mapInArrow(_search(windows, text, schema.names), schema)
-    pairs = F.transform(F.sequence(F.lit(0), (F.size("_spans") / 2 - 1).cast("int")), lambda i: F.struct(F.get("_spans", 2 * i).alias("start"), F.get("_spans", 2 * i + 1).alias("end")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return out.select(
-        *[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)],
-        F.col("_n_words").alias("n_words"),
-        F.when(F.size("_spans") > 0, pairs).otherwise(none).alias("spans"),
-        F.col("_items").alias("items"),
-    )
+    found = _found(docs, benchmark, width, block_windows)
+    words = F.coalesce(F.regexp_count("text", F.lit(_WORDS)), F.lit(0)).cast("bigint")
+    rows = docs.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(columns)], *_hashes(), words.alias("n_words"))
+    maybe, others = prefilter.split(rows, "a", found.select("a"))
+    none = others.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)).withColumn("items", F.lit(None).cast("array<string>"))
+    both = maybe.join(found, ["a", "b"], "left").select(*none.columns).union(none)
+    empty = lambda c: F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c)
+    return both.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)], "n_words", empty("spans"), empty("items"))
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -293,8 +293,8 @@ def test_decontamination(spark, docs, rows, empty, nulls):
     items = [(1, passage), (2, " ".join(passage.split()[5:12])), (2, "nowhere to be found"), (10, "Two Words"), (11, None), (12, "!?"), (None, passage.upper()), (13, "ab ab ab ab ab ab ab ab ab ab ab")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = brute.contamination(brute.by_id(rows), items)
-    for chars in (fmindex.BLOCK_CHARS, 300):  # one block, several
-        got = fmindex.digests(fmindex.hits(docs, bench, block_chars=chars)).collect()
+    for most in (fmindex.BLOCK_WINDOWS, 20):  # one block, several
+        got = fmindex.digests(fmindex.hits(docs, bench, block_windows=most)).collect()
         assert len(got) == len(rows) and {r.doc_id: tuple(r)[1:] for r in got} == want
     assert sum(w[-1] for w in want.values()) > 20
     assert fmindex.hits(empty, bench).count() == 0
