@@ -270,11 +270,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...] = ("doc
     Other columns of either table are ignored. A null item id is named "null".
     """
     found = _found(docs, benchmark, width, block_windows)
-    words = F.coalesce(F.regexp_count("text", F.lit(_WORDS)), F.lit(0)).cast("bigint")
-    rows = docs.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(columns)], *_hashes(), words.alias("n_words"))
-    maybe, others = prefilter.split(rows, "a", found.select("a"))
-    none = others.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType)).withColumn("items", F.lit(None).cast("array<string>"))
-    both = maybe.join(found, ["a", "b"], "left").select(*none.columns).union(none)
+    words = F.coalesce(F.regexp_count("_text", F.lit(_WORDS)), F.lit(0)).cast("bigint")
+    kept = [F.col(c).alias(f"_{k}") for k, c in enumerate(columns)]
+    maybe, others = prefilter.split(docs.select(*kept, *_hashes(), F.col("text").alias("_text")), "a", found.select("a"))
+    # Words are counted behind the split, once a row.
+    own = [*[f"_{k}" for k in range(len(columns))], words.alias("n_words")]
+    none = others.select(*own, F.lit(None).cast(found.schema["spans"].dataType).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+    both = maybe.select("a", "b", *own).join(found, ["a", "b"], "left").select(*none.columns).union(none)
     empty = lambda c: F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c)
     return both.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(columns)], "n_words", empty("spans"), empty("items"))
 
